@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, quality
 
 
 def queries():
-    return {"op1_mix_sources": mixing.op1_mix_sources}
+    return {"op1_mix_sources": mixing.op1_mix_sources, "op9_quality_rules": quality.op9_quality_rules}
 
 
 def oracle_sql():
-    return {}
+    return {"op9_quality_rules": quality.op9_sql()}

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, quality
+from . import bpe, fingerprints, mixing, quality
 
 
 def queries():
-    return {"op1_mix_sources": mixing.op1_mix_sources, "op7_fingerprints": fingerprints.op7_fingerprints, "op9_quality_rules": quality.op9_quality_rules}
+    return {
+        "op1_mix_sources": mixing.op1_mix_sources,
+        "op3_byte_bpe": bpe.op3_byte_bpe,
+        "op7_fingerprints": fingerprints.op7_fingerprints,
+        "op9_quality_rules": quality.op9_quality_rules,
+    }
 
 
 def oracle_sql():

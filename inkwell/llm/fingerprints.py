@@ -94,10 +94,11 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     own = F.struct(F.col("_b").alias("b"), F.lit(False).alias("ghost"))
     ghost = F.struct(F.col("_before").alias("b"), F.lit(True).alias("ghost"))
     out = out.withColumn("_to", F.explode(F.when(F.col("_before").isNotNull(), F.array(own, ghost)).otherwise(F.array(own))))
-    order = W.partitionBy("_to.b").orderBy(F.col("_to.ghost"), F.col("doc_id").desc_nulls_last(), "_h")
-    for c in columns:
-        out = out.withColumn(f"next_{c}", F.lead(c).over(order))
-    return out.where(~F.col("_to.ghost")).drop("_h", "_b", "_fb", "_ff", "_before", "_to")
+    # Plain columns, and all leads in one step: one window over one exchange.
+    out = out.withColumns({"_at": F.col("_to.b"), "_ghost": F.col("_to.ghost")}).drop("_to", "_b", "_fb", "_ff", "_before")
+    order = W.partitionBy("_at").orderBy("_ghost", F.col("doc_id").desc_nulls_last(), "_h")
+    out = out.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
+    return out.where(~F.col("_ghost")).drop("_h", "_at", "_ghost")
 
 
 def op7_fingerprints(spark, sf_dir) -> DataFrame:

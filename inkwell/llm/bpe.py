@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, ship
 from .text_arrays import U64, buffers, mix64, _stream
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -318,6 +318,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ["doc_id", "ids", "offsets", "pieces"],
             )
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>, pieces array<int>")
 
 
@@ -330,6 +331,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             rows = [None if ids is None else b"".join([token[x] for x in ids]) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "content"])
 
+    ship(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
 
 
@@ -356,6 +358,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ WORD = r"[^ \x09-\x0D]+"
 BROADCAST_ROWS = 2_000_000
 
 _made: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +34,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package's modules to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="inkwell-code-")) / "inkwell-code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
+    return spark
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a table or folder that this module made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

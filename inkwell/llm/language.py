@@ -19,7 +19,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, ship
 
 #: Bytes of text in a dictionary, rows sampled per language for it (on average), and the
 #: longest text that a sample takes.  These bound what the driver gathers and sends out.
@@ -140,6 +140,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
                 ["doc_id", "lang_pred", "score", "lang_sure"],
             )
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, lang_sure string")
 
 

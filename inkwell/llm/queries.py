@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, mixing, quality
+from . import bpe, fingerprints, language, mixing, quality, secrets
 
 
 def queries():
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
         "op3_byte_bpe": bpe.op3_byte_bpe,
+        "op4_secret_scan": secrets.op4_secret_scan,
+        "op5_language_id": language.op5_language_id,
         "op7_fingerprints": fingerprints.op7_fingerprints,
         "op9_quality_rules": quality.op9_quality_rules,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, mixing, quality, secrets
+from . import bpe, fingerprints, language, mixing, quality, secrets, similar
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op5_language_id": language.op5_language_id,
         "op7_fingerprints": fingerprints.op7_fingerprints,
         "op9_quality_rules": quality.op9_quality_rules,
+        "op10_ngram_jaccard": similar.op10_ngram_jaccard,
     }
 
 

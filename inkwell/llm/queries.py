@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, mixing, quality, secrets, similar
+from . import bpe, fingerprints, language, lines, mixing, quality, secrets, similar
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_language_id": language.op5_language_id,
         "op7_fingerprints": fingerprints.op7_fingerprints,
+        "op8_line_dedup": lines.op8_line_dedup,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_ngram_jaccard": similar.op10_ngram_jaccard,
     }

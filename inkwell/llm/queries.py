@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import bpe, fingerprints, language, lines, mixing, quality, secrets, similar
 
 
@@ -15,8 +17,12 @@ def queries():
         "op8_line_dedup": lines.op8_line_dedup,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_ngram_jaccard": similar.op10_ngram_jaccard,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql():
-    return {"op9_quality_rules": quality.op9_sql()}
+    out = {"op9_quality_rules": quality.op9_sql()}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out

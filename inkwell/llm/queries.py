@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, language, lines, mixing, quality, secrets, similar
+from . import bpe, fingerprints, language, lines, mixing, ngrams, quality, secrets, similar
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_language_id": language.op5_language_id,
+        "op6_lm_scoring": ngrams.op6_lm_scoring,
         "op7_fingerprints": fingerprints.op7_fingerprints,
         "op8_line_dedup": lines.op8_line_dedup,
         "op9_quality_rules": quality.op9_quality_rules,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, language, lines, mixing, ngrams, quality, secrets, similar
+from . import bpe, fingerprints, language, lines, mixing, ngrams, passages, quality, secrets, similar
 
 
 def queries():
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
+        "op2_substring_dedup": passages.op2_substring_dedup,
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_secret_scan": secrets.op4_secret_scan,
         "op5_language_id": language.op5_language_id,

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from inkwell.plans import curation, evaluation, generation, splits, validation
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count()
+MODULES = (splits, validation, evaluation, curation, generation)
 
 
 def queries():
-    return {}
+    return {name: f for m in MODULES for name, f in m.registry.queries.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: s for m in MODULES for name, s in m.registry.sql.items()}
+
+
+def flagship(spark, sf_dir):
+    """Writer-disjoint splits with their samples."""
+    return splits.split_writer_held_out(spark, sf_dir)

@@ -75,10 +75,10 @@ def tokens(c: Column) -> Column:
 
 
 def human_bytes(c: Column) -> Column:
-    """Bytes in steps of 1024 with one decimal."""
-    out = F.concat(F.format_string("%.1f", c / float(1024**4)), F.lit(" TB"))
+    """Bytes in steps of 1024 with one decimal, halves to even."""
+    out = F.concat(F.format_string("%.1f", F.bround(c / float(1024**4), 1)), F.lit(" TB"))
     for k, unit in ((3, "GB"), (2, "MB"), (1, "KB")):
-        out = F.when(c < 1024 ** (k + 1), F.concat(F.format_string("%.1f", c / float(1024**k)), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(c < 1024 ** (k + 1), F.concat(F.format_string("%.1f", F.bround(c / float(1024**k), 1)), F.lit(f" {unit}"))).otherwise(out)
     return F.when(c < 1024, F.concat(c.cast("long").cast("string"), F.lit(" B"))).otherwise(out)
 
 

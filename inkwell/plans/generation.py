@@ -1,2 +1,193 @@
-from inkwell.registry import Registry
+"""Queries: label generators, resource and image geometry, image metrics, JSON gates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkwell.functions import text, words
+from inkwell.functions.rand import SPAN, chance, chance_sql, draw, draw_sql, pick, pick_sql
+from inkwell.operators import images
+from inkwell.registry import Registry, table
+
 registry = Registry()
+query = registry.query
+
+NUMBERS_SQL = "[" + ", ".join(f"'{w}'" for w in words.number_words()) + "]"
+ORDINALS_SQL = "[" + ", ".join(f"'{w}'" for w in words.ordinal_words()) + "]"
+SHORT_ORDINAL_SQL = "(day(d) || CASE WHEN day(d) % 100 BETWEEN 10 AND 20 THEN 'th' WHEN day(d) % 10 = 1 THEN 'st' WHEN day(d) % 10 = 2 THEN 'nd' WHEN day(d) % 10 = 3 THEN 'rd' ELSE 'th' END)"
+YEAR_WORDS_SQL = f"""CASE WHEN y = 2000 THEN 'Two Thousand' WHEN y > 2000 THEN 'Two Thousand ' || j || {NUMBERS_SQL}[y - 2000 + 1] WHEN y % 100 = 0 THEN {NUMBERS_SQL}[y // 100 + 1] || ' Hundred' ELSE {NUMBERS_SQL}[y // 100 + 1] || ' Hundred ' || j || {NUMBERS_SQL}[y % 100 + 1] END"""
+DATES_SQL = f"SELECT o_orderkey, o_orderdate::DATE AS d, (1920 + o_orderkey % 81)::INT AS y, CASE WHEN {chance_sql('and', 'o_orderkey', 50)} THEN 'and ' ELSE '' END AS j, {pick_sql('roll', 'o_orderkey', 1000)} AS roll, {pick_sql('sign', 'o_orderkey', 3)} AS sign FROM orders"
+
+
+def dates(spark, sf):
+    k = F.col("o_orderkey")
+    return table(spark, sf, "orders").select(k, F.to_date("o_orderdate").alias("d"), (1920 + k % 81).cast("int").alias("y"), chance("and", k, 50).alias("j"), pick("roll", k, 1000).alias("roll"), pick("sign", k, 3).alias("sign"))
+
+
+def _case(rolls, values):
+    return f"CASE WHEN roll < {rolls[0]} THEN {values[0]} WHEN roll < {rolls[1]} THEN {values[1]} ELSE {values[2]} END"
+
+
+_quoted = lambda names: [f"'{n}'" for n in names]
+WRITTEN_SQL = ["strftime(d, '%-d %B %Y')", f"{ORDINALS_SQL}[day(d)] || ' day of ' || strftime(d, '%B, %Y')", f"{ORDINALS_SQL}[day(d)] || ' day of ' || strftime(d, '%B') || ', ' || " + YEAR_WORDS_SQL.replace("y ", "year(d) ").replace("[y ", "[year(d) ")]
+HELD_SQL = ["strftime(d, '%B %-d, %Y')", f"strftime(d, '%b') || '. ' || {SHORT_ORDINAL_SQL} || ', ''' || strftime(d, '%y')", f"'the ' || {ORDINALS_SQL}[day(d)] || ' of ' || strftime(d, '%B, %Y')"]
+
+
+@query(f"WITH x AS ({DATES_SQL}) SELECT o_orderkey, {_case((400, 700), WRITTEN_SQL)} AS label, {_case((400, 700), _quoted(words.WRITTEN_BASE))} AS format_id, {_case((333, 666), HELD_SQL)} AS held_out_label, {_case((333, 666), _quoted(words.WRITTEN_HELD_OUT))} AS held_out_id FROM x")
+def date_written_formats(spark, sf):
+    base = words.written_date(F.col("d"), F.col("roll"), F.col("j"))
+    held = words.written_date(F.col("d"), F.col("roll"), F.col("j"), held_out=True)
+    return dates(spark, sf).select("o_orderkey", base[0].alias("label"), base[1].alias("format_id"), held[0].alias("held_out_label"), held[1].alias("held_out_id"))
+
+
+NUMERIC_SQL = "replace(CASE WHEN roll < 500 THEN strftime(d, '%m~%d~%Y') ELSE strftime(d, '%d~%m~%Y') END, '~', ['/', '-', '.'][sign + 1])"
+
+
+@query(f"""WITH x AS ({DATES_SQL}) SELECT o_orderkey, {NUMERIC_SQL} AS label, CASE WHEN roll < 500 THEN '{words.NUMERIC_BASE[0]}' ELSE '{words.NUMERIC_BASE[1]}' END AS format_id,
+ {_case((333, 666), ["strftime(d, '%Y/%m/%d')", "strftime(d, '%-d-%b-%y')", "strftime(d, '%-m/%-d/') || '''' || strftime(d, '%y')"])} AS held_out_label, {_case((333, 666), _quoted(words.NUMERIC_HELD_OUT))} AS held_out_id FROM x""")
+def date_numeric_formats(spark, sf):
+    base = words.numeric_date(F.col("d"), F.col("roll"), F.col("sign"))
+    held = words.numeric_date(F.col("d"), F.col("roll"), F.col("sign"), held_out=True)
+    return dates(spark, sf).select("o_orderkey", base[0].alias("label"), base[1].alias("format_id"), held[0].alias("held_out_label"), held[1].alias("held_out_id"))
+
+
+@query(f"WITH x AS ({DATES_SQL}) SELECT o_orderkey, {ORDINALS_SQL}[day(d)] AS ordinal, {SHORT_ORDINAL_SQL} AS short_ordinal, {YEAR_WORDS_SQL} AS year_words FROM x")
+def ordinal_and_year_words(spark, sf):
+    return dates(spark, sf).select("o_orderkey", words.day_ordinal(F.dayofmonth("d")).alias("ordinal"), words.short_ordinal(F.dayofmonth("d")).alias("short_ordinal"), words.year_words(F.col("y"), F.col("j")).alias("year_words"))
+
+
+#: Small name lists of our own; a caller's word lists take their place.
+FIRST = ["Maria", "Jose", "Ana", "Juan", "Luz", "Pedro", "Rosa"]
+MIDDLE = ["Santos", "Reyes", "Cruz", "Garcia"]
+LAST = ["Dela Rosa", "Mendoza", "Ramos", "Aquino", "Torres"]
+SUFFIXES = ["Jr.", "Sr.", "III", "II"]
+_list = lambda v: "[" + ", ".join(f"'{x}'" for x in v) + "]"
+_pick_sql = lambda ns, v: f"{_list(v)}[{pick_sql(ns, 'c_custkey', len(v))} + 1]"
+_chance_sql = lambda ns, p: chance_sql(ns, "c_custkey", p)
+
+
+@query(f"""WITH p AS (SELECT c_custkey, {_pick_sql('first', FIRST)} AS f, CASE WHEN {_chance_sql('has_middle', 60)} THEN CASE WHEN {_chance_sql('initial', 20)} THEN upper(left({_pick_sql('middle', MIDDLE)}, 1)) || '.' ELSE {_pick_sql('middle', MIDDLE)} END END AS m,
+ CASE WHEN {_chance_sql('upper', 5)} THEN upper({_pick_sql('last', LAST)}) ELSE {_pick_sql('last', LAST)} END AS l FROM customer)
+SELECT c_custkey, CASE WHEN {_chance_sql('surname_first', 5)} THEN l || ', ' || concat_ws(' ', f, m) ELSE concat_ws(' ', f, m, l) END || CASE WHEN {_chance_sql('suffix', 8)} THEN CASE WHEN {_chance_sql('comma', 50)} THEN ', ' ELSE ' ' END || {_pick_sql('which', SUFFIXES)} ELSE '' END AS full_name FROM p""")
+def full_names(spark, sf):
+    k = F.col("c_custkey")
+    entry = lambda ns, v: F.element_at(F.array(*[F.lit(x) for x in v]), pick(ns, k, len(v)) + 1)
+    middle = entry("middle", MIDDLE)
+    initial = F.concat(F.upper(F.regexp_extract(middle, "[A-Za-z]", 0)), F.lit("."))
+    m = F.when(chance("has_middle", k, 60), F.when(chance("initial", k, 20), initial).otherwise(middle))
+    last = entry("last", LAST)
+    last = F.when(chance("upper", k, 5), F.upper(last)).otherwise(last)
+    first = entry("first", FIRST)
+    name = F.when(chance("surname_first", k, 5), F.concat(last, F.lit(", "), F.concat_ws(" ", first, m))).otherwise(F.concat_ws(" ", first, m, last))
+    end = F.when(chance("suffix", k, 8), F.concat(F.when(chance("comma", k, 50), ", ").otherwise(" "), entry("which", SUFFIXES))).otherwise("")
+    return table(spark, sf, "customer").select("c_custkey", F.concat(name, end).alias("full_name"))
+
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789/-.,"
+LENGTH_SQL = f"CASE WHEN {chance_sql('one', 'k', 70)} THEN 1 ELSE 2 + {pick_sql('more', 'k', 3)} END"
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS k FROM orders) SELECT k AS o_orderkey, array_to_string(list_transform(range(1, {LENGTH_SQL} + 1), lambda i: '{ALPHABET}'[(floor({draw_sql('char', "k || '.' || i")} * {len(ALPHABET)} / {SPAN}) + 1)::INT]), '') AS characters,
+ {pick_sql('age', 'k', 111)}::VARCHAR AS age, array_to_string(list_transform(range(1, {pick_sql('digits', 'k', 6)} + 2), lambda i: (floor({draw_sql('digit', "k || '.' || i")} * 10 / {SPAN}))::INT::VARCHAR), '') AS digits FROM o""")
+def numeric_and_character_samples(spark, sf):
+    k = F.col("o_orderkey")
+    sub = lambda i: F.concat_ws(".", k.cast("string"), i.cast("string"))
+    size = F.when(chance("one", k, 70), 1).otherwise(2 + pick("more", k, 3))
+    chars = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(F.lit(ALPHABET), pick("char", sub(i), len(ALPHABET)) + 1, F.lit(1)))
+    digits = F.transform(F.sequence(F.lit(1), pick("digits", k, 6) + 1), lambda i: pick("digit", sub(i), 10).cast("string"))
+    return table(spark, sf, "orders").select(k, F.array_join(chars, "").alias("characters"), pick("age", k, 111).cast("string").alias("age"), F.array_join(digits, "").alias("digits"))
+
+
+#: Bytes assumed per image and row, fixed bytes, ratios and reserves of the estimate, fixed values.
+PNG, ROW, FIXED, ARCHIVE, SAFETY, RESERVE = 96 << 10, 768, 4 << 20, 1.05, 1.20, 64 << 20
+
+
+@query(f"""WITH e AS (SELECT r_regionkey, (10 ** (r_regionkey + 1))::BIGINT AS samples, {FIXED} + (10 ** (r_regionkey + 1))::BIGINT * {PNG + ROW} AS dataset FROM region), a AS (SELECT *, ceil(dataset * {ARCHIVE}::DOUBLE)::BIGINT AS archive FROM e)
+SELECT r_regionkey, samples, dataset, archive, (ceil((dataset + archive) * {SAFETY}::DOUBLE) + {RESERVE})::BIGINT AS required, least(600, greatest(30, (r_regionkey + 1) * 22)) AS images_per_second FROM a""")
+def resource_estimate(spark, sf):
+    n = F.pow(F.lit(10), F.col("r_regionkey") + 1).cast("long")
+    rows = table(spark, sf, "region").select("r_regionkey", n.alias("samples"), (FIXED + n * (PNG + ROW)).alias("dataset"))
+    rows = rows.withColumn("archive", F.ceil(F.col("dataset") * F.lit(ARCHIVE)).cast("long"))
+    required = (F.ceil((F.col("dataset") + F.col("archive")) * F.lit(SAFETY)) + RESERVE).cast("long")
+    return rows.select("*", required.alias("required"), F.least(F.lit(600), F.greatest(F.lit(30), (F.col("r_regionkey") + 1) * 22)).alias("images_per_second"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.1f KB', b / 1024.0) WHEN b < 1073741824 THEN printf('%.1f MB', b / 1048576.0) ELSE printf('%.1f GB', b / 1073741824.0) END AS size FROM (SELECT o_orderkey, (o_orderkey * o_orderkey * 16)::BIGINT AS b FROM orders)""")
+def human_sizes(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", text.human_bytes((F.col("o_orderkey") * F.col("o_orderkey") * 16).cast("long")).alias("size"))
+
+
+SIDES_SQL = "SELECT p_partkey, (10 + p_partkey % 900)::INT AS w, (8 + p_size * 7)::INT AS h FROM part"
+
+
+def sides(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", (10 + F.col("p_partkey") % 900).cast("int").alias("w"), (8 + F.col("p_size") * 7).cast("int").alias("h"))
+
+
+@query(f"""WITH g AS ({SIDES_SQL}), c AS (SELECT *, CASE WHEN w >= h THEN 384 ELSE round_even(w * least(384.0::DOUBLE / w, 384.0::DOUBLE / h), 0) END::INT AS nw, CASE WHEN h >= w THEN 384 ELSE round_even(h * least(384.0::DOUBLE / w, 384.0::DOUBLE / h), 0) END::INT AS nh FROM g)
+SELECT p_partkey, nw, nh, ((384 - nw) // 2)::INT AS x, ((384 - nh) // 2)::INT AS y FROM c""")
+def resize_pad_geometry(spark, sf):
+    g = images.padded_geometry(F.col("w"), F.col("h"))
+    return sides(spark, sf).select("p_partkey", *[c.alias(n) for c, n in zip(g, ("nw", "nh", "x", "y"), strict=True)])
+
+
+_share = lambda ns, k: f"({pick_sql(ns, k, 90)} / 1000.0::DOUBLE)"
+
+
+@query(f"""WITH g AS ({SIDES_SQL}), c AS (SELECT *, round_even(h * {_share('top', 'p_partkey')}, 0)::INT AS t, round_even(h * {_share('bottom', 'p_partkey')}, 0)::INT AS b, round_even(w * {_share('left', 'p_partkey')}, 0)::INT AS l, round_even(w * {_share('right', 'p_partkey')}, 0)::INT AS r FROM g),
+p AS (SELECT *, least(l, greatest(0, w - 10)) AS x, least(t, greatest(0, h - 10)) AS y FROM c) SELECT p_partkey, x AS x0, y AS y0, greatest(x + 10, w - r) AS x1, greatest(y + 10, h - b) AS y1 FROM p""")
+def edge_crop_geometry(spark, sf):
+    shares = tuple(pick(ns, F.col("p_partkey"), 90) / F.lit(1000.0) for ns in ("top", "bottom", "left", "right"))
+    g = images.crop_geometry(F.col("w"), F.col("h"), shares)
+    return sides(spark, sf).select("p_partkey", *[c.alias(n) for c, n in zip(g, ("x0", "y0", "x1", "y1"), strict=True)])
+
+
+@query("""WITH a AS (SELECT unnest(range(1, 21))::INT AS attempt), l AS (SELECT * FROM (VALUES ('7'), (' ab '), ('Maria Santos')) t(label)), g AS (SELECT attempt, label, length(trim(label)) AS s FROM a, l),
+b AS (SELECT *, CASE WHEN s <= 3 THEN least(24, greatest(1, s * 3)) ELSE 24 END AS g0, CASE WHEN s <= 3 THEN 35 ELSE 50 END AS e0, greatest(1, 10 - (attempt - 8)) AS t FROM g)
+SELECT attempt, label, CASE WHEN attempt > 8 THEN greatest(1, floor(g0 * t / 10)) ELSE g0 END::INT AS gaps, CASE WHEN attempt > 8 THEN floor(e0 * t / 10) ELSE e0 END::INT AS erode, attempt > 15 AS safe FROM b""")
+def damage_backoff(spark, sf):
+    labels = spark.createDataFrame([("7",), (" ab ",), ("Maria Santos",)], "label string")
+    rows = spark.range(1, 21).select(F.col("id").cast("int").alias("attempt"), F.explode(F.array(*[F.lit(r["label"]) for r in labels.collect()])).alias("label"))
+    gaps, erode, safe = images.backoff(F.col("attempt"), F.col("label"), F.lit(24), F.lit(50))
+    return rows.select("attempt", "label", gaps.alias("gaps"), erode.alias("erode"), safe.alias("safe"))
+
+
+PIXELS_SQL = "list_transform(embedding, lambda v: greatest(0, least(255, floor(128 + v * 400)))::DOUBLE)"
+
+
+def gray(spark, sf):
+    """Embeddings of 64 numbers as gray images of 8 x 8."""
+    level = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.floor(128 + v.cast("double") * 400).cast("double")))
+    return table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", level).alias("pixels"))
+
+
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(0, least(255, floor(128 + v::DOUBLE * 400)))::DOUBLE) AS px FROM embeddings)
+SELECT vec_id, round(list_avg(px), 3) AS mean_luminance, round(list_aggregate(px, 'stddev_pop'), 3) AS luminance_std, round(list_aggregate(px, 'quantile_cont', 0.95) - list_aggregate(px, 'quantile_cont', 0.05), 3) AS robust_contrast, len(list_filter(px, lambda v: v < 200)) / 64 AS ink_coverage,
+ (len(list_filter(range(1, 65), lambda i: i % 8 <> 0 AND abs(px[i] - px[i + 1]) > 20)) + len(list_filter(range(1, 57), lambda i: abs(px[i] - px[i + 8]) > 20))) / 112 AS edge_density FROM p""")
+def image_metrics_8x8(spark, sf):
+    m = images.measured(gray(spark, sf), "pixels", 8)
+    return m.select("vec_id", *[F.round(c, 3).alias(c) for c in ("mean_luminance", "luminance_std", "robust_contrast")], "ink_coverage", "edge_density")
+
+
+@query()
+def image_degrade_noise(spark, sf):
+    """A full degradation of every image: the same whatever the partitioning, not expressible in SQL."""
+    out = images.mapped(gray(spark, sf), "vec_id", "pixels", 8, images.degrade)
+    return out.select("vec_id", F.size("pixels").alias("n"), F.round(F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(0, least(255, floor(128 + v::DOUBLE * 400)))::DOUBLE) AS px FROM embeddings),
+q AS (SELECT vec_id, list_aggregate(px, 'quantile_cont', 0.99) - list_aggregate(px, 'quantile_cont', 0.01) AS contrast, len(list_filter(px, lambda v: v < 210)) / 64 AS coverage FROM p)
+SELECT vec_id, concat_ws(',', CASE WHEN contrast < 5 THEN 'insufficient contrast' END, CASE WHEN coverage < 0.0002 THEN 'nearly blank' END) AS problems FROM q""")
+def image_quality_rules(spark, sf):
+    g = gray(spark, sf)
+    part = lambda p: F.element_at(F.array_sort("pixels"), F.floor(F.lit(63 * p)).cast("int") + 1) * (1 - (63 * p) % 1) + F.element_at(F.array_sort("pixels"), F.floor(F.lit(63 * p)).cast("int") + 2) * ((63 * p) % 1)
+    coverage = F.size(F.filter("pixels", lambda v: v < images.DARK)) / 64
+    found = images.complaints(part(0.99) - part(0.01), coverage, F.lit(0), F.lit(3), F.lit(8), F.lit(8))
+    return g.select("vec_id", F.array_join(found, ",").alias("problems"))
+
+
+@query("SELECT event_type, count(*) AS n, sum((json_extract_string(props, '$.k') IS NOT NULL)::INT)::BIGINT AS with_k, sum((props LIKE '{%')::INT)::BIGINT AS objects FROM events GROUP BY event_type")
+def json_gate(spark, sf):
+    k = F.get_json_object("props", "$.k")
+    return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(k).alias("with_k"), F.count_if(F.col("props").startswith("{")).alias("objects"))

@@ -38,7 +38,11 @@ WIDTH = 5
 PERCENT = 80
 #: Postings in a bucket, about, and members of a chunk that is searched at once.
 BUCKET_POSTINGS = 400_000
-CHUNK = 256
+CHUNK = 2048
+#: Lists of at most so many nodes are searched by pairs, longer ones chunk against chunk.
+PAIR_LIST = 128
+#: Lists at least so long are set aside and probed.
+LONG_LIST = 256
 #: Shingles of so many nodes or more count as equally common.
 COMMON = 64
 #: Balance of DivideSkip between merging and probing, a fixed value of the published method.
@@ -207,12 +211,13 @@ class Index:
         self.tok = tok[self.start]
         self.length = np.diff(np.append(self.start, len(tok)))
         self.count = len(sets)
+        self.places = np.repeat(np.arange(len(self.start)), self.length) * self.count + self.members
 
     def search(self, query: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Members with at least ``least`` shingles of ``query``, and how many (DivideSkip).
 
-        The longest L lists are set aside; a member in enough of the answer has at least least - L
-        of the others, which are merged, and is then looked up in the long lists by binary search.
+        At most L of the longest lists are set aside.  A member of the answer is in least - L of the
+        others, which are merged; those that are get looked up in the long ones by binary search.
         """
         if not len(self.tok) or least < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -220,24 +225,22 @@ class Index:
         at = at[self.tok[at] == query]
         if len(at) < least:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        longest = int(self.length[at].max())
-        aside = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)), len(at))
-        order = np.argsort(self.length[at], kind="stable")
-        short, long = at[order[: len(at) - aside]], at[order[len(at) - aside :]]
+        long = at[self.length[at] >= LONG_LIST]
+        if len(long):
+            most = int(least / (MU * np.log2(int(self.length[long].max()) + 1) + 1))
+            long = long[np.argsort(self.length[long], kind="stable")][-min(least - 1, most, len(long)) :] if min(least - 1, most) else long[:0]
+        short, aside = np.setdiff1d(at, long, assume_unique=True), len(long)
         size = self.length[short]
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         found = np.bincount(self.members[np.repeat(self.start[short], size) + place], minlength=self.count)
         out = np.flatnonzero(found >= least - aside)
         found = found[out]
-        for k in long.tolist():
-            if not len(out):
-                break
-            own = self.members[self.start[k] : self.start[k] + self.length[k]]
-            p = np.minimum(np.searchsorted(own, out), len(own) - 1)
-            found = found + (own[p] == out)
-            aside -= 1
-            keep = found + aside >= least
-            out, found = out[keep], found[keep]
+        if aside and len(out):
+            # One binary search for each member still in question and each long list, all at once.
+            wanted = (long[None, :] * self.count + out[:, None]).ravel()
+            p = np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)
+            found = found + (self.places[p] == wanted).reshape(len(out), aside).sum(axis=1)
+            out, found = out[found >= least], found[found >= least]
         return out, found
 
 
@@ -287,7 +290,7 @@ def _search_groups(members: DataFrame) -> DataFrame:
 def links_of(postings: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between nodes of different sets that join the same nodes as all links do.
 
-    ``postings`` (tok, node): rare-first prefixes; ``sets`` (node, n, toks): shared shingles.
+    ``postings`` (tok, node, n): rare-first prefixes; ``sets`` (node, n, toks): shared shingles.
     """
     # With the least node of the lists it shares most: one chunk holds that node's followers.
     least = postings.groupBy("tok").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).where("m > 1")
@@ -304,24 +307,28 @@ def links_of(postings: DataFrame, sets: DataFrame) -> DataFrame:
         F.lit(True).alias("asks"), F.lit(True).alias("held"), F.col("lead").alias("first"),
     )
     found = cut(_search_groups(rows))
-    # Lists that still hold more than one component: every chunk of a list against every other.
+    # Lists that still hold more than one component: nodes of different components in a short list
+    # are searched pair by pair, each pair once; of a long list every chunk against every other.
     comp = components(found)
-    marked = cut(postings.join(comp, "node", "left").select("tok", "node", F.coalesce("root", "node").alias("comp")))
+    marked = cut(postings.join(comp, "node", "left").select("tok", "node", "n", F.coalesce("root", "node").alias("comp")))
     mixed = marked.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    mixed = mixed.withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("long"))
-    part = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    rest = marked.join(mixed, "tok").select("tok", "node", "comp", "chunks", part.alias("own"))
-    # Lists of one chunk: the same nodes meet in many of them, so one search for each set of nodes.
-    whole = rest.where("chunks = 1").groupBy("tok").agg(F.array_sort(F.collect_set("node")).alias("who"))
-    whole = whole.select("who").distinct().select(F.xxhash64("who").alias("g"), F.explode("who").alias("node"))
-    whole = whole.select("g", F.lit(0).cast("long").alias("i"), F.lit(-1).cast("long").alias("j"), "node", F.lit(True).alias("asks"), F.lit(True).alias("held"))
-    upper = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    split = rest.where("chunks > 1").withColumn("other", upper)
-    split = split.select(
+    rest = marked.join(mixed.select("tok", "m"), "tok")
+    few = rest.where(F.col("m") <= PAIR_LIST).drop("m")
+    other = few.select("tok", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    alike = 100 * F.least("n", "n2") >= PERCENT * F.greatest("n", "n2")
+    pairs = few.join(other, (few["tok"] == other["tok"]) & (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & alike)
+    pairs = cut(pairs.select(F.col("node").alias("g"), F.col("node2").alias("node")).distinct())
+    chunks = pairs.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
+    one, yes, no = F.lit(-1).cast("long").alias("j"), F.lit(True), F.lit(False)
+    partners = pairs.join(chunks, "g").select("g", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("i"), one, "node", no.alias("asks"), yes.alias("held"))
+    askers = chunks.select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("i"), one, F.col("g").alias("node"), yes.alias("asks"), no.alias("held"))
+    long = rest.where(F.col("m") > PAIR_LIST).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("long")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    long = long.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    long = long.select(
         F.col("tok").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
         (F.col("own") <= F.col("other")).alias("asks"), (F.col("own") >= F.col("other")).alias("held"),
     )
-    again = whole.union(split).join(sets, "node").join(comp.withColumnRenamed("root", "comp"), "node", "left")
+    again = partners.union(askers).union(long).join(sets, "node").join(comp.withColumnRenamed("root", "comp"), "node", "left")
     again = again.select("g", "i", "j", "node", F.coalesce("comp", "node").alias("comp"), "n", "toks", "asks", "held", F.lit(False).alias("first"))
     return found.union(cut(_search_groups(again)))
 
@@ -363,7 +370,7 @@ def join_similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(toks, pa.binary()), pa.array(first, pa.list_(pa.int64()))], ["node", "n", "toks", "first"])
 
     sets = stored(kept.mapInArrow(order, "node long, n long, toks binary, first array<long>"), "similar-sets")
-    links = links_of(sets.select(F.explode("first").alias("tok"), "node"), sets.select("node", "n", "toks"))
+    links = links_of(sets.select(F.explode("first").alias("tok"), "node", "n"), sets.select("node", "n", "toks"))
     comp = components(links)
     low = comp.join(cls.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component_id"))
     together = comp.join(low, "root").select("node", "component_id")

@@ -34,6 +34,8 @@ BANDS = 4
 #: Words of whole paragraphs that a passage has at least; up to about eleven more at either
 #: end lie in paragraphs that its surroundings cut differently.
 MIN_WORDS = 24
+#: Candidate paragraphs whose hashes are sent to the workers; beyond it they are joined.
+FEW = 1_000_000
 _SEED = _stream(BANDS, 41) | U64(1)
 
 
@@ -119,10 +121,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 rows = [np.unique(s[first[k] : first[k + 1]]).view(np.int64) for k in keep.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(whole[keep].view(np.int64)), pa.array(rows, pa.list_(pa.int64()))], ["ph", "s"])
 
-    few = 1_000_000
-    rows = wanted.limit(few + 1).collect()
-    # Few enough hashes (8 bytes each) go to the workers; else all sets go through a join.
-    known = ship(docs.sparkSession).sparkContext.broadcast(np.sort(np.array([r[0] for r in rows], np.int64))) if len(rows) <= few else None
+    known = None
+    if wanted.limit(FEW + 1).count() <= FEW:
+        # Few enough hashes (8 bytes each) go to the workers as one array; else all sets go through a join.
+        hashes = np.sort(wanted.toArrow().column("ph").to_numpy())
+        known = ship(docs.sparkSession).sparkContext.broadcast(hashes)
+    ship(docs.sparkSession)
     sets = docs.select("text").mapInArrow(run, "ph long, s array<long>")
     if known is None:
         sets = sets.join(wanted.hint("merge"), "ph", "left_semi")

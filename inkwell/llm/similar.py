@@ -39,10 +39,10 @@ PERCENT = 80
 #: Postings in a bucket, about, and members of a chunk that is searched at once.
 BUCKET_POSTINGS = 400_000
 CHUNK = 2048
-#: Lists of at most so many nodes are searched by pairs, longer ones chunk against chunk.
-PAIR_LIST = 128
+#: Nodes of a block of connected lists that is searched as a whole.
+BLOCK = 8192
 #: Lists at least so long are set aside and probed.
-LONG_LIST = 256
+LONG_LIST = 1024
 #: Shingles of so many nodes or more count as equally common.
 COMMON = 64
 #: Balance of DivideSkip between merging and probing, a fixed value of the published method.
@@ -227,8 +227,9 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         long = at[self.length[at] >= LONG_LIST]
         if len(long):
-            most = int(least / (MU * np.log2(int(self.length[long].max()) + 1) + 1))
-            long = long[np.argsort(self.length[long], kind="stable")][-min(least - 1, most, len(long)) :] if min(least - 1, most) else long[:0]
+            # The method's bound for L, and a quarter of T, so that merging leaves few to look up.
+            most = min(least // 4, len(long), int(least / (MU * np.log2(int(self.length[long].max()) + 1) + 1)))
+            long = long[np.argsort(-self.length[long], kind="stable")][:most]
         short, aside = np.setdiff1d(at, long, assume_unique=True), len(long)
         size = self.length[short]
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
@@ -304,31 +305,27 @@ def links_of(postings: DataFrame, sets: DataFrame) -> DataFrame:
     rows = followers.union(leaders).join(sets, "node")
     rows = rows.select(
         F.col("pivot").alias("g"), "i", F.lit(0).cast("long").alias("j"), "node", F.col("node").alias("comp"), "n", "toks",
-        F.lit(True).alias("asks"), F.lit(True).alias("held"), F.col("lead").alias("first"),
+        F.col("lead").alias("asks"), F.lit(True).alias("held"), F.col("lead").alias("first"),
     )
     found = cut(_search_groups(rows))
-    # Lists that still hold more than one component: nodes of different components in a short list
-    # are searched pair by pair, each pair once; of a long list every chunk against every other.
+    # Lists that still hold more than one component: those that share nodes make a block, and a
+    # block's nodes are searched against each other once.  In a block that is too large for one task
+    # each list is searched by itself, chunk against chunk.
     comp = components(found)
     marked = cut(postings.join(comp, "node", "left").select("tok", "node", "n", F.coalesce("root", "node").alias("comp")))
-    mixed = marked.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    rest = marked.join(mixed.select("tok", "m"), "tok")
-    few = rest.where(F.col("m") <= PAIR_LIST).drop("m")
-    other = few.select("tok", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    alike = 100 * F.least("n", "n2") >= PERCENT * F.greatest("n", "n2")
-    pairs = few.join(other, (few["tok"] == other["tok"]) & (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & alike)
-    pairs = cut(pairs.select(F.col("node").alias("g"), F.col("node2").alias("node")).distinct())
-    chunks = pairs.groupBy("g").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
-    one, yes, no = F.lit(-1).cast("long").alias("j"), F.lit(True), F.lit(False)
-    partners = pairs.join(chunks, "g").select("g", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("i"), one, "node", no.alias("asks"), yes.alias("held"))
-    askers = chunks.select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("i"), one, F.col("g").alias("node"), yes.alias("asks"), no.alias("held"))
-    long = rest.where(F.col("m") > PAIR_LIST).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("long")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    long = long.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    long = long.select(
+    mixed = marked.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.min("node").alias("least")).where("lo <> hi")
+    rest = cut(marked.join(mixed.select("tok", "m", "least"), "tok"))
+    block = components(rest.select("node", F.col("least").alias("other"))).select("node", F.col("root").alias("block"))
+    block = block.join(block.groupBy("block").agg(F.count("*").alias("size")), "block")
+    yes, zero = F.lit(True), F.lit(0).cast("long")
+    near = block.where(F.col("size") <= BLOCK).select(F.col("block").alias("g"), zero.alias("i"), F.lit(-1).cast("long").alias("j"), "node", yes.alias("asks"), yes.alias("held"))
+    far = rest.join(block.where(F.col("size") > BLOCK), "node").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("long"))
+    far = far.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+    far = far.select(
         F.col("tok").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
         (F.col("own") <= F.col("other")).alias("asks"), (F.col("own") >= F.col("other")).alias("held"),
     )
-    again = partners.union(askers).union(long).join(sets, "node").join(comp.withColumnRenamed("root", "comp"), "node", "left")
+    again = near.union(far).join(sets, "node").join(comp.withColumnRenamed("root", "comp"), "node", "left")
     again = again.select("g", "i", "j", "node", F.coalesce("comp", "node").alias("comp"), "n", "toks", "asks", "held", F.lit(False).alias("first"))
     return found.union(cut(_search_groups(again)))
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.session import ship
+
 #: The bytes that separate words: 0x20 and 0x09-0x0D.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[ \x09-\x0D]+"
@@ -20,7 +20,6 @@ WORD = r"[^ \x09-\x0D]+"
 BROADCAST_ROWS = 2_000_000
 
 _made: list[tuple[SparkSession, str]] = []
-_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,20 +33,6 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package's modules to the Python workers, once per application."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        root = Path(__file__).resolve().parents[1]
-        target = Path(tempfile.mkdtemp(prefix="inkwell-code-")) / "inkwell-code.zip"
-        with zipfile.ZipFile(target, "w") as z:
-            for f in sorted(root.rglob("*.py")):
-                z.write(f, f.relative_to(root.parent))
-        spark.sparkContext.addPyFile(str(target))
-        _shipped.add(app)
-    return spark
-
-
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a table or folder that this module made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -108,6 +93,18 @@ def word_count(text: Column) -> Column:
     return F.when(inner == "", F.lit(0)).otherwise(F.size(F.split(inner, SPACE_RUN))).cast("long")
 
 
+def shielded(docs: DataFrame, needed: tuple[str, ...]):
+    """(docs, back): with the columns that are not ``needed`` under names that no operator uses, and
+    the function that gives a result its columns back."""
+    other = {c: f"_x{k}" for k, c in enumerate(docs.columns) if c not in needed}
+    names = docs.columns
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(other.get(c, c)).alias(c) for c in names])
+
+    return docs.select(*[F.col(c).alias(other.get(c, c)) for c in names]), back
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

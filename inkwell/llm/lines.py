@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, checked_join, cut, documents, stored, text_of
+from .common import SPACE_RUN, SPACES, checked_join, cut, documents, shielded, stored, text_of
 from .components import components
 
 SHINGLE = 12
@@ -100,15 +100,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     A document of which no word is left goes as well; one that lost nothing stays as it is.
     """
-    rows = with_removed(docs.withColumnRenamed("removed", "_own"))
+    docs, back = shielded(docs, ("doc_id", "text", "n_chars"))
+    rows = with_removed(docs)
     left = F.array_join(F.filter(F.split(text_of(F.col("text")), "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
     rows = rows.withColumn("_n", F.size("removed")).withColumn("text", F.when(F.col("_n") > 0, left).otherwise(F.col("text")))
     rows = rows.where((F.col("_n") == 0) | (F.btrim("text", F.lit(SPACES)) != ""))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("_n") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    if "removed" in docs.columns:
-        rows = rows.drop("removed").withColumnRenamed("_own", "removed")
-    return rows.select(*docs.columns)
+    return back(rows)
 
 
 def op8_line_dedup(spark, sf_dir) -> DataFrame:

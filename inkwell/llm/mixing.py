@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, checked_join, cut, partitions, text_of, trimmed, word_count
+from .common import SPACE_RUN, checked_join, cut, partitions, shielded, text_of, trimmed, word_count
 
 #: The production mix: weights of the sources in order, repeating; the most epochs of a source.
 WEIGHTS = (1, 2, 3)
@@ -103,7 +103,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     ``n_chars`` of the cut copies is their new length.  Documents without words are in no mix.
     """
-    cols = docs.columns
+    docs, back = shielded(docs, ("doc_id", "text", "source", "n_chars"))
     got = mix(docs, word_count(F.col("text")), row_key())
     whole = F.when(F.col("copies") > 0, F.array_repeat(F.lit(-1).cast("long"), F.col("copies").cast("int"))).otherwise(F.array().cast("array<long>"))
     last = F.when(F.col("part") >= F.col("size"), F.array(F.lit(-1).cast("long"))).when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<long>"))
@@ -111,9 +111,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     head = F.array_join(F.slice(F.split(trimmed(F.col("text")), SPACE_RUN), 1, F.col("_copy").cast("int")), " ")
     text = F.when(F.col("_copy") < 0, F.col("text")).otherwise(head)
     got = got.withColumn("text", text)
-    if "n_chars" in cols:
+    if "n_chars" in docs.columns:
         got = got.withColumn("n_chars", F.when(F.col("_copy") < 0, F.col("n_chars")).otherwise(F.length(text_of(F.col("text"))).cast(docs.schema["n_chars"].dataType)))
-    return got.select(*cols)
+    return back(got)
 
 
 def op1_mix_sources(spark, sf_dir) -> DataFrame:

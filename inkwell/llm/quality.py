@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACES, checked_join, cut, documents, stored, text_of, trimmed, word_array
+from .common import SPACES, checked_join, cut, documents, shielded, stored, text_of, trimmed, word_array
 
 #: Ratios in thousandths, and how far above the upper quartile a threshold lies at least.
 LEAST = {"symbols": 100, "dup_lines": 300, "punctuation": 600}
@@ -37,7 +37,7 @@ def _without(text: Column, characters: str) -> Column:
 
 def with_metrics(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed and
-    the three ratios (r_*) to every row; a null text counts as an empty one.
+    the three ratios (r_*) to every row; a null text counts as an empty one.  Columns of these names are replaced.
 
     Equal lines and equal windows are found by 64-bit hashes within one text.
     """
@@ -117,7 +117,8 @@ def judged(metrics: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, columns as in ``docs``."""
-    return judged(stored(with_metrics(docs), "quality")).where("kept").select(*docs.columns)
+    docs, back = shielded(docs, ("text", "lang", "source"))
+    return back(judged(stored(with_metrics(docs), "quality")).where("kept"))
 
 
 def op9_quality_rules(spark, sf_dir) -> DataFrame:

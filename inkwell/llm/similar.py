@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import groups
-from .common import checked_join, cut, documents, ship, stored
+from .common import checked_join, cut, documents, shielded, ship, stored
 from .components import components
 from .text_arrays import U64, shingles, words
 
@@ -378,6 +378,7 @@ def join_similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without those that link, directly or over others, with one of lower id:
     one row of each component stays, columns as in ``docs``."""
+    docs, back = shielded(docs, ("doc_id", "text"))
     rows, found = join_similar(docs)
     inside = checked_join(rows.where("n > 0"), found, "sig").select("doc_id", "rk", F.col("component_id").alias("c"), "sig")
     inside = stored(inside.withColumn("c", F.coalesce(F.col("c").cast("string"), F.hex("sig"))), "similar-members")
@@ -389,7 +390,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         many = cut(inside.groupBy("rk").count().where("count > 1").select(F.col("rk").alias("_rk")))
         once = checked_join(out, many, "_rk", "left_semi").dropDuplicates(["_rk"])
         out = checked_join(out, many, "_rk", "left_anti").unionByName(once)
-    return out.select(*docs.columns)
+    return back(out)
 
 
 def op10_ngram_jaccard(spark, sf_dir) -> DataFrame:

@@ -158,8 +158,71 @@ def scratches(g, r):
     return out
 
 
+def rotate(g, r, degrees=4.0):
+    """Turn around the centre, bilinear, white outside."""
+    t = np.deg2rad(r.uniform(-degrees, degrees))
+    h, w = g.shape
+    y, x = np.indices(g.shape) - np.array([(h - 1) / 2, (w - 1) / 2])[:, None, None]
+    sy, sx = np.cos(t) * y + np.sin(t) * x + (h - 1) / 2, np.cos(t) * x - np.sin(t) * y + (w - 1) / 2
+    wide = np.pad(g, 1, constant_values=255)
+    y0, x0 = (np.clip(np.floor(v).astype(int) + 1, 0, n) for v, n in ((sy, h), (sx, w)))
+    fy, fx = np.clip(sy + 1 - y0, 0, 1), np.clip(sx + 1 - x0, 0, 1)
+    top, low = wide[y0, x0] * (1 - fx) + wide[y0, x0 + 1] * fx, wide[y0 + 1, x0] * (1 - fx) + wide[y0 + 1, x0 + 1] * fx
+    return top * (1 - fy) + low * fy
+
+
+def tint(g, r, low=0.05, high=0.2):
+    """Blend with a paper tone."""
+    return blend(g, float(r.choice([245, 235, 225])), r.uniform(low, high))
+
+
+def clip_edges(g, shares):
+    """Cut shares (top, bottom, left, right) off, ten pixels staying on either axis."""
+    h, w = g.shape
+    top, bottom, left, right = (round(s * n) for s, n in zip(shares, (h, h, w, w), strict=True))
+    x, y = min(left, max(0, w - 10)), min(top, max(0, h - 10))
+    return g[y : max(y + 10, h - bottom), x : max(x + 10, w - right)]
+
+
+def resize(g, height, width):
+    """Bilinear, sampled at pixel centres."""
+    y, x = (np.clip((np.arange(n) + 0.5) * s / n - 0.5, 0, s - 1) for n, s in zip((height, width), g.shape, strict=True))
+    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
+    y1, x1 = np.minimum(y0 + 1, g.shape[0] - 1), np.minimum(x0 + 1, g.shape[1] - 1)
+    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
+    return (g[np.ix_(y0, x0)] * (1 - fx) + g[np.ix_(y0, x1)] * fx) * (1 - fy) + (g[np.ix_(y1, x0)] * (1 - fx) + g[np.ix_(y1, x1)] * fx) * fy
+
+
+def resize_and_pad(g, size=384, fill=255):
+    """Contained in a square, centred, without distortion."""
+    h, w = g.shape
+    scale = min(size / h, size / w)
+    inner = resize(g, max(1, round(h * scale)), max(1, round(w * scale)))
+    out = np.full((size, size), float(fill))
+    y, x = (size - inner.shape[0]) // 2, (size - inner.shape[1]) // 2
+    out[y : y + inner.shape[0], x : x + inner.shape[1]] = inner
+    return out
+
+
+def low_resolution(g, r):
+    """The test split's hold-out: shrunk, enlarged again and blurred."""
+    scale = r.uniform(0.55, 0.70)
+    small = resize(g, max(1, round(g.shape[0] * scale)), max(1, round(g.shape[1] * scale)))
+    return blur(resize(small, *g.shape), r, 2.0, 2.6)
+
+
+def accepted(make: Callable[[int], np.ndarray], attempts: int = 20) -> tuple[np.ndarray, int]:
+    """The first attempt of ``make`` whose image passes the quality rules; fails after the last."""
+    for k in range(1, attempts + 1):
+        out = make(k)
+        q = quality(out)
+        if q["contrast"] >= MIN_CONTRAST and q["coverage"] >= MIN_COVERAGE and q["border_ink"] < q["border_limit"]:
+            return out, k
+    raise RuntimeError(f"no sound image in {attempts} attempts")
+
+
 #: The steps of a full degradation in their order, with the percentage of images that take each.
-CHAIN = ((fade, 60), (brightness, 60), (stains, 15), (erode_ink, 30), (ink_gaps, 30), (scratches, 20), (blur, 50), (noise, 70), (paper_texture, 30), (scan_lines, 20))
+CHAIN = ((fade, 60), (brightness, 60), (tint, 30), (stains, 15), (erode_ink, 30), (ink_gaps, 30), (scratches, 20), (rotate, 40), (blur, 50), (noise, 70), (paper_texture, 30), (scan_lines, 20))
 
 
 def degrade(g: np.ndarray, r: np.random.Generator) -> np.ndarray:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import text, words
 from inkwell.functions.rand import SPAN, chance, chance_sql, draw, draw_sql, pick, pick_sql
-from inkwell.operators import images
+from inkwell.operators import generate, images, policy
+from inkwell.operators.policy import WriterProfile
 from inkwell.registry import Registry, table
 
 registry = Registry()
@@ -191,3 +192,42 @@ def image_quality_rules(spark, sf):
 def json_gate(spark, sf):
     k = F.get_json_object("props", "$.k")
     return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(k).alias("with_k"), F.count_if(F.col("props").startswith("{")).alias("objects"))
+
+
+TRAITS = ("slant", "pressure", "ink")
+_trait_sql = lambda t, a, b: f"round({a} + {draw_sql('style.' + t, 'c_custkey')} / {float(SPAN)}::DOUBLE * ({b} - {a}), 6) AS {t}"
+
+
+@query(f"SELECT c_custkey, {', '.join(_trait_sql(t, *getattr(WriterProfile(), t)) for t in TRAITS)} FROM customer")
+def writer_styles(spark, sf):
+    out = policy.writer_styles(table(spark, sf, "customer"), "c_custkey")
+    return out.select("c_custkey", *[F.round(t, 6).alias(t) for t in TRAITS])
+
+
+@query("SELECT o_orderkey, CASE WHEN g >= 12 THEN 16 WHEN g >= 8 THEN 8 WHEN g >= 4 THEN 4 ELSE 1 END AS batch FROM (SELECT o_orderkey, o_orderkey % 16 AS g FROM orders)")
+def evaluation_batch_size(spark, sf):
+    free = ((F.col("o_orderkey") % 16) * (1 << 30)).cast("long")
+    return table(spark, sf, "orders").select("o_orderkey", policy.evaluation_batch(free).alias("batch"))
+
+
+PATTERNS_SQL = ", ".join(f"('{f}', '{p}', '{i}')" for f, p, ids in (("date_written", "base", words.WRITTEN_BASE), ("date_written", "held_out_historical_date_v1", words.WRITTEN_HELD_OUT), ("date_numeric", "base", words.NUMERIC_BASE), ("date_numeric", "held_out_historical_date_v1", words.NUMERIC_HELD_OUT)) for i in ids)
+
+
+@query(f"""WITH p AS (SELECT * FROM (VALUES {PATTERNS_SQL}) t(field_type, format_profile, format_id)), o AS (SELECT o_orderkey, ['date_written', 'date_numeric', 'place'][(o_orderkey % 3 + 1)::INT] AS f, CASE WHEN o_orderkey % 2 = 0 THEN 'base' ELSE 'held_out_historical_date_v1' END AS pr,
+ ['day_month_full_year', 'full_year_month_day', 'default', '', 'padded_month_day_full_year'][(o_orderkey % 5 + 1)::INT] AS i FROM orders)
+SELECT o_orderkey, CASE WHEN f = 'place' THEN i IN ('', 'default') ELSE EXISTS (SELECT 1 FROM p WHERE p.field_type = f AND p.format_profile = pr AND p.format_id = i) END AS allowed FROM o""")
+def allowed_formats(spark, sf):
+    patterns = spark.createDataFrame([tuple(x.strip("'") for x in r.split("', '")) for r in PATTERNS_SQL.strip("()").split("), (")], "field_type string, format_profile string, format_id string")
+    k = F.col("o_orderkey")
+    field = F.element_at(F.array(F.lit("date_written"), F.lit("date_numeric"), F.lit("place")), (k % 3 + 1).cast("int"))
+    ids = F.element_at(F.array(*[F.lit(x) for x in ("day_month_full_year", "full_year_month_day", "default", "", "padded_month_day_full_year")]), (k % 5 + 1).cast("int"))
+    kind = F.when(k % 2 == 0, "base").otherwise("held_out_historical_date_v1")
+    return table(spark, sf, "orders").select("o_orderkey", policy.allowed_format(field, kind, ids, patterns).alias("allowed"))
+
+
+@query()
+def generated_plan(spark, sf):
+    """A plan of as many samples as there are orders: exact splits, labels, formats, pseudo-writers."""
+    n = table(spark, sf, "orders").count()
+    rows = generate.plan(spark, n)
+    return rows.groupBy("split", "field_type", "format_profile").agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels"), F.min("pseudo_writer").alias("first_writer"))

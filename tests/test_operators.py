@@ -181,3 +181,59 @@ def test_text_rules(spark):
     df = spark.createDataFrame([(x,) for x in ("a.png", "a/b.png", "..", "C:x.png", "", " a.png")], "f string")
     got = {r["f"]: (r["a"], r["b"]) for r in df.select("f", text.is_leaf(F.col("f")).alias("a"), text.is_leaf_png(F.col("f")).alias("b")).collect()}
     assert got == {"a.png": (True, True), "a/b.png": (False, False), "..": (False, False), "C:x.png": (False, False), "": (False, False), " a.png": (True, False)}
+
+
+def test_generate_and_validate(spark, tmp_path):
+    from inkwell.operators import generate
+
+    out = generate.generate(spark, tmp_path / "d", 200)
+    assert out == {"train": 160, "val": 20, "test": 20}
+    rows = manifest.load(spark, str(tmp_path / "d/manifest"))
+    assert rows.count() == 200 and rows.columns == list(manifest.MANIFEST)
+    a, b = (generate.plan(spark, 50).orderBy("idx").collect() for _ in range(2))
+    assert a == b
+    test = [r for r in generate.plan(spark, 2000).where("split = 'test' AND field_type LIKE 'date%'").collect()]
+    assert test and all(r["format_id"] in words.WRITTEN_HELD_OUT + words.NUMERIC_HELD_OUT for r in test)
+
+
+def test_policy(spark):
+    from inkwell.operators import policy
+
+    with pytest.raises(ValueError, match="unknown profile"):
+        policy.profile("none")
+    assert policy.scaled(policy.profile("heavy"), 10).stains == 100
+    assert policy.field_weights("snippet", {"numeric": 1, "age": 2}) == {"numeric": 1}
+    assert policy.schedule(100, 8, 4, 2, 0.1) == {"batches": 13, "steps": 8, "warmup": 0}
+    fonts = spark.createDataFrame([("x/A.ttf", "serif", "g"), ("y/a.TTF", "serif", "h"), ("b.ttf", "script", "g")], "path string, style string, grp string")
+    assert policy.font_pool(fonts, "serif").count() == 1 and policy.font_pool(fonts, "any", "none").count() == 2
+
+
+def test_provenance(tmp_path):
+    from inkwell.operators import provenance
+
+    assert provenance.fingerprint({"b": {2, 1}, "a": 1}) == provenance.fingerprint({"a": 1, "b": {1, 2}})
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/x").write_text("1")
+    assert provenance.package(tmp_path / "d", tmp_path / "d.zip") == provenance.tree(tmp_path / "d")
+    with pytest.raises(FileExistsError):
+        provenance.package(tmp_path / "d", tmp_path / "d.zip")
+    (tmp_path / "d/l").symlink_to("x")
+    with pytest.raises(ValueError):
+        provenance.tree(tmp_path / "d")
+    assert provenance.matches_contract({"a": 1}, {"a": 1, "b": 2}) == ["b"]
+
+
+def test_pixel_kernels():
+    import numpy as np
+
+    page = np.full((20, 40), 255.0)
+    page[8:12, 10:30] = 0
+    r = np.random.default_rng(1)
+    for step in (images.rotate, images.tint, images.low_resolution, images.stains, images.scratches, images.ink_gaps):
+        assert step(page, r).shape == page.shape
+    assert images.clip_edges(page, (0.9, 0.9, 0.1, 0.1)).shape == (10, 32)
+    padded = images.resize_and_pad(page, 384)
+    assert padded.shape == (384, 384) and padded[0, 0] == 255 and padded.min() == 0
+    assert images.accepted(lambda k: np.full((20, 40), 255.0) if k < 3 else page)[1] == 3
+    with pytest.raises(RuntimeError):
+        images.accepted(lambda k: np.full((20, 40), 255.0), 2)

@@ -1,8 +1,8 @@
 """Line dedup, exact and fuzzy, with DataFrame functions only.
 
 A line's shingles are the SHINGLE characters that follow each word's start, in lower case.  Its
-signature is eight MinHash values: the least and the greatest of its shingle hashes under
-four hash functions.  Lines that agree in a band of two values are candidates; in each
+signature is eight MinHash values: the least and the greatest of its shingle hashes, as they are
+and hashed again with three seeds.  Lines that agree in a band of two values are candidates; in each
 bucket every line is compared with the bucket's least and greatest line, and linked if the
 exact Jaccard similarity of their shingle sets is at least SIMILAR.  Distributed union-find
 joins links to components, equal lines being one node from the start.  Of every component
@@ -26,7 +26,7 @@ from .components import components
 
 SHINGLE = 12
 SIMILAR = 0.8
-SEEDS = (1, 2, 3, 4)
+SEEDS = (2, 3, 4)
 #: Bands of two of the eight values (least 0-3, greatest 4-7): two rings of four.
 BANDS = ((0, 4), (4, 5), (5, 1), (1, 0), (2, 6), (6, 7), (7, 3), (3, 2))
 
@@ -53,7 +53,8 @@ def signatures(lines: DataFrame) -> DataFrame:
     rows = with_shingles(lines.select("l", "line")).select("l", "s")
     seeded = lambda k: lambda h: F.xxhash64(F.lit(k), h)  # noqa: E731 - a second parameter would be the place
     rows = rows.withColumns({f"_s{k}": F.transform("s", seeded(k)) for k in SEEDS})
-    value = [F.array_min(f"_s{k}") for k in SEEDS] + [F.array_max(f"_s{k}") for k in SEEDS]
+    arrays = ["s", *[f"_s{k}" for k in SEEDS]]
+    value = [F.array_min(a) for a in arrays] + [F.array_max(a) for a in arrays]
     rows = rows.select("l", *[v.alias(f"v{k}") for k, v in enumerate(value)])
     rows = rows.select("l", *[F.xxhash64(F.lit(k), f"v{a}", f"v{b}").alias(f"b{k}") for k, (a, b) in enumerate(BANDS)])
     return rows.groupBy("l").agg(*[F.min(f"b{k}").alias(f"b{k}") for k in range(len(BANDS))])

@@ -115,11 +115,18 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(ph, s): shingle sets of the paragraphs whose hash is in ``wanted`` (a stored table)."""
 
     def run(batches):
+        wanted_ = None if known is None else known.value
+        sent = None if known is None else np.zeros(len(wanted_), bool)
         for batch in batches:
             for _, _, _, _, whole, s, first, _, _ in paragraphs_of(batch.column("text")):
-                keep = np.arange(len(whole)) if known is None else np.flatnonzero(np.isin(whole.view(np.int64), known.value))
+                ph = whole.view(np.int64)
+                keep = np.arange(len(ph))
+                if wanted_ is not None and len(wanted_):
+                    at = np.minimum(np.searchsorted(wanted_, ph), len(wanted_) - 1)
+                    keep = np.flatnonzero((wanted_[at] == ph) & ~sent[at])  # once for each task
+                    sent[at[keep]] = True
                 rows = [np.unique(s[first[k] : first[k + 1]]).view(np.int64) for k in keep.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(whole[keep].view(np.int64)), pa.array(rows, pa.list_(pa.int64()))], ["ph", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(ph[keep]), pa.array(rows, pa.list_(pa.int64()))], ["ph", "s"])
 
     known = None
     if wanted.limit(FEW + 1).count() <= FEW:

@@ -162,17 +162,17 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     slim = table.select("doc_id", "rk", "pos", "word", "n", "a", "b", "ph")
     by_hash = slim.groupBy("ph").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
     of_comp = checked_join(by_hash, comp, "ph", "left").withColumn("c", F.coalesce("root", "ph"))
-    alone = of_comp.where("root IS NULL AND lo <> hi").select("ph", "c", F.col("lo").alias("first"))
+    alone = of_comp.where("root IS NULL AND lo <> hi").select("ph", "c", F.col("lo.rk").alias("first"))
     joint = of_comp.where("root IS NOT NULL")
     wide = joint.groupBy("c").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last")
-    repeated = stored(alone.union(joint.select("ph", "c").join(wide.select("c", "first"), "c").select("ph", "c", "first")), "passage-repeats")
+    repeated = stored(alone.union(joint.select("ph", "c").join(wide.select("c", F.col("first.rk").alias("first")), "c").select("ph", "c", "first")), "passage-repeats")
     found = checked_join(slim, repeated, "ph")
     # Neighbours: within a document, paragraph number less rank is constant along a run.
     own = W.partitionBy("rk").orderBy("pos")
     found = found.dropDuplicates(["rk", "pos"]).withColumn("passage", F.col("pos") - F.row_number().over(own))
     out = found.groupBy("rk", "passage").agg(
         F.first("doc_id").alias("doc_id"), F.min("word").alias("word"), F.sum("n").alias("n_words"), F.min("a").alias("start"), F.max("b").alias("end"),
-        F.min("c").alias("cluster"), F.bool_and(F.col("first") == order).alias("kept"),
+        F.min("c").alias("cluster"), F.bool_and(F.col("first") == F.col("rk")).alias("kept"),
     )
     return out.where(F.col("n_words") >= min_words).select("doc_id", "rk", "passage", "word", "n_words", "start", "end", "cluster", "kept")
 

@@ -29,7 +29,7 @@ WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028
 #: Slices longer than this are merged one by one with a heap instead of in step with others.
 LONG_PIECE = 48
 #: Distinct slices a worker keeps; beyond it the cache starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 300_000
 #: Bytes of text worked on at once (a single longer text is worked on alone).
 GROUP_BYTES = 2 << 20
 

@@ -5,12 +5,14 @@ signature is eight MinHash values: the least and the greatest of its shingle has
 and hashed again with three seeds.  Lines that agree in a band of two values are candidates; in each
 bucket every line is compared with the bucket's least and greatest line, and linked if the
 exact Jaccard similarity of their shingle sets is at least SIMILAR.  Distributed union-find
-joins links to components, equal lines being one node from the start.  Of every component
+joins links to components, equal lines being one node from the start.  Where other lines of a bucket
+are in several components still, rounds with ever more pivots follow, until every two lines of a bucket
+have been compared or are in one component.  Of every component
 the occurrence in the lowest document stays, there the first; all others go.
 
-A bucket is never gathered: its two pivots are aggregates, so a bucket of a third of all lines costs
-two comparisons a line.  A pair of lines in none of whose common buckets either is a pivot, or
-linked over one, is missed; the bands find a pair of similarity 0.8 with a
+A bucket is never gathered: its pivots are aggregates or drawn by hash, so a bucket of a third of all lines
+costs two comparisons a line if its lines are alike.  A bucket of many lines that are not alike costs a
+comparison for every two of them whose sizes allow SIMILAR.  The bands find a pair of similarity 0.8 with a
 probability above 0.99, one of 0.9 with 0.999.  Lines are known by 64-bit hashes.  Lines without a word are
 left alone, a null text has none, rows equal in id and text count as one document, null
 ids come after all others.
@@ -29,6 +31,9 @@ SIMILAR = 0.8
 SEEDS = (2, 3, 4)
 #: Bands of two of the eight values (least 0-3, greatest 4-7): two rings of four.
 BANDS = ((0, 4), (4, 5), (5, 1), (1, 0), (2, 6), (6, 7), (7, 3), (3, 2))
+#: Pivots of a bucket in the first round after the least and greatest line, and the factor from round to round.
+PIVOTS = 8
+GROWTH = 8
 
 
 def row_key() -> Column:
@@ -60,27 +65,70 @@ def signatures(lines: DataFrame) -> DataFrame:
     return rows.groupBy("l").agg(*[F.min(f"b{k}").alias(f"b{k}") for k in range(len(BANDS))])
 
 
-def similar_lines(lines: DataFrame) -> DataFrame:
-    """Verified links (a, b) between hashes of different lines."""
-    signed = stored(signatures(lines), "line-bands")
-    banded = signed.select("l", F.explode(F.array(*[f"b{k}" for k in range(len(BANDS))])).alias("band"))
-    bucket = banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi")
-    bucket = stored(bucket, "line-buckets")
-    pairs = checked_join(banded, bucket, "band").select(F.col("l").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
-    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("l")).distinct())
+def shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(l, s): distinct shingles of the lines whose hash is in ``wanted`` (a stored table)."""
     texts = checked_join(lines.select("l", "line"), wanted, "l").groupBy("l").agg(F.min("line").alias("line"))
-    sets = stored(with_shingles(texts).select("l", F.array_distinct("s").alias("s")), "line-sets")
+    return with_shingles(texts).select("l", F.array_distinct("s").alias("s"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose exact Jaccard similarity is at least SIMILAR."""
     both = pairs.join(sets.select(F.col("l").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("l").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.where(shared >= SIMILAR * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def line_components(lines: DataFrame) -> DataFrame:
+    """(node, root) of the hashes of lines that are linked to a different line."""
+    signed = stored(signatures(lines), "line-bands")
+    banded = signed.select("l", F.explode(F.array(*[f"b{k}" for k in range(len(BANDS))])).alias("band"))
+    bucket = banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    bucket = stored(bucket, "line-buckets")
+    pairs = checked_join(banded, bucket.drop("n"), "band").select(F.col("l").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
+    pairs = cut(ordered(pairs))
+    sets = stored(shingle_sets(lines, cut(pairs.select(F.explode(F.array("a", "b")).alias("l")).distinct())), "line-sets")
+    comp = cut(components(verified(pairs, sets)))
+    rest = checked_join(banded, bucket.where("n > 3").drop("n"), "band").where("l <> lo AND l <> hi").select("band", "l")
+    return settled(rest, sets, comp)
+
+
+def settled(rest: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """``comp`` after every two lines of a band in ``rest`` (band, l) were compared or found in one component.
+
+    In each round every line is compared with about PIVOTS lines of its band in other components, drawn
+    by hash; these have then been compared with all others and leave.  The next round has GROWTH times as many.
+    """
+    pivots = PIVOTS
+    while True:
+        rest = rest.join(comp.select(F.col("node").alias("l"), "root"), "l", "left").select("band", "l", F.coalesce("root", "l").alias("c"))
+        rest = stored(rest, "line-rest")
+        several = stored(rest.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo <> hi"), "line-several")
+        most = several.agg(F.max("n")).first()[0]
+        if most is None:
+            return comp
+        rest = checked_join(rest, several.select("band", "n"), "band")
+        rest = stored(rest.join(sets.select("l", F.size("s").alias("size")), "l").withColumn("pivot", F.pmod(F.xxhash64(F.lit(pivots), "l"), "n") < pivots), "line-open")
+        drawn = rest.where("pivot").select("band", F.col("l").alias("b"), F.col("c").alias("d"), F.col("size").alias("other"))
+        fits = F.least("size", "other") >= SIMILAR * F.greatest("size", "other")
+        pairs = rest.withColumnRenamed("l", "a").join(drawn, "band").where((F.col("c") != F.col("d")) & fits).select("a", "b")
+        links = cut(verified(ordered(pairs), sets))
+        if links.limit(1).count():
+            comp = cut(components(links.union(comp.select("node", "root"))))
+        if most <= pivots:
+            return comp
+        rest = rest.where("NOT pivot").select("band", "l")
+        pivots *= GROWTH
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """(rk, removed): of each document that loses lines, their numbers in order, from 0."""
     lines = occurrences(docs)
     seen = stored(lines.select("doc_id", "rk", "pos", "l"), "line-places")
-    comp = cut(components(similar_lines(lines)))
+    comp = line_components(lines)
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk", "pos")
     known = checked_join(seen, comp.select(F.col("node").alias("l"), "root"), "l", "left").withColumn("c", F.coalesce("root", "l"))
     first = known.groupBy("c").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("c", "first")

@@ -242,6 +242,38 @@ def test_lines_equal_brute_force(spark, docs, texts):
         assert t == "\n".join(x for p, x in enumerate(texts[i].split("\n")) if p not in got[i])
 
 
+def test_lines_of_full_buckets_equal_brute_force(spark):
+    r = random.Random(11)
+    base = prose(70, 30).split()
+    copies = [base]
+    for k in range(400):
+        w = list(base)
+        w[r.randrange(30)] = f"changed{k}"
+        copies.append(w)
+    for k in range(300):  # pairs of near copies that share a template
+        w = prose(71, 30).split() + prose(2000 + k, 10).split()
+        copies += [w, [*w[:-1], "end"]]
+    rows = [" ".join(w) for w in copies]
+    sets, parent = [shingles12(x) for x in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for k, s in enumerate(sets):
+        for j in range(k):
+            both = len(s & sets[j])
+            if both >= lines.SIMILAR * (len(s) + len(sets[j]) - both):
+                parent[max(find(j), find(k))] = min(find(j), find(k))
+    want = {k for k in range(len(rows)) if find(k) != k}
+    data = [(k, x, "en", "a", 1) for k, x in enumerate(rows)]
+    left = {r["doc_id"] for r in lines.dedup_lines(spark.createDataFrame(data, SCHEMA)).collect()}
+    gone = set(range(len(rows))) - left
+    assert gone <= want and len(gone) >= 0.98 * len(want)
+
+
 def brute_components(texts):
     sets = {}
     for i, t in texts.items():

@@ -1,6 +1,7 @@
 """Line dedup, exact and fuzzy, with DataFrame functions only.
 
-A line's shingles are the SHINGLE characters that follow each word's start, in lower case.  Its
+A line's shingles are the SHINGLE characters (at most three words) that follow each word's start, in lower
+case, and inside a longer word those at every other place too: no character is in none.  Its
 signature is eight MinHash values: the least and the greatest of its shingle hashes, as they are
 and hashed again with three seeds.  Lines that agree in a band of two values are candidates; in each
 bucket every line is compared with the bucket's least and greatest line, and linked if the
@@ -29,6 +30,8 @@ from .components import components
 SHINGLE = 12
 SIMILAR = 0.8
 SEEDS = (2, 3, 4)
+#: The shingles of a word after its first; each match takes one character.
+INSIDE = rf"(?s)(?<=.)(?=(.{{{SHINGLE}}}))."
 #: Bands of two of the eight values (least 0-3, greatest 4-7): two rings of four.
 BANDS = ((0, 4), (4, 5), (5, 1), (1, 0), (2, 6), (6, 7), (7, 3), (3, 2))
 #: Pivots of a bucket in the first round after the least and greatest line, and the factor from round to round.
@@ -50,7 +53,9 @@ def with_shingles(lines: DataFrame) -> DataFrame:
     """Adds ``s``: hashes of the shingles of column ``line``, repeats included."""
     rows = lines.withColumn("_w", F.split(F.btrim(F.lower("line"), F.lit(SPACES)), SPACE_RUN))
     near = lambda x, i: F.concat_ws(" ", x, F.get("_w", i + 1), F.get("_w", i + 2))
-    return rows.withColumn("s", F.transform("_w", lambda x, i: F.xxhash64(F.substring(near(x, i), 1, SHINGLE)))).drop("_w")
+    starts = F.transform("_w", lambda x, i: F.xxhash64(F.substring(near(x, i), 1, SHINGLE)))
+    inside = F.flatten(F.transform(F.filter("_w", lambda x: F.length(x) > SHINGLE), lambda x: F.regexp_extract_all(x, F.lit(INSIDE), F.lit(1))))
+    return rows.withColumn("s", F.concat(starts, F.transform(inside, lambda x: F.xxhash64(x)))).drop("_w")
 
 
 def signatures(lines: DataFrame) -> DataFrame:

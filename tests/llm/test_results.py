@@ -274,6 +274,15 @@ def test_lines_of_full_buckets_equal_brute_force(spark):
     assert gone <= want and len(gone) >= 0.98 * len(want)
 
 
+def test_lines_differ_after_a_long_prefix(spark):
+    key = "0123456789abcdef" * 4
+    different = ["https://example.org/a", "https://example.com/b", f"{key}1111222233334444{key[::-1]}", f"{key}5555666677778888{key}", "これは最初の十二文字が同じ文です", "これは最初の十二文字が同じ別の行でまったく違う", f"see {key}", f"see {key[:12]}"]
+    near = [f"{key[:40]}{prose(80, 60).replace(' ', '')}", f"{key[:40]}{prose(80, 60).replace(' ', '')}z"]
+    data = [(k, x, "en", "a", 1) for k, x in enumerate([*different, *near, "x" * 50_000 + "\U0001f600" * 20])]
+    left = {r["doc_id"] for r in lines.dedup_lines(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert left == set(range(len(data))) - {len(different) + 1}
+
+
 def brute_components(texts):
     sets = {}
     for i, t in texts.items():

@@ -88,16 +88,12 @@ def edit_distance(a: Column, b: Column) -> Column:
 
 
 def token_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance of two arrays of words, by one row of the table per word of ``a``."""
+    """Levenshtein distance of two arrays of words: each distinct word of both becomes one code point."""
+    known = F.array_distinct(F.concat(a, b))
 
-    def next_row(row, word):
-        def cell(acc, i):
-            above, left_above = F.get(row, i), F.get(row, i - 1)
-            change = left_above + F.when(F.get(b, i - 1) == word, 0).otherwise(1)
-            return F.concat(acc, F.array(F.least(above + 1, F.element_at(acc, -1) + 1, change)))
+    def coded(words: Column) -> Column:
+        place = F.transform(words, lambda w: F.array_position(known, w))
+        points = F.transform(place, lambda k: F.lpad(F.hex(F.when(k < 0xD800, k).otherwise(k + 0x800)), 8, "0"))
+        return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
 
-        first = F.array(F.get(row, F.lit(0)) + 1)
-        return F.when(F.size(b) == 0, first).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(b), F.lit(1))), first, cell))
-
-    start = F.sequence(F.lit(0), F.size(b))
-    return F.element_at(F.aggregate(a, start, next_row), -1)
+    return F.levenshtein(coded(a), coded(b))

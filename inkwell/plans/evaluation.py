@@ -122,8 +122,8 @@ def base_vs_tuned_verdict(spark, sf):
 
 @query()
 def wer_by_group(spark, sf):
-    """Word error rate of each reply against the turn before it, by role; no word-level distance in the oracle's SQL."""
-    t = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.left("text", F.lit(200)).alias("text"))
+    """Word error rate of each whole reply against the turn before it, by role; no word-level distance in the oracle's SQL."""
+    t = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     before = t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
     both = t.withColumnRenamed("text", "prediction").join(before, ["conv_id", "turn"])
     return rounded(metrics.grouped(metrics.with_edits(both), "role"), "accuracy", "cer", "wer")

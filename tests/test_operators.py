@@ -237,3 +237,38 @@ def test_pixel_kernels():
     assert images.accepted(lambda k: np.full((20, 40), 255.0) if k < 3 else page)[1] == 3
     with pytest.raises(RuntimeError):
         images.accepted(lambda k: np.full((20, 40), 255.0), 2)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for k, x in enumerate(a, 1):
+        last, row[0] = row[0], k
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_word_error_rate_of_whole_texts(spark, tmp_path):
+    import random
+
+    from inkwell.plans import evaluation
+
+    r = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)] + ["é", "\U0001f600", "名前"]
+    rows = []
+    for c in range(6):
+        text = [r.choice(vocabulary) for _ in range(400)]
+        for turn in range(3):
+            rows.append((c, turn, "user" if turn % 2 else "assistant", " ".join(text)))
+            text = [r.choice(vocabulary) if r.random() < 0.1 else w for w in text if r.random() > 0.05]
+    rows += [(9, 0, "user", None), (9, 1, "user", "a b"), (9, 2, "user", ""), (9, 3, "user", "c")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {x["group"]: x for x in evaluation.wer_by_group(spark, str(tmp_path)).collect()}
+    text = {(c, t): x for c, t, _, x in rows}
+    for role in ("user", "assistant"):
+        pairs = [(text[c, t - 1], x) for c, t, who, x in rows if who == role and t]
+        words = [((a or "").split(), (b or "").split()) for a, b in pairs]
+        assert got[role]["total"] == len(pairs)
+        assert got[role]["wer"] == round(sum(distance(a, b) for a, b in words) / sum(len(a) for a, _ in words), 9)
+        full = [(a, b) for a, b in pairs if a is not None and b is not None]
+        assert got[role]["cer"] == round(sum(distance(a, b) for a, b in full) / sum(len(a) for a, _ in full), 9)

@@ -1,11 +1,17 @@
 """Byte-level BPE encoding and decoding in whole batches of texts.
 
-Pre-tokenisation works on arrays of code-point classes.  A piece boundary depends on class
-runs; where the last run began is a scan over transition functions that either keep the
-state or reset it, whose composition ("the last reset wins") is associative and is taken by
-``maximum.accumulate`` for a whole batch at once.  No regular expression is involved.  The slices
-between boundaries are hashed; each distinct slice is merged once per worker, lowest rank first and
-leftmost among equals, all slices of a batch in step, and cached.  Offsets of the pieces stay with the ids.
+Pre-tokenisation uses no regular expression.  Every code point gets a symbol: its class, with as much
+of what follows as the pattern looks ahead.  A symbol is a function from the scanner's state before it
+to the state after it.  Composition of such functions is associative and they make a small monoid, so
+the composed functions of all prefixes of a batch come from a blocked scan over a composition table
+(``prefixes``); state and symbol tell where a piece starts.  The slices between boundaries are hashed;
+each distinct slice is merged once per worker, lowest rank first and leftmost among equals, all slices of
+a batch in step, and cached.  A slice takes a cached result only if its bytes are equal.  Offsets of the
+pieces stay with the ids.
+
+A null text is an empty one: no ids, and the digest of nothing.  An empty table gives an empty
+result, repeated rows and rows with equal or null ids are encoded each by itself, and no order of
+ids matters.  Other columns are not read.  A very long text is worked on alone, in memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -21,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import documents, ship
-from .text_arrays import U64, buffers, mix64, _stream
+from .text_arrays import U64, _stream, buffers, mix64, place_key
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: White space by the Unicode property, fixed values.
 WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Slices longer than this are merged one by one with a heap instead of in step with others.
 LONG_PIECE = 48
-#: Distinct slices a worker keeps; beyond it the cache starts anew.
+#: Distinct slices a worker keeps, and bytes of them; beyond either the cache starts anew.
 CACHE_PIECES = 300_000
+CACHE_BYTES = 32 << 20
 #: Bytes of text worked on at once (a single longer text is worked on alone).
 GROUP_BYTES = 2 << 20
 
@@ -64,48 +71,106 @@ def code_points(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lead, at
 
 
+#: Symbols: letter, number, other, quote that may open a contraction of one or two letters, white
+#: space within a run or at the text's end, a run's last character that is a space, or that is none.
+S_LETTER, S_NUMBER, S_OTHER, S_SHORT, S_LONG, S_WHITE, S_LEAD, S_LAST = range(8)
+#: States: a piece has just ended, inside a run of letters, numbers, others or white space, after a
+#: space that leads a piece, one or two letters of a contraction still to come.
+FRESH, LETTERS, NUMBERS, OTHERS, WHITES, LED, ONE, TWO = range(8)
+
+
+def _step(state: int, symbol: int) -> tuple[int, bool]:
+    """(next state, whether a piece starts here)."""
+    if symbol == S_LETTER and state in (ONE, TWO):
+        return (FRESH if state == ONE else ONE), False
+    if symbol in (S_SHORT, S_LONG) and state not in (OTHERS, LED):
+        return (ONE if symbol == S_SHORT else TWO), True
+    run = {S_LETTER: LETTERS, S_NUMBER: NUMBERS, S_WHITE: WHITES, S_LAST: WHITES, S_LEAD: LED}.get(symbol, OTHERS)
+    if symbol in (S_LEAD, S_LAST):
+        return run, True
+    return run, state != run and (state != LED or run == WHITES)
+
+
+@lru_cache(1)
+def monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(generators, compose, apply, starts): the element of each symbol, of symbols at a text's start
+    in the second row; the element of two in a row; the state after an element; where pieces start."""
+    plain = [tuple(_step(q, s)[0] for q in range(8)) for s in range(8)]
+    first = [(f[FRESH],) * 8 for f in plain]
+    found = {tuple(range(8)): 0}
+    todo = [tuple(range(8))]
+    for f in todo:
+        for g in plain + first:
+            h = tuple(g[q] for q in f)
+            if h not in found:
+                found[h] = len(found)
+                todo.append(h)
+    compose = np.array([[found[tuple(g[q] for q in f)] for g in todo] for f in todo], np.uint16)
+    generators = np.array([[found[f] for f in plain], [found[f] for f in first]], np.uint16)
+    starts = np.array([[_step(q, s)[1] for q in range(8)] for s in range(8)])
+    return generators, compose, np.array(todo, np.uint8), starts
+
+
+def prefixes(elements: np.ndarray) -> np.ndarray:
+    """The composition of all elements up to and with each one, by an associative scan.
+
+    Blocks are scanned side by side, their totals by the same scan, and each block's prefixes
+    are composed with all that comes before the block.
+    """
+    compose = monoid()[1]
+    n, width = len(elements), len(compose)
+    flat = compose.ravel()
+    length = 256 if n > 4096 else 16
+    if n <= length:
+        out = elements.copy()
+        for k in range(1, n):
+            out[k] = compose[out[k - 1], elements[k]]
+        return out
+    blocks = -(-n // length)
+    grid = np.zeros((blocks, length), np.uint16)
+    grid.ravel()[:n] = elements
+    grid = np.ascontiguousarray(grid.T)
+    for k in range(1, length):
+        grid[k] = flat[grid[k - 1].astype(np.int32) * width + grid[k]]
+    before = np.concatenate([np.zeros(1, np.uint16), prefixes(grid[-1])[:-1]]).astype(np.int32) * width
+    for k in range(length):
+        grid[k] = flat[before + grid[k]]
+    return np.ascontiguousarray(grid.T).ravel()[:n]
+
+
+def symbols(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The symbol of every code point."""
+    kind = classes()[points]
+    last = np.ones(len(points), bool)  # of its text, or followed by white space
+    last[:-1] = begins[1:] | (kind[1:] == SPACE)
+    out = np.array([S_LETTER, S_NUMBER, S_OTHER, S_WHITE], np.uint8)[kind]
+    closing = (kind == SPACE) & ~last
+    out[closing] = np.where(points[closing] == 0x20, S_LEAD, S_LAST)
+    quote = np.flatnonzero(points == 0x27)
+    pad = np.concatenate([points, np.zeros(2, points.dtype)])
+    edge = np.concatenate([begins, np.ones(2, bool)])
+    x = np.where(edge[quote + 1], 0, pad[quote + 1])
+    y = np.where(edge[quote + 1] | edge[quote + 2], 0, pad[quote + 2])
+    out[quote[np.isin(x, [ord(c) for c in "stmd"])]] = S_SHORT
+    long = np.zeros(len(quote), bool)
+    for a, b in ("re", "ve", "ll"):
+        long |= (x == ord(a)) & (y == ord(b))
+    out[quote[long]] = S_LONG
+    return out
+
+
 def boundaries(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Marks the code points at which a piece starts; ``begins`` marks where a text starts."""
     n = len(points)
     if n == 0:
         return np.zeros(0, bool)
-    kind = classes()[points]
-    run = np.empty(n, bool)
-    run[0] = True
-    run[1:] = kind[1:] != kind[:-1]
-    run |= begins
-    ends = np.empty(n, bool)  # the last code point of its run
-    ends[-1] = True
-    ends[:-1] = run[1:]
-    text_ends = np.empty(n, bool)
-    text_ends[-1] = True
-    text_ends[:-1] = begins[1:]
-    start = run.copy()
-    white = kind == SPACE
-    # White space before something else: its last character stands alone, or, if it is a space,
-    # leads the next piece.
-    closing = white & ends & ~text_ends
-    start |= closing
-    joined = np.zeros(n, bool)
-    joined[1:] = (closing & (points == 0x20))[:-1]
-    start &= ~(joined & run)
-    # Contractions: an apostrophe at which a piece starts, and one or two letters after it.
-    quote = np.flatnonzero((points == 0x27) & start)
-    if len(quote):
-        pad = np.concatenate([points, np.zeros(2, points.dtype)])
-        edge = np.concatenate([begins, np.ones(3, bool)])
-        x, y = pad[quote + 1], pad[quote + 2]
-        x = np.where(edge[quote + 1], 0, x)
-        y = np.where(edge[quote + 1] | edge[quote + 2], 0, y)
-        short = np.isin(x, [ord(c) for c in "stmd"])
-        pair = lambda s: (x == ord(s[0])) & (y == ord(s[1]))
-        long = pair("re") | pair("ve") | pair("ll")
-        for at, width in ((quote[short], 2), (quote[long & ~short], 3)):
-            start[at + 1] = False
-            after = at + width
-            after = after[after < n]
-            start[after] = start[after] | ~joined[after] & (kind[after] == LETTER)
-    return start
+    generators, _, apply, starts = monoid()
+    symbol = symbols(points, begins)
+    state = np.empty(n, np.uint8)
+    state[0] = FRESH
+    state[1:] = apply[:, FRESH][prefixes(generators[begins.view(np.uint8), symbol])[:-1]]
+    state[begins] = FRESH
+    return starts.ravel()[symbol.astype(np.intp) * 8 + state]
 
 
 class Merges:
@@ -210,7 +275,6 @@ class Merges:
 
 
 NEVER = np.int64(1 << 62)
-_KEY = _stream(1 << 12, 31) | U64(1)
 _BYTE = _stream(256, 37)
 
 
@@ -228,6 +292,8 @@ class Encoder:
         self.text: list[bytes] = []  # decimal ids joined by a space
         self.back: list[bytes] = []  # bytes that the ids decode to
         self.count = np.zeros(0, np.int64)
+        self.odd: dict[bytes, int] = {}  # pieces whose hash belongs to other bytes
+        self.held = 0
 
     def _learn(self, raw, start, size, hashes) -> None:
         short = np.flatnonzero(size <= LONG_PIECE)
@@ -244,11 +310,24 @@ class Encoder:
         self.text += [b" ".join([decimal[x] for x in ids]) for ids in made]
         self.back += [b"".join([token[x] for x in ids]) for ids in made]
         self.count = np.concatenate([self.count, np.array([len(x) for x in made], np.int64)])
+        self.held += int(size.sum())
         known = np.concatenate([self.known, hashes])
         index = np.concatenate([self.index, np.arange(base, base + len(made))])
         order = np.argsort(known, kind="stable")
         self.known, self.index = known[order], index[order]
 
+    def _odd(self, piece: bytes) -> int:
+        """The number of a piece whose hash is taken by other bytes."""
+        if piece not in self.odd:
+            ids = self.merges.merge_one(piece)
+            self.odd[piece] = len(self.ids)
+            self.ids.append(ids)
+            self.text.append(b" ".join([self.merges.decimal[x] for x in ids]))
+            self.back.append(piece)
+            self.count = np.append(self.count, len(ids))
+            self.held += len(piece)
+        return self.odd[piece]
+
     def pieces(self, raw: np.ndarray, offsets: np.ndarray):
         """(piece numbers, byte offset of each piece, index of each text's first piece)."""
         points, at = code_points(raw)
@@ -261,10 +340,9 @@ class Encoder:
             return np.zeros(0, np.int64), start, first
         size = np.diff(np.append(start, len(raw)))
         place = np.arange(len(raw), dtype=np.int64) - np.repeat(start, size)
-        hashes = np.add.reduceat(_BYTE[raw] * _KEY[place & 4095], start)
-        hashes = mix64(hashes + size.astype(U64))
+        hashes = mix64(np.add.reduceat(_BYTE[raw] * place_key(place), start) + size.astype(U64))
         distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.ids) > CACHE_PIECES:
+        if len(self.ids) > CACHE_PIECES or self.held > CACHE_BYTES:
             self._reset()
         k = np.minimum(np.searchsorted(self.known, distinct), max(0, len(self.known) - 1))
         fresh = self.known[k] != distinct if len(self.known) else np.ones(len(distinct), bool)
@@ -272,7 +350,20 @@ class Encoder:
             e = example[fresh]
             self._learn(raw, start[e], size[e], distinct[fresh])
             k = np.searchsorted(self.known, distinct)
-        return self.index[k][inverse], start, first
+        number = self.index[k]
+        # Equal hashes are not enough: the bytes are compared, with the first piece of that hash in
+        # the batch and that one with the cached piece.
+        whole = raw.tobytes()
+        at, upto = start[example].tolist(), (start[example] + size[example]).tolist()
+        wrong = np.zeros(len(distinct), bool)
+        for j in np.flatnonzero(~fresh).tolist():
+            wrong[j] = self.back[number[j]] != whole[at[j] : upto[j]]
+        alike = np.minimum(np.repeat(start[example][inverse], size) + place, len(raw) - 1)
+        differs = np.logical_or.reduceat(raw != raw[alike], start) | (size != size[example][inverse]) | wrong[inverse]
+        out = number[inverse]
+        for j in np.flatnonzero(differs).tolist():
+            out[j] = self._odd(whole[start[j] : start[j] + size[j]])
+        return out, start, first
 
 
 def groups(column: pa.Array):

@@ -33,6 +33,17 @@ def _stream(n: int, seed: int) -> np.ndarray:
 
 _POSITIONS = 1 << 12
 _POSITION_KEY = _stream(_POSITIONS, 11) | U64(1)
+
+
+def place_key(place: np.ndarray) -> np.ndarray:
+    """An odd 64-bit key for each place in a word: from a table, beyond it computed from the place itself."""
+    out = _POSITION_KEY[place & (_POSITIONS - 1)]
+    far = np.flatnonzero(place >= _POSITIONS)
+    if len(far):
+        out[far] = mix64(place[far].astype(U64) * U64(0xD1342543DE82EF95)) | U64(1)
+    return out
+
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE_KEY = _stream(256, 7)
@@ -98,7 +109,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, spans: bool
                 [np.zeros(start[0], np.int32), np.repeat(start, np.diff(np.append(start, b - a))).astype(np.int32)]
             )
             value = table[part]
-            value *= _POSITION_KEY[place & (_POSITIONS - 1)]
+            value *= place_key(place)
             total = np.add.reduceat(value, start)
             hashes.append(mix64(total))
             begins.append(start + a)

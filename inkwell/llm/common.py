@@ -61,6 +61,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables whose readers have all been cut or stored themselves."""
+    for t in tables:
+        for path in {p.rsplit("/", 1)[0] for p in t.inputFiles()}:
+            if any(path.endswith(made.rsplit("/", 1)[1]) for _, made in _made):
+                delete(t.sparkSession, path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint, for small tables."""
     shared_dir(df.sparkSession)

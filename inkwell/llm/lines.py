@@ -1,22 +1,24 @@
 """Line dedup, exact and fuzzy, with DataFrame functions only.
 
-A line's shingles are the SHINGLE characters (at most three words) that follow each word's start, in lower
-case, and inside a longer word those at every other place too: no character is in none.  Its
-signature is eight MinHash values: the least and the greatest of its shingle hashes, as they are
-and hashed again with three seeds.  Lines that agree in a band of two values are candidates; in each
-bucket every line is compared with the bucket's least and greatest line, and linked if the
-exact Jaccard similarity of their shingle sets is at least SIMILAR.  Distributed union-find
-joins links to components, equal lines being one node from the start.  Where other lines of a bucket
+A line is taken in lower case and without white space at its ends.  Its shingles are the runs of SHINGLE
+characters at every place; a shorter line is one shingle.  Its signature is sixteen MinHash values: the least and
+the greatest of its shingle hashes, as they are and hashed again with seven seeds.  Lines that agree in a band
+of three values are candidates; in each bucket every line is compared with the bucket's least and greatest line,
+and linked if the exact Jaccard similarity of their shingle sets is at least PERCENT / 100.  Distributed
+union-find joins links to components, equal lines being one node from the start.  Where other lines of a bucket
 are in several components still, rounds with ever more pivots follow, until every two lines of a bucket
 have been compared or are in one component.  Of every component
 the occurrence in the lowest document stays, there the first; all others go.
 
 A bucket is never gathered: its pivots are aggregates or drawn by hash, so a bucket of a third of all lines
 costs two comparisons a line if its lines are alike.  A bucket of many lines that are not alike costs a
-comparison for every two of them whose sizes allow SIMILAR.  The bands find a pair of similarity 0.8 with a
-probability above 0.99, one of 0.9 with 0.999.  Lines are known by 64-bit hashes.  Lines without a word are
-left alone, a null text has none, rows equal in id and text count as one document, null
-ids come after all others.
+comparison for every two of them whose sizes allow the similarity.  The bands find a pair of similarity 0.8 with a
+probability of about 0.995, one of 0.9 with 0.999.  Lines and shingles are known by 64-bit hashes.
+
+Lines without a word are left alone and keep their places; a null or empty text has none.  Rows equal in id and
+text count as one document and lose the same lines; ties of equal lines within a document go to the first, null
+ids come after all others.  Very long lines are cut up in pieces of PIECE characters for their shingles.  An empty
+table gives an empty result; columns of any other name stay as they are, and a null in them does not matter.
 """
 
 from __future__ import annotations
@@ -24,16 +26,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, checked_join, cut, documents, shielded, stored, text_of
+from .common import SPACES, checked_join, cut, discard, documents, shielded, stored, text_of
 from .components import components
 
 SHINGLE = 12
-SIMILAR = 0.8
-SEEDS = (2, 3, 4)
-#: The shingles of a word after its first; each match takes one character.
-INSIDE = rf"(?s)(?<=.)(?=(.{{{SHINGLE}}}))."
-#: Bands of two of the eight values (least 0-3, greatest 4-7): two rings of four.
-BANDS = ((0, 4), (4, 5), (5, 1), (1, 0), (2, 6), (6, 7), (7, 3), (3, 2))
+PERCENT = 80
+SEEDS = (2, 3, 4, 5, 6, 7, 8)
+#: Places of a piece of a line, whose shingles are held at once.
+PIECE = 4096
+#: The shingles of a piece: each match takes one character and looks at all.
+EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))."
+#: Bands of three of the sixteen values (least 0-7, greatest 8-15), ten of them, evenly dealt.
+BANDS = ((0, 9, 6), (1, 10, 7), (2, 11, 8), (3, 12, 5), (4, 13, 15), (5, 14, 0), (6, 15, 1), (7, 8, 2), (9, 3, 14), (10, 4, 13))
 #: Pivots of a bucket in the first round after the least and greatest line, and the factor from round to round.
 PIVOTS = 8
 GROWTH = 8
@@ -49,38 +53,65 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.where(F.btrim("line", F.lit(SPACES)) != "").withColumn("l", F.xxhash64("line"))
 
 
-def with_shingles(lines: DataFrame) -> DataFrame:
-    """Adds ``s``: hashes of the shingles of column ``line``, repeats included."""
-    rows = lines.withColumn("_w", F.split(F.btrim(F.lower("line"), F.lit(SPACES)), SPACE_RUN))
-    near = lambda x, i: F.concat_ws(" ", x, F.get("_w", i + 1), F.get("_w", i + 2))
-    starts = F.transform("_w", lambda x, i: F.xxhash64(F.substring(near(x, i), 1, SHINGLE)))
-    inside = F.flatten(F.transform(F.filter("_w", lambda x: F.length(x) > SHINGLE), lambda x: F.regexp_extract_all(x, F.lit(INSIDE), F.lit(1))))
-    return rows.withColumn("s", F.concat(starts, F.transform(inside, lambda x: F.xxhash64(x)))).drop("_w")
+def plain(line: Column) -> Column:
+    """A line as its shingles see it."""
+    return F.lower(F.btrim(line, F.lit(SPACES)))
+
+
+def _places(x: Column) -> Column:
+    """The number of shingles of a plain line, repeats included."""
+    return F.greatest(F.length(x) - (SHINGLE - 1), F.lit(1))
+
+
+def _pieces(x: Column) -> Column:
+    """The numbers of a plain line's pieces, from 0."""
+    return F.sequence(F.lit(0), F.floor((_places(x) - 1) / PIECE).cast("int"))
+
+
+def _piece(x: Column, number: Column) -> Column:
+    return F.substring(x, number * PIECE + 1, F.lit(PIECE + SHINGLE - 1))
+
+
+def _grams(piece: Column) -> Column:
+    return F.when(F.length(piece) < SHINGLE, F.array(piece)).otherwise(F.regexp_extract_all(piece, F.lit(EVERY), F.lit(1)))
+
+
+def shingle_hashes(x: Column) -> Column:
+    """Hashes of all shingles of a plain line, repeats included."""
+    return F.flatten(F.transform(_pieces(x), lambda k: F.transform(_grams(_piece(x, k)), lambda g: F.xxhash64(g))))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """(l, b0..b7): one hash for each band of each distinct line."""
-    rows = with_shingles(lines.select("l", "line")).select("l", "s")
-    seeded = lambda k: lambda h: F.xxhash64(F.lit(k), h)  # noqa: E731 - a second parameter would be the place
-    rows = rows.withColumns({f"_s{k}": F.transform("s", seeded(k)) for k in SEEDS})
-    arrays = ["s", *[f"_s{k}" for k in SEEDS]]
-    value = [F.array_min(a) for a in arrays] + [F.array_max(a) for a in arrays]
-    rows = rows.select("l", *[v.alias(f"v{k}") for k, v in enumerate(value)])
-    rows = rows.select("l", *[F.xxhash64(F.lit(k), f"v{a}", f"v{b}").alias(f"b{k}") for k, (a, b) in enumerate(BANDS)])
-    return rows.groupBy("l").agg(*[F.min(f"b{k}").alias(f"b{k}") for k in range(len(BANDS))])
-
-
-def shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(l, s): distinct shingles of the lines whose hash is in ``wanted`` (a stored table)."""
+    """(l, b0..b9): one hash for each band of each distinct line.
+
+    The shingles are rows that are folded into each task's least and greatest hashes of a line as
+    they are made, so a line of any length costs one row of sixteen values in the shuffle.
+    """
+    rows = lines.select("l", plain(F.col("line")).alias("x"))
+    rows = rows.select("l", "x", F.explode(_pieces(F.col("x"))).alias("k")).select("l", _piece(F.col("x"), F.col("k")).alias("x"))
+    rows = rows.select("l", F.explode(_grams(F.col("x"))).alias("g")).select("l", F.xxhash64("g").alias("h1"))
+    rows = rows.select("l", "h1", *[F.xxhash64(F.lit(k), "h1").alias(f"h{k}") for k in SEEDS])
+    seeds = (1, *SEEDS)
+    rows = rows.groupBy("l").agg(*[F.min(f"h{k}").alias(f"v{n}") for n, k in enumerate(seeds)], *[F.max(f"h{k}").alias(f"v{n + len(seeds)}") for n, k in enumerate(seeds)])
+    return rows.select("l", *[F.xxhash64(F.lit(k), *[f"v{v}" for v in band]).alias(f"b{k}") for k, band in enumerate(BANDS)])
+
+
+def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(l, x, n): the plain line and the size of its shingle set, of the lines whose hash is in ``wanted`` (a stored table)."""
     texts = checked_join(lines.select("l", "line"), wanted, "l").groupBy("l").agg(F.min("line").alias("line"))
-    return with_shingles(texts).select("l", F.array_distinct("s").alias("s"))
+    return texts.select("l", plain(F.col("line")).alias("x")).withColumn("n", F.size(F.array_distinct(shingle_hashes(F.col("x")))))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose exact Jaccard similarity is at least SIMILAR."""
-    both = pairs.join(sets.select(F.col("l").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("l").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared >= SIMILAR * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose exact Jaccard similarity is at least PERCENT / 100.
+
+    Sizes are compared first; with s shared shingles the similarity is reached where (100 + PERCENT) s >= PERCENT (n + m).
+    """
+    side = lambda k: texts.select(F.col("l").alias(k), F.col("x").alias(f"x{k}"), F.col("n").alias(f"n{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+    shared = F.size(F.array_intersect(shingle_hashes(F.col("xa")), shingle_hashes(F.col("xb"))))
+    return both.where(fits & ((100 + PERCENT) * shared >= PERCENT * (F.col("na") + F.col("nb")))).select("a", "b")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -93,15 +124,18 @@ def line_components(lines: DataFrame) -> DataFrame:
     banded = signed.select("l", F.explode(F.array(*[f"b{k}" for k in range(len(BANDS))])).alias("band"))
     bucket = banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     bucket = stored(bucket, "line-buckets")
-    pairs = checked_join(banded, bucket.drop("n"), "band").select(F.col("l").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
+    inside = stored(checked_join(banded, bucket, "band"), "line-inside")
+    discard(signed, bucket)
+    pairs = inside.select(F.col("l").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
     pairs = cut(ordered(pairs))
-    sets = stored(shingle_sets(lines, cut(pairs.select(F.explode(F.array("a", "b")).alias("l")).distinct())), "line-sets")
-    comp = cut(components(verified(pairs, sets)))
-    rest = checked_join(banded, bucket.where("n > 3").drop("n"), "band").where("l <> lo AND l <> hi").select("band", "l")
-    return settled(rest, sets, comp)
+    texts = stored(line_texts(lines, cut(inside.select("l").distinct())), "line-texts")
+    comp = cut(components(verified(pairs, texts)))
+    comp = settled(inside.where("n > 3 AND l <> lo AND l <> hi").select("band", "l"), texts, comp)
+    discard(inside, texts)
+    return comp
 
 
-def settled(rest: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+def settled(rest: DataFrame, texts: DataFrame, comp: DataFrame) -> DataFrame:
     """``comp`` after every two lines of a band in ``rest`` (band, l) were compared or found in one component.
 
     In each round every line is compared with about PIVOTS lines of its band in other components, drawn
@@ -116,11 +150,11 @@ def settled(rest: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
         if most is None:
             return comp
         rest = checked_join(rest, several.select("band", "n"), "band")
-        rest = stored(rest.join(sets.select("l", F.size("s").alias("size")), "l").withColumn("pivot", F.pmod(F.xxhash64(F.lit(pivots), "l"), "n") < pivots), "line-open")
+        rest = stored(rest.join(texts.select("l", F.col("n").alias("size")), "l").withColumn("pivot", F.pmod(F.xxhash64(F.lit(pivots), "l"), "n") < pivots), "line-open")
         drawn = rest.where("pivot").select("band", F.col("l").alias("b"), F.col("c").alias("d"), F.col("size").alias("other"))
-        fits = F.least("size", "other") >= SIMILAR * F.greatest("size", "other")
+        fits = 100 * F.least("size", "other") >= PERCENT * F.greatest("size", "other")
         pairs = rest.withColumnRenamed("l", "a").join(drawn, "band").where((F.col("c") != F.col("d")) & fits).select("a", "b")
-        links = cut(verified(ordered(pairs), sets))
+        links = cut(verified(ordered(pairs), texts))
         if links.limit(1).count():
             comp = cut(components(links.union(comp.select("node", "root"))))
         if most <= pivots:
@@ -156,8 +190,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs, back = shielded(docs, ("doc_id", "text", "n_chars"))
     rows = with_removed(docs)
-    left = F.array_join(F.filter(F.split(text_of(F.col("text")), "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    rows = rows.withColumn("_n", F.size("removed")).withColumn("text", F.when(F.col("_n") > 0, left).otherwise(F.col("text")))
+    # The numbers that stay are a set difference, so a text costs time in proportion to its lines.
+    rows = rows.withColumn("_n", F.size("removed")).withColumn("_lines", F.when(F.col("_n") > 0, F.split("text", "\n")))
+    rows = rows.withColumn("_stay", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed")))
+    left = F.array_join(F.transform("_stay", lambda k: F.get("_lines", k)), "\n")
+    rows = rows.withColumn("text", F.when(F.col("_n") > 0, left).otherwise(F.col("text"))).drop("_lines", "_stay")
     rows = rows.where((F.col("_n") == 0) | (F.btrim("text", F.lit(SPACES)) != ""))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("_n") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

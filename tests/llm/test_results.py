@@ -244,8 +244,9 @@ def test_next_rows_of_sparse_repeated_and_null_ids(spark):
 
 
 def shingles12(line):
-    w = line.lower().split()
-    return frozenset(" ".join(w[k : k + 3])[:12] for k in range(len(w)))
+    """All runs of twelve characters of a line, as plain strings."""
+    x = line.lower().strip(" \t\n\x0b\x0c\r")
+    return frozenset(x[k : k + 12] for k in range(max(1, len(x) - 11)))
 
 
 def test_lines_equal_brute_force(spark, docs, texts):
@@ -274,7 +275,7 @@ def test_lines_equal_brute_force(spark, docs, texts):
             inverted[t].append(k)
     for k, s in enumerate(sets):
         for j, both in Counter(j for t in s for j in inverted[t] if j > k).items():
-            if both >= lines.SIMILAR * (len(s) + len(sets[j]) - both):
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
                 parent[find(j)] = find(k)
     for i, p, k in places:
         if first.setdefault(find(k), (i, p)) != (i, p):
@@ -311,7 +312,7 @@ def test_lines_of_full_buckets_equal_brute_force(spark):
     for k, s in enumerate(sets):
         for j in range(k):
             both = len(s & sets[j])
-            if both >= lines.SIMILAR * (len(s) + len(sets[j]) - both):
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
                 parent[max(find(j), find(k))] = min(find(j), find(k))
     want = {k for k in range(len(rows)) if find(k) != k}
     data = [(k, x, "en", "a", 1) for k, x in enumerate(rows)]
@@ -322,11 +323,25 @@ def test_lines_of_full_buckets_equal_brute_force(spark):
 
 def test_lines_differ_after_a_long_prefix(spark):
     key = "0123456789abcdef" * 4
-    different = ["https://example.org/a", "https://example.com/b", f"{key}1111222233334444{key[::-1]}", f"{key}5555666677778888{key}", "これは最初の十二文字が同じ文です", "これは最初の十二文字が同じ別の行でまったく違う", f"see {key}", f"see {key[:12]}"]
+    different = [
+        "https://example.org/a", "https://example.com/b", f"{key}1111222233334444{key[::-1]}", f"{key}5555666677778888{key}", "これは最初の十二文字が同じ文です", "これは最初の十二文字が同じ別の行でまったく違う", f"see {key}", f"see {key[:12]}",
+        "https://www.example.com/alpha/1", "https://www.different.org/zzz/9?q=7",
+    ]
     near = [f"{key[:40]}{prose(80, 60).replace(' ', '')}", f"{key[:40]}{prose(80, 60).replace(' ', '')}z"]
-    data = [(k, x, "en", "a", 1) for k, x in enumerate([*different, *near, "x" * 50_000 + "\U0001f600" * 20])]
+    # Pieces of a very long line meet without a gap: two that differ in one character early on are one line.
+    long = prose(81, 4000)
+    data = [(k, x, "en", "a", 1) for k, x in enumerate([*different, *near, "x" * 50_000 + "\U0001f600" * 20, long, f"{long[:9000]}#{long[9000:]}", "short", "Short", " short\t"])]
     left = {r["doc_id"] for r in lines.dedup_lines(spark.createDataFrame(data, SCHEMA)).collect()}
-    assert left == set(range(len(data))) - {len(different) + 1}
+    n = len(different)
+    assert left == set(range(len(data))) - {n + 1, n + 4, n + 6, n + 7}
+
+
+def test_shingles_at_every_place(spark):
+    cases = ["", "a", "x" * 11, "x" * 12, "abcdefghijklm", "é😀" * 30, prose(82, 2000), "line\u2028with\x85breaks and more"]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(cases)], "k long, x string").select("k", F.size(F.array_distinct(lines.shingle_hashes(F.col("x")))).alias("n")).collect()
+    for r in got:
+        x = cases[r["k"]]
+        assert r["n"] == len({x[i : i + 12] for i in range(max(1, len(x) - 11))})
 
 
 def brute_components(texts):

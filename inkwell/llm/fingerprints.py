@@ -1,15 +1,21 @@
 """Document fingerprints as threshold-scaled sketches, with DataFrame functions only.
 
-A text's shingles are its runs of five words (a shorter text is one shingle).  The sketch
-keeps every shingle hash below a fixed fraction of the hash range, and the smallest hash in
-any case, so that a short text still has one.  Sketches of two texts merge by union, and the
-share of the smaller sketch found in the other estimates containment however unequal the
-texts are.  A text without words has an empty sketch; two empty sketches are alike (1.0), an
-empty and another are not (0.0).
+A text's shingles are its runs of five words (a shorter text is one shingle).  The sketch keeps every
+distinct shingle hash below a fixed fraction of the hash range.  Sketches of two texts merge by
+union, and the share of the smaller sketch found in the other estimates containment however unequal
+the texts are.  A text of few shingles may have none below the threshold (one text of ten words in 64 at
+the production scale); its sketch is then its smallest hash, which lies above the threshold, so that it is in no
+other text's sketch but in one that holds it for the same reason: such a text is like its equals (1.0) and unlike all others (0.0).
+
+A null or empty text, or one without words, has an empty sketch; two empty sketches are alike
+(1.0), an empty and another are not (0.0).  An empty table gives an empty result, repeated rows have equal
+sketches, other columns stay as they are.  Rows follow each other as ``with_next`` states.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,10 +23,13 @@ from pyspark.sql import functions as F
 from .common import checked_join, cut, documents, text_of, word_array
 
 #: One shingle hash in SCALE is kept.
-SCALE = 8
+SCALE = 2
 WIDTH = 5
-#: Rows in a bucket of neighbouring ids, about.
+#: Rows in a bucket of neighbouring ids, about, and the most buckets that ids are dealt to.
 BUCKET_ROWS = 1000
+MOST_BUCKETS = 16_384
+#: Bits of a hash that deal rows of one much repeated id, or without an id, to buckets.
+TIE_BITS = 12
 
 
 def _hashes(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -35,10 +44,11 @@ def _hashes(df: DataFrame, text: str, name: str) -> DataFrame:
 def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE) -> DataFrame:
     """Adds the sorted sketch of column ``text`` as an array of 64-bit hashes."""
     top = -(1 << 63) + (1 << 64) // scale
+    low = f"_l_{name}"
     df = _hashes(df, text, name)
-    low = F.filter(name, lambda h: h < F.lit(top).cast("long"))
-    one = F.when(F.size(name) > 0, F.array(F.array_min(name))).otherwise(F.array().cast("array<long>"))
-    return df.withColumn(name, F.array_sort(F.array_union(low, one)))
+    df = df.withColumn(low, F.array_sort(F.array_distinct(F.filter(name, lambda h: h < F.lit(top).cast("long")))))
+    least = F.when(F.size(name) > 0, F.array(F.array_min(name))).otherwise(F.array().cast("array<long>"))
+    return df.withColumn(name, F.when(F.size(low) > 0, F.col(low)).otherwise(least)).drop(low)
 
 
 def containment(a: Column, b: Column) -> Column:
@@ -60,30 +70,56 @@ def as_string(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.hex(h)), ",")
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def _bounds(docs: DataFrame) -> list[int]:
+    """Quantiles of the ids, greatest first: about one for BUCKET_ROWS rows, MOST_BUCKETS at most."""
+    n = docs.agg(F.count("doc_id")).first()[0]
+    parts = min(MOST_BUCKETS, n // BUCKET_ROWS)
+    if parts < 2:
+        return []
+    share = F.expr(f"array({', '.join(f'{k / parts:.9f}D' for k in range(1, parts))})")
+    return sorted(docs.agg(F.percentile_approx("doc_id", share, 4 * parts)).first()[0], reverse=True)
+
+
+def with_bucket(docs: DataFrame) -> DataFrame:
+    """Adds ``_b``, which grows along descending ids, from quantiles of the ids; ``_h`` orders equal ids.
+
+    The number of a row's bucket is the number of quantiles above its id, found in two steps of
+    about the square root of all of them.  An id that several quantiles fall on, and null ids, which come
+    last, are dealt further by the top bits of ``_h``.
+    """
+    bounds = _bounds(docs)
+    step = max(1, math.isqrt(len(bounds)))
+    runs = [bounds[k : k + step] for k in range(0, len(bounds), step)]
+    literal = lambda xs: "array(" + ", ".join(f"{x}L" for x in xs) + ")"
+    by_hash = F.shiftright("_h", 64 - TIE_BITS) + (1 << (TIE_BITS - 1)) + 1
+    if not runs:
+        place, often = F.lit(0).cast("long"), []
+    else:
+        docs = docs.withColumn("_run", F.expr(f"size(filter({literal([r[0] for r in runs])}, x -> x > doc_id))"))
+        inside = F.expr(f"size(filter(element_at(array({', '.join(literal(r) for r in runs)}), greatest(_run, 1)), x -> x > doc_id))")
+        place = F.greatest(F.col("_run") - 1, F.lit(0)) * step + inside
+        often = sorted({a for a, b in zip(bounds, bounds[1:], strict=False) if a == b})
+    tie = F.when(F.col("doc_id").isin(often), by_hash).otherwise(F.lit(0)) if often else F.lit(0)
+    key = F.when(F.col("doc_id").isNull(), F.lit((len(bounds) + 1) << TIE_BITS + 1) + by_hash).otherwise(place * (1 << TIE_BITS + 1) + tie)
+    return docs.withColumn("_b", key.cast("long")).drop("_run")
+
+
+def with_next(docs: DataFrame, columns: list[str], derive=lambda df: df) -> DataFrame:
     """Adds next_<c> for each column, from the next row in descending ``doc_id``.
 
-    Rows are dealt to buckets of neighbouring ids of about BUCKET_ROWS rows, and the first row
-    of each bucket is also put last into the bucket before it, so texts cross one shuffle and
-    no window holds more than a bucket.  After the last row comes the first.  Rows with the
+    Rows are dealt to buckets of neighbouring ids, and the first row of each bucket is also put last into the
+    bucket before it, so texts cross one shuffle and no window holds more than a bucket.
+    ``derive`` adds columns after that shuffle.  After the last row comes the first.  Rows with the
     same id follow each other by a hash of the text, rows with equal text too are
-    neighbours in any order; null ids come last, dealt to buckets by that hash.  A table of one row
+    neighbours in any order; null ids come last, by that hash.  A table of one row
     is its own successor.
     """
-    docs = docs.withColumn("_h", F.xxhash64(F.lit(7), F.col("text")))
-    s = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"), F.count("doc_id").alias("ids")).first()
-    span = (s["hi"] - s["lo"] + 1) if s["ids"] else 1
-    width = max(1, -(-span * BUCKET_ROWS // max(1, s["ids"])))
-    top = (span - 1) // width + 1
-    bits = max(0, ((s["n"] - s["ids"]) // BUCKET_ROWS).bit_length())
-    null_bucket = F.lit(top) + (F.shiftright("_h", 64 - bits) + (1 << (bits - 1)) if bits else F.lit(0))
-    of_id = F.expr(f"(CAST({s['hi'] or 0} AS DECIMAL(20,0)) - doc_id) div {width}").cast("long")
-    docs = docs.withColumn("_b", F.when(F.col("doc_id").isNull(), null_bucket).otherwise(of_id))
-    key = F.struct(F.coalesce(-F.col("doc_id"), F.lit((1 << 63) - 1)).alias("a"), F.col("doc_id").isNull().alias("z"), F.col("_h").alias("h"))
+    docs = with_bucket(docs.withColumn("_h", F.xxhash64(F.lit(7), F.col("text"))))
+    key = F.struct(F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)).alias("a"), F.col("doc_id").isNull().alias("z"), F.col("_h").alias("h"))
     firsts = cut(docs.groupBy("_b").agg(F.min(key).alias("_first")))
-    # The bucket before each bucket: neighbours within runs of 1024 buckets, then between the runs.
+    # The bucket before each bucket: neighbours within runs of buckets, then between the runs.
     run = W.partitionBy("_r").orderBy("_b")
-    inner = firsts.withColumn("_r", F.expr("_b div 1024")).withColumn("_p", F.lag("_b").over(run))
+    inner = firsts.withColumn("_r", F.expr(f"_b div {1 << TIE_BITS + 1}")).withColumn("_p", F.lag("_b").over(run))
     ends = inner.groupBy("_r").agg(F.max("_b").alias("_last")).withColumn("_e", F.lag("_last").over(W.partitionBy(F.lit(1)).orderBy("_r")))
     last = F.max("_last").over(W.partitionBy(F.lit(1)))
     ends = ends.select(F.col("_r").alias("_r2"), F.coalesce("_e", last).alias("_e"))
@@ -96,6 +132,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     out = out.withColumn("_to", F.explode(F.when(F.col("_before").isNotNull(), F.array(own, ghost)).otherwise(F.array(own))))
     # Plain columns, and all leads in one step: one window over one exchange.
     out = out.withColumns({"_at": F.col("_to.b"), "_ghost": F.col("_to.ghost")}).drop("_to", "_b", "_fb", "_ff", "_before")
+    out = derive(out.repartition("_at"))
     order = W.partitionBy("_at").orderBy("_ghost", F.col("doc_id").desc_nulls_last(), "_h")
     out = out.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
     return out.where(~F.col("_ghost")).drop("_h", "_at", "_ghost")
@@ -104,8 +141,8 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 def op7_fingerprints(spark, sf_dir) -> DataFrame:
     """Contract query: fingerprints of every text and of its edited text, and their likeness."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    docs = with_sketch(docs.withColumn("text", text_of(F.col("text"))), "text", "_sketch")
-    rows = with_next(docs, ["text", "_sketch"])
+    docs = docs.withColumn("text", text_of(F.col("text")))
+    rows = with_next(docs, ["text", "_sketch"], lambda df: with_sketch(df, "text", "_sketch"))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     cut_off = F.expr("cast(n_chars div 3 as int)")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut_off).cast("int")), F.substring(F.col("next_text"), F.lit(1), cut_off))

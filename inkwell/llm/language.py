@@ -5,6 +5,11 @@ labelled training texts, in lower case.  A text is encoded with every dictionary
 smallest encoding wins, the commoner language among equals.  Code lengths give the score: the share of
 the winner when every language has the probability 2 ** -bits.  ``lang_sure`` rejects (``und``) where the
 winner's margin over the next is narrower than MIN_MARGIN of the next's size.
+
+A null text, or one without a letter, is ``und`` with score 0, and so is every text where nothing was learned
+(an empty table, or one without labels).  A null lang labels nothing.  Repeated rows are predicted alike, and in
+training count as often as they occur; null and equal ids are rows of their own, other columns are not read.  Whole texts are
+encoded whatever their length; a training text of more than SAMPLE_TEXT bytes fills no dictionary.
 """
 
 from __future__ import annotations

@@ -6,6 +6,11 @@ before each bucket, a window inside one bucket gives the words before each row.
 whose budget is ``k`` times its words and a rest takes every row ``k`` times and, in key
 order, rows until the rest is used up; the row at the cut is taken up to the budget's last
 word.  No window or task sees a whole source, so one source may hold most of all rows.
+
+A null source is a source of its own, the last one.  A null or empty text has no words and is in no mix; a null id
+is part of the key like any other.  Rows equal in id and text have equal keys: at the cut they share the rest
+evenly.  An empty table gives an empty result.  Columns of any other name stay as they are, those that ``mix`` adds
+are replaced.
 """
 
 from __future__ import annotations
@@ -55,7 +60,10 @@ def mix(docs: DataFrame, size: Column, key: Column, weights=WEIGHTS, max_epochs:
     """
     spark = docs.sparkSession
     bits = max(4, (4 * partitions(spark) - 1).bit_length())
-    rows = docs.withColumn("size", size).withColumn("_key", key)
+    added = ("size", "source_size", "target", "copies", "part", "taken")
+    # Columns of other names wait under names that nothing here uses, and come back last.
+    other = {c: f"_x{k}" for k, c in enumerate(docs.columns) if c != "source" and c not in added}
+    rows = docs.select(size.alias("size"), key.alias("_key"), "source", *[F.col(c).alias(x) for c, x in other.items()])
     slim = cut(rows.select("source", "size", "_key").withColumn("_bucket", F.shiftright("_key", 64 - bits)))
     by_bucket = cut(slim.groupBy("source", "_bucket").agg(F.sum("size").alias("_words")))
     plan = cut(targets(by_bucket.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, max_epochs))
@@ -85,11 +93,10 @@ def mix(docs: DataFrame, size: Column, key: Column, weights=WEIGHTS, max_epochs:
         .when(F.col("_key") == F.col("_edge"), F.least(F.col("_left"), F.col("size")))
         .otherwise(F.lit(0))
     )
-    clash = [c for c in ("source_size", "target", "copies", "part", "taken") if c in rows.columns]
-    out = checked_join(rows.drop(*clash), full, F.col("source").eqNullSafe(F.col("_source")))
+    out = checked_join(rows, full, F.col("source").eqNullSafe(F.col("_source")))
     out = out.withColumn("part", part.cast("long")).withColumn("copies", F.col("copies").cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
-    return out.drop("_source", "_key", "_edge", "_left")
+    return out.select(*[F.col(other.get(c, c)).alias(c) for c in docs.columns if c not in added], *added)
 
 
 def row_key() -> Column:

@@ -6,6 +6,12 @@ pairs as a sorted array of 64-bit hashes and an array of counts into the shared
 it knows of each word (continuations, follower counts) goes on to shards by word, which write sorted
 word arrays.  Scoring maps those files into memory and looks up the sorted pairs of a batch of
 texts by binary search.  The model grows with the corpus; no worker holds it, only pages in use.
+
+Counts are 64-bit; a file or block takes four bytes a count where all of its counts fit.  A null or empty
+text is the end token alone, in training too; a table without rows trains a model that
+gives every token the same probability, and is scored to an empty result.  Repeated rows count as often as they occur;
+rows with equal or null ids are scored each by itself, other columns are not read.  A very long text is
+worked on alone, in memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -85,28 +91,51 @@ def _filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri if urlparse(uri).scheme else f"file://{uri}")
 
 
-def _publish(folder: str, name: str, arrays: list[np.ndarray]) -> None:
-    """Writes arrays one after the other; a repeated task replaces the file by an equal one."""
+def _counts(values: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each, or in eight where one of them needs more."""
+    return values.astype(np.uint32 if not values.size or int(values.max()) < 1 << 32 else U64)
+
+
+def _pack(rows: np.ndarray) -> bytes:
+    """Rows of a hash and some counts as bytes: the width of a count, the hashes, the counts."""
+    values = _counts(rows[:, 1:])
+    return bytes([values.itemsize]) + np.ascontiguousarray(rows[:, 0]).tobytes() + values.tobytes()
+
+
+def _unpack(blob: bytes, columns: int) -> np.ndarray:
+    kind = np.uint32 if blob[0] == 4 else U64
+    n = (len(blob) - 1) // (8 + blob[0] * columns)
+    values = np.frombuffer(blob, kind, n * columns, 1 + 8 * n).reshape(n, columns).astype(np.int64)
+    return np.concatenate([np.frombuffer(blob, np.int64, n, 1)[:, None], values], axis=1)
+
+
+def _publish(folder: str, name: str, keys: np.ndarray, values: np.ndarray) -> None:
+    """Writes sorted hashes and a row of counts for each: the width of a count in eight bytes, the
+    hashes, the counts.  A repeated task replaces the file by an equal one."""
+    values = _counts(values)
     fs, path = _filesystem(folder)
     fs.create_dir(path, recursive=True)
     part = f"{path}/.{name}-{uuid.uuid4().hex}"
     with fs.open_output_stream(part, compression=None) as out:
-        for a in arrays:
+        for a in (np.array([values.itemsize], U64), keys, values):
             out.write(np.ascontiguousarray(a).tobytes())
     fs.move(part, f"{path}/{name}")
 
 
-def _mapped(folder: str, name: str) -> np.ndarray:
-    """The bytes of a file, mapped into memory; from a remote store by way of an unlinked copy."""
+def _mapped(folder: str, name: str, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of a file, mapped into memory; from a remote store by way of an unlinked copy."""
     fs, path = _filesystem(folder)
     if isinstance(fs, pafs.LocalFileSystem):
-        target = f"{path}/{name}"
-        return np.memmap(target, np.uint8, "r") if os.path.getsize(target) else np.zeros(0, np.uint8)
-    with tempfile.TemporaryFile() as copy, fs.open_input_stream(f"{path}/{name}", compression=None) as source:
-        while block := source.read(8 << 20):
-            copy.write(block)
-        copy.flush()
-        return np.memmap(copy, np.uint8, "r") if copy.tell() else np.zeros(0, np.uint8)
+        raw = np.memmap(f"{path}/{name}", np.uint8, "r")
+    else:
+        with tempfile.TemporaryFile() as copy, fs.open_input_stream(f"{path}/{name}", compression=None) as source:
+            while block := source.read(8 << 20):
+                copy.write(block)
+            copy.flush()
+            raw = np.memmap(copy, np.uint8, "r")
+    width = int(raw[0])
+    n = (len(raw) - 8) // (8 + width * columns)
+    return raw[8 : 8 + 8 * n].view(U64), raw[8 + 8 * n :].view(np.uint32 if width == 4 else U64).reshape(n, columns)
 
 
 def common_words(docs: DataFrame, shards: int) -> np.ndarray:
@@ -174,7 +203,7 @@ def train(docs: DataFrame) -> dict:
         first, second, number = _merge(first, read(table, "second", U64), read(table, "number", np.uint32).astype(np.int64))
         hashes = pair_key(first, second)
         order = np.argsort(hashes)
-        _publish(folder, f"pairs-{key[0].as_py()}", [hashes[order], number[order].astype(np.uint32)])
+        _publish(folder, f"pairs-{key[0].as_py()}", hashes[order], number[order][:, None])
         at = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
         sums = [np.add.reduceat(x, at) for x in (number, number == 1, number == 2, number > 2)]
         own = np.stack([first[at].view(np.int64), *[s.astype(np.int64) for s in sums]], axis=1)
@@ -186,14 +215,9 @@ def train(docs: DataFrame) -> dict:
         place = [(x[:, 0].view(U64) >> U64(32)) * U64(word_shards) >> U64(32) for x in (own, after)]
         for k in range(word_shards):
             a, b = own[place[0] == k], after[place[1] == k]
-            narrow = lambda x: x[:, :1].tobytes() + x[:, 1:].astype(np.uint32).tobytes()
-            rows.append((k, narrow(a), narrow(b)))
+            rows.append((k, _pack(a), _pack(b)))
         return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate((("shard", pa.int64()), ("own", pa.binary()), ("after", pa.binary())))})
 
-    def wide(blob, columns):
-        n = len(blob) // (8 + 4 * columns)
-        return np.concatenate([np.frombuffer(blob, np.int64, n)[:, None], np.frombuffer(blob, np.uint32, n * columns, 8 * n).reshape(n, columns).astype(np.int64)], axis=1)
-
     def summed(x):
         order = np.argsort(x[:, 0].view(U64), kind="stable")
         x = x[order]
@@ -205,13 +229,13 @@ def train(docs: DataFrame) -> dict:
         if k < 0:
             total = sum((np.frombuffer(x, np.int64) for x in table.column("own").to_pylist()), np.zeros(4, np.int64))
             return pa.table({"shard": pa.array([-1], pa.int64()), "stats": pa.array([[*total.tolist()]], pa.list_(pa.int64()))})
-        own_w, own = summed(np.concatenate([wide(x, 4) for x in table.column("own").to_pylist()]))
-        after_w, after = summed(np.concatenate([wide(x, 2) for x in table.column("after").to_pylist()]))
+        own_w, own = summed(np.concatenate([_unpack(x, 4) for x in table.column("own").to_pylist()]))
+        after_w, after = summed(np.concatenate([_unpack(x, 2) for x in table.column("after").to_pylist()]))
         all_w = np.union1d(own_w, after_w)
-        values = np.zeros((len(all_w), 6), np.uint32)
+        values = np.zeros((len(all_w), 6), np.int64)
         values[np.searchsorted(all_w, own_w), :4] = own
         values[np.searchsorted(all_w, after_w), 4:] = after
-        _publish(folder, f"words-{k}", [all_w, values])
+        _publish(folder, f"words-{k}", all_w, values)
         c = after[:, 1]
         stats = [int(after[:, 0].sum()), len(after), int(c.sum()), *[int((c == j).sum()) for j in (1, 2, 3, 4)]]
         return pa.table({"shard": pa.array([k], pa.int64()), "stats": pa.array([stats], pa.list_(pa.int64()))})
@@ -251,19 +275,15 @@ class Model:
 
     def _words(self, k: int):
         if k not in self.words:
-            raw = _mapped(self.info["folder"], f"words-{k}") if k in self.made else np.zeros(0, np.uint8)
-            n = len(raw) // 32
-            self.words[k] = raw[: 8 * n].view(U64), raw[8 * n :].view(np.uint32).reshape(n, 6)
+            self.words[k] = _mapped(self.info["folder"], f"words-{k}", 6) if k in self.made else (np.zeros(0, U64), np.zeros((0, 6), U64))
         return self.words[k]
 
     def _pairs(self, k: int):
         if k not in self.pairs:
             try:
-                raw = _mapped(self.info["folder"], f"pairs-{k}")
+                self.pairs[k] = _mapped(self.info["folder"], f"pairs-{k}", 1)
             except FileNotFoundError:  # no pair of the training texts fell into this shard
-                raw = np.zeros(0, np.uint8)
-            n = len(raw) // 12
-            self.pairs[k] = raw[: 8 * n].view(U64), raw[8 * n :].view(np.uint32)
+                self.pairs[k] = np.zeros(0, U64), np.zeros((0, 1), U64)
         return self.pairs[k]
 
     def word_values(self, w: np.ndarray) -> np.ndarray:
@@ -277,7 +297,7 @@ class Model:
             if a < b and len(known):
                 at = np.minimum(np.searchsorted(known, w[a:b]), len(known) - 1)
                 hit = known[at] == w[a:b]
-                out[a:b][hit] = values[at[hit]]
+                out[a:b][hit] = values[at[hit]].astype(np.int64)
         return out
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -292,7 +312,7 @@ class Model:
             known, number = self._pairs(k)
             if len(known):
                 at = np.minimum(np.searchsorted(known, sorted_key[a:b]), len(known) - 1)
-                out[order[a:b]] = np.where(known[at] == sorted_key[a:b], number[at], 0)
+                out[order[a:b]] = np.where(known[at] == sorted_key[a:b], number[at, 0].astype(np.int64), 0)
         return out
 
     def score(self, prev: np.ndarray, now: np.ndarray, start: np.ndarray):
@@ -318,14 +338,25 @@ class Model:
         return np.diff(start), add((c > 0)[after].astype(np.int64)), add(base[after]), add(np.log10(p))
 
 
+_models: dict[str, Model] = {}
+
+
+def model(info: dict) -> Model:
+    """This worker's model: its files are opened, or fetched, once for all tasks of the worker."""
+    if info["folder"] not in _models:
+        _models.clear()
+        _models[info["folder"]] = Model(info)
+    return _models[info["folder"]]
+
+
 def score(docs: DataFrame, info: dict) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every whole text; a null text is empty."""
     sent = ship(docs.sparkSession).sparkContext.broadcast(info)
 
     def run(batches):
-        model = Model(sent.value)
+        own = model(sent.value)
         for batch in batches:
-            parts = [model.score(*x) for x in token_pairs(batch.column("text"))]
+            parts = [own.score(*x) for x in token_pairs(batch.column("text"))]
             columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in range(4)]
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "n_tokens", "n_known", "base_score", "score"])

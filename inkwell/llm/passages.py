@@ -3,15 +3,26 @@
 Passages need not start or end with a line, so a text's paragraphs are cut by content: after
 every word whose hash is the least within RADIUS words on either side, and around repeats of one word.  A passage of fifty words
 holds several whole paragraphs wherever it stands.  Equal paragraphs are one node.  Others become
-candidates when one of BANDS MinHash values of their five-word shingles agrees; each is
-compared with the least and the greatest paragraph of its bucket, and linked if the exact Jaccard similarity
-is at least PERCENT / 100.  Union-find makes components of the links.  Neighbouring paragraphs
+candidates in two ways: one of BANDS MinHash values of their five-word shingles agrees, or the paragraphs
+before and after them are equal, which finds a word changed inside a passage, where a paragraph keeps few
+shingles.  Candidates are linked if the exact Jaccard similarity of their shingles, or one
+minus the exact edit distance of their words over the words of the longer, is at least PERCENT / 100.
+
+In each bucket every paragraph is compared with the least and the greatest of it.  Paragraphs of buckets that
+then hold several components still are compared by an exact prefix filter: two sets of the similarity share
+one of the first shingles of either, rarest first, so that a phrase common to many unlike paragraphs makes no
+pairs.  Union-find makes components of the links.  Neighbouring paragraphs
 of a document whose components occur in another document too make up a passage if they have at least
 MIN_WORDS words together.  The occurrence in the lowest document is kept, others are for removal.
 
-One band of one value suffices for each of four chances: a pair of similarity 0.8 is found with
-a probability of 0.998.  Buckets are only ever aggregated, so a paragraph of all documents costs two
+One band of one value suffices for each of three chances: a pair of similarity 0.8 is found with
+a probability of 0.992.  Buckets are only ever aggregated, so a paragraph of all documents costs two
 comparisons for each of its variants.
+
+A null or empty text has no paragraph.  Rows equal in id and text count as one document, so repeats within
+one document are not passages; rows with equal ids and other texts, or null ids, are documents of their own.
+Among equal occurrences the lowest id is kept, then the lowest hash of the row.  A very long text is worked on
+alone.  An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,20 +33,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkwell.functions.text import token_distance
+
 from .bpe import groups
-from .common import checked_join, cut, documents, ship, stored
+from .common import checked_join, cut, discard, documents, ship, stored
 from .components import components
 from .text_arrays import U64, _stream, mix64, shingles, words
 
 RADIUS = 5
 WIDTH = 5
 PERCENT = 80
-BANDS = 4
+#: MinHash values, and with the neighbours' value the bands.
+BANDS = 3
 #: Words of whole paragraphs that a passage has at least; up to about eleven more at either
 #: end lie in paragraphs that its surroundings cut differently.
-MIN_WORDS = 24
+MIN_WORDS = 20
+#: Paragraphs of more words (runs of few different words have them) are compared by their shingles alone.
+EDIT_WORDS = 64
 #: Candidate paragraphs whose hashes are sent to the workers; beyond it they are joined.
 FEW = 1_000_000
+#: Pivots of a shingle's list in a round, and the factor from round to round.
+PIVOTS = 8
+GROWTH = 8
 _SEED = _stream(BANDS, 41) | U64(1)
 
 
@@ -74,7 +93,7 @@ def cuts(h: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 def paragraphs_of(column):
     """For slices of a string column: (first row, word index of each paragraph, its number of words,
-    its text, its hash, its shingles, index of its first shingle, code-point span)."""
+    its text, its hash, its shingles, index of its first shingle, code-point span, word hashes, index of its first)."""
     for row, raw, offsets in groups(column):
         h, index, begin, end = words(raw, offsets, spans=True)
         if not len(h):
@@ -87,22 +106,30 @@ def paragraphs_of(column):
         text = np.searchsorted(index, at, "right") - 1
         points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         origin = points[offsets[text]]
-        yield row, at - index[text], size, text, whole, s, first, points[begin[at]] - origin, points[end[at + size - 1]] - origin
+        yield row, at - index[text], size, text, whole, s, first, points[begin[at]] - origin, points[end[at + size - 1]] - origin, h, at
+
+
+def between(whole: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """A hash of the paragraphs before and after each one; of itself at a text's start or end."""
+    inner = ~new & ~np.append(new[1:], True)
+    before, after = np.roll(whole, 1), np.roll(whole, -1)
+    return np.where(inner, mix64(before * U64(0x9E3779B97F4A7C15) + (after ^ (after >> U64(31)))), whole)
 
 
 def pieces(docs: DataFrame) -> DataFrame:
     """(doc_id, rk, pos, word, n, a, b, ph, b0..) of every paragraph: its number in the text, first word, words,
     code-point span, hash and MinHash values.  Null and empty texts have none."""
-    names = ["doc_id", "rk", "pos", "word", "n", "a", "b", "ph", *[f"b{k}" for k in range(BANDS)]]
+    names = ["doc_id", "rk", "pos", "word", "n", "a", "b", "ph", *[f"b{k}" for k in range(BANDS + 1)]]
 
     def run(batches):
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("rk")
-            for row, word, size, text, whole, s, first, a, b in paragraphs_of(batch.column("text")):
+            for row, word, size, text, whole, s, first, a, b, _, _ in paragraphs_of(batch.column("text")):
                 new = np.concatenate([[True], text[1:] != text[:-1]])
                 start = np.flatnonzero(new)
                 pos = np.arange(len(text)) - np.repeat(start, np.diff(np.append(start, len(text))))
                 low = [np.minimum.reduceat(mix64(s * seed), first[:-1]) for seed in _SEED]
+                low.append(between(whole, new))
                 take = pa.array(text + row)
                 numbers = [pos, word, size, a, b, whole.view(np.int64), *[mix64(x + U64(k)).view(np.int64) for k, x in enumerate(low)]]
                 yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), *[pa.array(x.astype(np.int64)) for x in numbers]], names)
@@ -111,22 +138,24 @@ def pieces(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", row_key().alias("rk"), "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(ph, s): shingle sets of the paragraphs whose hash is in ``wanted`` (a stored table)."""
+def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(ph, s, w): shingle set and word hashes (none beyond EDIT_WORDS) of the paragraphs whose hash is in ``wanted`` (a stored table)."""
 
     def run(batches):
         wanted_ = None if known is None else known.value
         sent = None if known is None else np.zeros(len(wanted_), bool)
         for batch in batches:
-            for _, _, _, _, whole, s, first, _, _ in paragraphs_of(batch.column("text")):
+            for _, _, size, _, whole, s, first, _, _, h, at in paragraphs_of(batch.column("text")):
                 ph = whole.view(np.int64)
                 keep = np.arange(len(ph))
                 if wanted_ is not None and len(wanted_):
-                    at = np.minimum(np.searchsorted(wanted_, ph), len(wanted_) - 1)
-                    keep = np.flatnonzero((wanted_[at] == ph) & ~sent[at])  # once for each task
-                    sent[at[keep]] = True
-                rows = [np.unique(s[first[k] : first[k + 1]]).view(np.int64) for k in keep.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ph[keep]), pa.array(rows, pa.list_(pa.int64()))], ["ph", "s"])
+                    place = np.minimum(np.searchsorted(wanted_, ph), len(wanted_) - 1)
+                    keep = np.flatnonzero((wanted_[place] == ph) & ~sent[place])  # once for each task
+                    sent[place[keep]] = True
+                sets = [np.unique(s[first[k] : first[k + 1]]).view(np.int64) for k in keep.tolist()]
+                own = [h[at[k] : at[k] + size[k]].view(np.int64) if size[k] <= EDIT_WORDS else h[:0].view(np.int64) for k in keep.tolist()]
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(ph[keep]), pa.array(sets, longs), pa.array(own, longs)], ["ph", "s", "w"])
 
     known = None
     if wanted.limit(FEW + 1).count() <= FEW:
@@ -134,30 +163,104 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         hashes = np.sort(wanted.toArrow().column("ph").to_numpy())
         known = ship(docs.sparkSession).sparkContext.broadcast(hashes)
     ship(docs.sparkSession)
-    sets = docs.select("text").mapInArrow(run, "ph long, s array<long>")
+    rows = docs.select("text").mapInArrow(run, "ph long, s array<long>, w array<long>")
     if known is None:
-        sets = sets.join(wanted.hint("merge"), "ph", "left_semi")
-    return sets.groupBy("ph").agg(F.first("s").alias("s"))
+        rows = rows.join(wanted.hint("merge"), "ph", "left_semi")
+    return rows.groupBy("ph").agg(F.first("s").alias("s"), F.first("w").alias("w"))
+
+
+def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of the pairs (x, y) that are similar enough by their shingles or by their words."""
+    side = lambda k: known.select(F.col("ph").alias(k), F.col("s").alias(f"s{k}"), F.col("w").alias(f"w{k}"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
+    shared = F.size(F.array_intersect("sx", "sy"))
+    by_set = (100 + PERCENT) * shared >= PERCENT * (F.size("sx") + F.size("sy"))
+    least, most = F.least(F.size("wx"), F.size("wy")), F.greatest(F.size("wx"), F.size("wy"))
+    near = (least > 0) & (100 * least >= PERCENT * most)
+    by_words = F.when(near, 100 * token_distance(F.col("wx"), F.col("wy")) <= (100 - PERCENT) * most).otherwise(False)
+    return both.where(by_set | by_words).select("x", "y")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def grouped(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) of ``comp`` joined by ``links`` (x, y)."""
+    return cut(components(links.union(comp.select(F.col("node").alias("x"), F.col("root").alias("y")))))
+
+
+def rarest(postings: DataFrame, spare) -> DataFrame:
+    """(ph, size, t): the first tokens of each set in ``postings`` (g, ph, size, n, t), rarest first.
+
+    ``n`` is the number of tokens of the set of ph in g.  A similar set lacks at most ``spare`` of them, so
+    it shares one of the first spare + 1; those that no other set has come first and make no list.
+    """
+    common = postings.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = checked_join(postings, cut(common), "t").groupBy("g", "ph", "size", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("own"))
+    take = F.size("own") - F.col("n") + spare + 1
+    return ranked.where(take > 0).select("ph", "size", F.explode(F.slice("own", 1, F.greatest(take, F.lit(1)))).alias("o")).select("ph", "size", F.col("o.t").alias("t"))
+
+
+def settled(inside: DataFrame, known: DataFrame, comp: DataFrame) -> DataFrame:
+    """``comp`` after all similar paragraphs of each band in ``inside`` (k, band, ph) are in one component.
+
+    Paragraphs of bands with several components are listed by the first of their shingles, and where the
+    band is that of equal neighbours by the first of their words: rarest first, any two similar
+    ones share one of them.  In each list every paragraph is compared with
+    PIVOTS others of other components, drawn by hash, which leave; each round has GROWTH times as many.
+    """
+    root = lambda df, c: df.join(comp.select(F.col("node").alias("ph"), "root"), "ph", "left").withColumn(c, F.coalesce("root", "ph")).drop("root")
+    marked = root(inside, "c")
+    several = marked.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
+    open_ = stored(checked_join(inside, cut(several), "band"), "passage-open")
+    sets = known.select("ph", "s").join(open_.select("ph").distinct(), "ph")
+    by_set = rarest(sets.select(F.lit(0).cast("long").alias("g"), "ph", F.size("s").alias("size"), F.size("s").alias("n"), F.explode("s").alias("t")), F.floor(F.col("n") * (100 - PERCENT) / 100).cast("int"))
+    own = open_.where(F.col("k") == BANDS).select(F.col("band").alias("g"), "ph").distinct().join(known.select("ph", "w"), "ph").where(F.size("w") > 0)
+    own = own.select("g", "ph", F.size("w").alias("size"), F.array_distinct("w").alias("d"))
+    own = own.select("g", "ph", "size", F.size("d").alias("n"), F.explode("d").alias("x")).withColumn("t", F.xxhash64("g", "x")).drop("x")
+    # An edit distance of a fifth of the longer's words loses a quarter of the shorter's at most.
+    lists = by_set.union(rarest(own, F.floor(F.col("size") * (100 - PERCENT) / PERCENT).cast("int")))
+    rest, pivots = stored(lists, "passage-lists"), PIVOTS
+    discard(open_)
+    while True:
+        rest = root(rest, "c")
+        mixed = cut(rest.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("t", "m"))
+        most = mixed.agg(F.max("m")).first()[0]
+        if most is None:
+            return comp
+        rest = stored(checked_join(rest, mixed, "t").withColumn("pivot", F.pmod(F.xxhash64(F.lit(pivots), "ph"), "m") < pivots), "passage-rest")
+        drawn = rest.where("pivot").select("t", F.col("ph").alias("y"), F.col("c").alias("d"), F.col("size").alias("other"))
+        fits = 100 * F.least("size", "other") >= PERCENT * F.greatest("size", "other")
+        pairs = rest.withColumnRenamed("ph", "x").join(drawn, "t").where((F.col("c") != F.col("d")) & fits).select("x", "y")
+        links = cut(verified(ordered(pairs), known))
+        if links.limit(1).count():
+            comp = grouped(comp, links)
+        if most <= pivots:
+            return comp
+        rest = rest.where("NOT pivot").select("t", "ph", "size")
+        pivots *= GROWTH
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, rk, passage, word, n_words, start, end, cluster, kept) of every repeated passage.
 
     ``word`` is its first word's number, ``start`` and ``end`` its code-point span, ``cluster`` the
-    least component of its paragraphs; ``kept`` says that none of them occurs in a lower document (null
-    ids are highest).  Rows equal in id and text count as one document.
+    least component of its paragraphs.  ``kept`` says that its paragraphs occur in no lower document (null
+    ids are highest); a run of repeated paragraphs is cut in passages where that changes, and those of fewer than
+    ``min_words`` words stay with their run.  Rows equal in id and text count as one document.
     """
     docs = docs.select("doc_id", "text")
     table = stored(pieces(docs), "passage-pieces")
-    bands = table.select("ph", F.explode(F.array(*[f"b{k}" for k in range(BANDS)])).alias("band"))
+    bands = table.select("ph", F.posexplode(F.array(*[f"b{k}" for k in range(BANDS + 1)])).alias("k", "band"))
     bucket = stored(bands.groupBy("band").agg(F.min("ph").alias("lo"), F.max("ph").alias("hi")).where("lo <> hi"), "passage-buckets")
-    pairs = checked_join(bands, bucket, "band").select(F.col("ph").alias("x"), F.explode(F.array("lo", "hi")).alias("y")).where("x <> y")
-    pairs = stored(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "passage-pairs")
-    sets = stored(shingle_sets(docs, cut(pairs.select(F.explode(F.array("x", "y")).alias("ph")).distinct())), "passage-sets")
-    both = pairs.join(sets.select(F.col("ph").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("ph").alias("y"), F.col("s").alias("sy")), "y")
-    shared = F.size(F.array_intersect("sx", "sy"))
-    links = both.where(100 * shared >= PERCENT * (F.size("sx") + F.size("sy") - shared)).select("x", "y")
-    comp = cut(components(links)).select(F.col("node").alias("ph"), "root")
+    inside = stored(checked_join(bands, bucket, "band").distinct(), "passage-inside")
+    discard(bucket)
+    pairs = stored(ordered(inside.select(F.col("ph").alias("x"), F.explode(F.array("lo", "hi")).alias("y")).where("x <> y")), "passage-pairs")
+    known = stored(contents(docs, cut(inside.select("ph").distinct())), "passage-contents")
+    comp = cut(components(verified(pairs, known)))
+    comp = settled(inside.select("k", "band", "ph"), known, comp).select(F.col("node").alias("ph"), "root")
+    discard(inside, pairs, known)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")
     slim = table.select("doc_id", "rk", "pos", "word", "n", "a", "b", "ph")
     by_hash = slim.groupBy("ph").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
@@ -169,12 +272,16 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = checked_join(slim, repeated, "ph")
     # Neighbours: within a document, paragraph number less rank is constant along a run.
     own = W.partitionBy("rk").orderBy("pos")
-    found = found.dropDuplicates(["rk", "pos"]).withColumn("passage", F.col("pos") - F.row_number().over(own))
-    out = found.groupBy("rk", "passage").agg(
-        F.first("doc_id").alias("doc_id"), F.min("word").alias("word"), F.sum("n").alias("n_words"), F.min("a").alias("start"), F.max("b").alias("end"),
-        F.min("c").alias("cluster"), F.bool_and(F.col("first") == F.col("rk")).alias("kept"),
+    found = found.dropDuplicates(["rk", "pos"]).withColumn("passage", F.col("pos") - F.row_number().over(own)).withColumn("kept", F.col("first") == F.col("rk"))
+    whole = W.partitionBy("rk", "passage")
+    found = found.withColumn("all", F.sum("n").over(whole)).where(F.col("all") >= min_words)
+    # A run is cut where paragraphs that occur here first meet others, so that every paragraph is kept somewhere.
+    found = found.withColumn("part", F.col("pos") - F.row_number().over(W.partitionBy("rk", "passage", "kept").orderBy("pos")))
+    out = found.groupBy("rk", "passage", "kept", "part").agg(
+        F.first("doc_id").alias("doc_id"), F.min("word").alias("word"), F.sum("n").alias("n_words"), F.min("a").alias("start"), F.max("b").alias("end"), F.min("c").alias("cluster"), F.first("all").alias("all"),
     )
-    return out.where(F.col("n_words") >= min_words).select("doc_id", "rk", "passage", "word", "n_words", "start", "end", "cluster", "kept")
+    short = (F.col("n_words") < min_words) & (F.col("n_words") < F.col("all"))
+    return out.select("doc_id", "rk", "passage", "word", "n_words", "start", "end", "cluster", (F.col("kept") | short).alias("kept"))
 
 
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:

@@ -5,7 +5,11 @@ or of other printable characters.  A line is a sequence; every token is tagged B
 (inside) or O (outside) from its shape, its neighbours and features of its file.  Feature
 weights and transitions maximise the conditional likelihood of training lines, tags are decoded
 by Viterbi.  A line is only decoded if some token could pay for leaving O, by a bound
-that makes skipping exact.
+that makes skipping exact.  Training takes lines of every length.
+
+A null or empty text has no span; an empty table gives an empty result, and a field trained on made documents
+alone.  Rows are scanned each by itself: repeated rows and equal or null ids get equal spans, other columns are not read.
+Spans that start together are listed by kind, base kinds first.  A very long text is worked on alone, in memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -241,22 +245,49 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _by_length(line: np.ndarray) -> list[np.ndarray]:
+    """Token numbers of lines of similar lengths, one table for each doubling of the length: a row
+    for each line, -1 behind its end.  So no line is left out and padding at most doubles a table."""
+    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    size = np.diff(np.append(first, len(line)))
+    kind = np.ceil(np.log2(size)).astype(np.int64)
+    out = []
+    for k in np.unique(kind).tolist():
+        rows = np.flatnonzero(kind == k)
+        place = np.arange(int(size[rows].max()))
+        out.append(np.where(place < size[rows][:, None], first[rows][:, None] + place, -1))
+    return out
+
+
+def _forward_backward(e: np.ndarray, live: np.ndarray, m: np.ndarray, s: np.ndarray):
+    """(probabilities of the tags of each token, expected transitions) of lines with emission scores e."""
+    n, t, _ = e.shape
+    a, b = np.zeros((n, t, 3)), np.zeros((n, t, 3))
+    a[:, 0] = s + e[:, 0]
+    for k in range(1, t):
+        a[:, k] = np.where(live[:, k, None], _log_sum(a[:, k - 1, :, None] + m, 1) + e[:, k], a[:, k - 1])
+    z = _log_sum(a[:, -1], 1)
+    for k in range(t - 2, -1, -1):
+        b[:, k] = np.where(live[:, k + 1, None], _log_sum(m + (e[:, k + 1] + b[:, k + 1])[:, None, :], 2), 0.0)
+    pairs = live[:, 1:] & live[:, :-1]
+    after = e + b
+    joint = np.array([[np.exp(a[:, :-1, i] + m[i, j] + after[:, 1:, j] - z[:, None])[pairs].sum() for j in range(3)] for i in range(3)])
+    return np.exp(a + b - z[:, None, None]), joint
+
+
 def fit(f: np.ndarray, line: np.ndarray, gold: np.ndarray, epochs: int = EPOCHS) -> Field:
     """Maximises the penalised conditional likelihood by Adam over forward-backward gradients.
 
-    Forward and backward run over all lines at once; features stay one row per token.
+    ``line`` numbers the lines in order.  Forward and backward run over all lines of similar lengths at once;
+    features stay one row per token.
     """
-    lines, at = np.unique(line, return_inverse=True)
-    place = np.arange(len(line)) - np.searchsorted(at, np.arange(len(lines)))[at]
-    n, t, width = len(lines), int(place.max()) + 1, f.shape[1]
-    live = np.zeros((n, t), bool)
-    live[at, place] = True
-    pairs = live[:, 1:] & live[:, :-1]
-    tag = np.zeros((n, t), np.int64)
-    tag[at, place] = gold
+    width = f.shape[1]
+    tables = _by_length(line)
+    follows = line[1:] == line[:-1]
+    opens = np.concatenate([[True], ~follows])
     seen_w = f.T @ np.eye(3, dtype=np.float32)[gold]
-    seen_m = np.bincount((tag[:, :-1] * 3 + tag[:, 1:])[pairs], minlength=9).reshape(3, 3)
-    seen_s = np.bincount(tag[:, 0], minlength=3)
+    seen_m = np.bincount((gold[:-1] * 3 + gold[1:])[follows], minlength=9).reshape(3, 3)
+    seen_s = np.bincount(gold[opens], minlength=3)
     barred = np.zeros((3, 3))
     barred[O, I] = BARRED
     bar0 = np.array([0.0, 0.0, BARRED])
@@ -268,19 +299,14 @@ def fit(f: np.ndarray, line: np.ndarray, gold: np.ndarray, epochs: int = EPOCHS)
 
     for step in range(1, epochs + 1):
         w, m, s = split(theta)
-        e = np.zeros((n, t, 3))
-        e[at, place] = f @ w.astype(np.float32)
-        a, b = np.zeros((n, t, 3)), np.zeros((n, t, 3))
-        a[:, 0] = s + e[:, 0]
-        for k in range(1, t):
-            a[:, k] = np.where(live[:, k, None], _log_sum(a[:, k - 1, :, None] + m, 1) + e[:, k], a[:, k - 1])
-        z = _log_sum(a[:, -1], 1)
-        for k in range(t - 2, -1, -1):
-            b[:, k] = np.where(live[:, k + 1, None], _log_sum(m + (e[:, k + 1] + b[:, k + 1])[:, None, :], 2), 0.0)
-        p = np.exp(a + b - z[:, None, None])
-        after = e + b
-        joint = np.array([[np.exp(a[:, :-1, i] + m[i, j] + after[:, 1:, j] - z[:, None])[pairs].sum() for j in range(3)] for i in range(3)])
-        grad = np.concatenate([(seen_w - f.T @ p[at, place].astype(np.float32)).ravel(), (seen_m - joint).ravel(), seen_s - p[:, 0].sum(axis=0)])
+        emit = f @ w.astype(np.float32)
+        p, joint = np.zeros((len(f), 3), np.float32), np.zeros((3, 3))
+        for table in tables:
+            live = table >= 0
+            own, moves = _forward_backward(np.where(live[:, :, None], emit[table], 0.0), live, m, s)
+            p[table[live]] = own[live]
+            joint += moves
+        grad = np.concatenate([(seen_w - f.T @ p).ravel(), (seen_m - joint).ravel(), seen_s - p[opens].sum(axis=0)])
         grad = grad / len(f) * 100 - 1e-3 * theta
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         theta = theta + 0.2 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
@@ -370,8 +396,7 @@ def train(sample: list[str], epochs: int = EPOCHS) -> Field:
         gold_all.append(gold)
         base += int(line[-1]) + 1 if len(line) else 0
     f, line, gold = np.concatenate(f_all), np.concatenate(line_all), np.concatenate(gold_all)
-    long = np.bincount(line)[line] > 48  # a few long lines would fill the padded arrays
-    return fit(f[~long], line[~long], gold[~long], epochs)
+    return fit(f, line, gold, epochs)
 
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:

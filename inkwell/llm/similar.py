@@ -39,6 +39,8 @@ PERCENT = 80
 #: Postings in a bucket, about, and members of a chunk that is searched at once.
 BUCKET_POSTINGS = 400_000
 CHUNK = 2048
+#: Followers of a list's least node that are searched at once with it.
+FAN = 256
 #: Nodes of a block of connected lists that is searched as a whole.
 BLOCK = 8192
 #: Lists at least so long are set aside and probed.
@@ -121,7 +123,7 @@ def _blocks(pairs, bucket_count: int, prefix: bool):
     order = np.argsort(bucket, kind="stable")
     bucket, tok, own = bucket[order], tok[order], own[order]
     at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-    for a, b in zip(at.tolist(), [*at.tolist()[1:], len(bucket)], strict=True):
+    for a, b in zip(at.tolist(), np.append(at, len(bucket))[1:].tolist(), strict=True):
         yield int(bucket[a]), tok[a:b].tobytes(), own[a:b].tobytes()
 
 
@@ -192,7 +194,7 @@ def _shared_sets(blocks: DataFrame) -> DataFrame:
         both = np.stack([toks[order], df[order]], axis=1)
         nodes = nodes[order]
         at = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
-        parts = [both[a:b].tobytes() for a, b in zip(at.tolist(), [*at.tolist()[1:], len(nodes)], strict=True)]
+        parts = [both[a:b].tobytes() for a, b in zip(at.tolist(), np.append(at, len(nodes))[1:].tolist(), strict=True)]
         return pa.table({"node": pa.array(nodes[at], pa.int64()), "part": pa.array(parts, pa.binary())})
 
     return blocks.groupBy("bucket").applyInArrow(run, "node long, part binary")
@@ -298,7 +300,7 @@ def links_of(postings: DataFrame, sets: DataFrame) -> DataFrame:
     near = postings.join(least, "tok").where(F.col("node") != F.col("pivot")).groupBy("node", "pivot").agg(F.count("*").alias("c"))
     best = cut(near.groupBy("node").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p"))).alias("x")).select("node", (-F.col("x.p")).alias("pivot")))
     fans = best.groupBy("pivot").agg(F.count("*").alias("fans"))
-    fans = fans.withColumn("chunks", F.ceil(F.col("fans") / CHUNK).cast("long"))
+    fans = fans.withColumn("chunks", F.ceil(F.col("fans") / FAN).cast("long"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     followers = best.join(fans, "pivot").select("pivot", "node", chunk.alias("i"), F.lit(False).alias("lead"))
     leaders = fans.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("i"), F.lit(True).alias("lead"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell import session
 from inkwell.operators import allocate, generate, reconcile, validate
-from inkwell.sources import manifest
+from inkwell.sources import manifest, strict
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -30,12 +30,14 @@ def main(argv: list[str] | None = None) -> int:
     if a.what == "generate":
         print(json.dumps(generate.generate(spark, a.out, a.count), sort_keys=True))
         return 0
-    rows = manifest.load(spark, a.manifest).withColumn("line_number", F.monotonically_increasing_id() + 2)
     if a.what == "validate":
-        found = validate.row_rules(rows).orderBy("line_number", "code").limit(validate.KEEP).collect()
+        rows = strict.numbered(spark, a.manifest)
+        broken = validate.finding(rows, F.col("problem").isNotNull(), "manifest", F.col("problem"))
+        found = broken.unionByName(validate.row_rules(rows.where("problem IS NULL"))).orderBy("line_number", "code").limit(validate.KEEP).collect()
         for r in found:
             print(f"{r['line_number']}\t{r['code']}\t{r['key']}\t{r['message']}")
         return int(bool(found))
+    rows = manifest.load(spark, a.manifest)
     real = manifest.scan_tolerant(spark, a.real, manifest.REAL)
     known = rows.where("source = 'real'")
     splits = allocate.assign_writers(real, "writer_id", generate.FRACTIONS, "merge", known.select("writer_id", "split").distinct())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,6 +71,28 @@ def render_flag(c: Column) -> Column:
     return F.initcap(c.cast("string"))
 
 
+def _accents() -> dict[str, str]:
+    """Letters of the Latin blocks that decompose to one letter and marks, by rule, with that letter."""
+    out = {}
+    for k in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        plain = "".join(x for x in unicodedata.normalize("NFKD", chr(k)) if not unicodedata.combining(x))
+        if len(plain) == 1 and plain != chr(k):
+            out[chr(k)] = plain
+    return out
+
+
+def without_accents(c: Column) -> Column:
+    """Latin letters without their marks, composed or combining."""
+    known = _accents()
+    return F.translate(F.regexp_replace(c, r"\p{Mn}", ""), "".join(known), "".join(known.values()))
+
+
+def clean_name(c: Column) -> Column:
+    """A name without accents and with single spaces; empty where it holds a digit, comma or period."""
+    name = without_accents(F.regexp_replace(strip(c), r"\s+", " "))
+    return F.when(name.rlike(r"[\p{Nd},.]"), "").otherwise(name)
+
+
 def tokens(c: Column) -> Column:
     """Words between white space, none empty."""
     return F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda x: x != "")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkwell.functions import ranges
 from inkwell.functions.rand import SPAN, draw
 
 SPLITS = ("train", "val", "test")
@@ -37,18 +38,35 @@ def quotas(total: int, fractions: tuple[float, ...]) -> list[int]:
     return out
 
 
-def global_rank(df: DataFrame, key: Column, ties: list[str], name: str, bits: int = 10) -> DataFrame:
-    """Adds the rank (from 1) of every row by ``key`` (below 2**32), then ``ties``.
+def rank_in_buckets(df: DataFrame, groups: list[str], bucket: Column, order: list, name: str) -> DataFrame:
+    """Adds the rank (from 1) of every row among the rows of its groups, by ``bucket`` and then ``order``.
 
-    The key's top bits deal rows to buckets; counts per bucket, summed over the 2**bits buckets,
-    are added to ranks within a bucket, so no task sorts all rows.
+    ``bucket`` must never fall along ``order``.  Counts per bucket, summed over the buckets before,
+    are added to ranks within a bucket, so no task sorts more than a bucket.
     """
-    df = df.withColumn("_key", key).withColumn("_bucket", F.shiftright("_key", 32 - bits))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = df.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    df = df.withColumn("_bucket", bucket)
+    before = W.partitionBy(*groups).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = df.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n"))
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = F.row_number().over(W.partitionBy("_bucket").orderBy("_key", *ties))
-    return df.withColumn("_within", within).join(F.broadcast(starts), "_bucket").withColumn(name, (F.col("_start") + F.col("_within")).cast("long")).drop("_key", "_bucket", "_within", "_start")
+    within = F.row_number().over(W.partitionBy(*groups, "_bucket").orderBy(*order))
+    keys = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in (*groups, "_bucket")]
+    starts = starts.select("_start", *[F.col(c).alias(f"_s_{c}") for c in (*groups, "_bucket")])
+    out = df.withColumn("_within", within).join(starts, keys)
+    return out.withColumn(name, (F.col("_start") + F.col("_within")).cast("long")).drop("_bucket", "_within", "_start", *[f"_s_{c}" for c in (*groups, "_bucket")])
+
+
+def global_rank(df: DataFrame, key: Column, ties: list[str], name: str, bits: int = 10) -> DataFrame:
+    """Adds the rank (from 1) of every row by ``key`` (a hash, evenly spread below 2**32), then ``ties``.
+    The key's top bits deal rows to buckets."""
+    df = df.withColumn("_key", key)
+    return rank_in_buckets(df, [], F.shiftright("_key", 32 - bits), ["_key", *ties], name).drop("_key")
+
+
+def ordered_rank(df: DataFrame, groups: list[str], key: str, ties: list[str], name: str) -> DataFrame:
+    """Adds the rank (from 1) of every row among its groups by the numeric column ``key`` in
+    ascending order, then ``ties``.  Buckets come from the key's own quantiles."""
+    bucket = ranges.bucket(ranges.bounds(df, key), key, df.schema[key].dataType.simpleString())
+    return rank_in_buckets(df, groups, bucket, [key, *ties], name)
 
 
 def exact_assignment(df: DataFrame, key: str, counts: dict[str, int], namespace: str) -> DataFrame:
@@ -95,9 +113,9 @@ def assign_writers(writers: DataFrame, key: str, fractions: tuple[float, ...], n
 
 def pseudo_writers(df: DataFrame, split: str, order: str, per_writer: int) -> DataFrame:
     """Adds ``writer_id``: samples of a split in order, ``per_writer`` to each writer."""
-    own = F.row_number().over(W.partitionBy(split).orderBy(order))
-    number = F.floor((own - 1) / per_writer) + 1
-    return df.withColumn("writer_id", F.format_string("synthetic_%s_writer_%05d", F.col(split), number.cast("int")))
+    ranked = ordered_rank(df, [split], order, [], "_own")
+    number = F.floor((F.col("_own") - 1) / per_writer) + 1
+    return ranked.withColumn("writer_id", F.format_string("synthetic_%s_writer_%05d", F.col(split), number.cast("int"))).drop("_own")
 
 
 def holdout(df: DataFrame, key: str, namespace: str, percent: int) -> DataFrame:
@@ -108,4 +126,4 @@ def holdout(df: DataFrame, key: str, namespace: str, percent: int) -> DataFrame:
     return df.join(ranked.withColumn("held_out", F.col("_rank") <= k).drop("_rank"), key)
 
 
-__all__ = ["SPAN", "SPLITS", "assign_writers", "exact_assignment", "global_rank", "holdout", "pseudo_writers", "quotas"]
+__all__ = ["SPAN", "SPLITS", "assign_writers", "exact_assignment", "global_rank", "holdout", "ordered_rank", "pseudo_writers", "quotas", "rank_in_buckets"]

@@ -15,6 +15,11 @@ def format_profile(split: Column, field: Column) -> Column:
     return F.when((split == "test") & field.isin(*DATE_FIELDS), "held_out_historical_date_v1").otherwise("base")
 
 
+def degradation_profile(split: Column) -> Column:
+    """The held-out degradation for the test split, the base one otherwise."""
+    return F.when(split == "test", "held_out_degradation_v1").otherwise("base")
+
+
 def condition(split: Column, font_held_out: Column, field: Column, degraded: bool = True) -> Column:
     """``synthetic_`` and what a test sample holds out, joined by ``+``; ``in_domain`` elsewhere."""
     parts = F.concat_ws("+", F.when(font_held_out, "unseen_font"), F.when(F.lit(degraded), "held_out_degradation"), F.when(field.isin(*DATE_FIELDS), "held_out_format"))

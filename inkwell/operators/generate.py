@@ -16,10 +16,19 @@ from inkwell.functions.rand import chance, draw, pick, weighted
 from inkwell.operators import allocate, annotate, validate
 from inkwell.sources import manifest
 
-WEIGHTS = {"full_name": 30, "place": 15, "date_written": 15, "date_numeric": 15, "age": 10, "sex": 5, "numeric": 10}
+#: Weights of a regular plan, fixed values; ``character`` and ``numeric`` take part in snippets only.
+WEIGHTS = {"full_name": 30, "place": 16, "date_written": 13, "date_numeric": 11, "cause_of_death": 8, "age": 5, "civil_status": 5, "sex": 4, "religion": 3, "citizenship": 3, "occupation": 2}
 FRACTIONS = (0.8, 0.1, 0.1)
 #: Vocabularies of our own; ``label`` takes others.
-LISTS = {"place": ["Manila", "Cebu", "Davao", "Iloilo"], "sex": ["Male", "Female"]}
+LISTS = {
+    "place": ["Manila", "Cebu", "Davao", "Iloilo", "Bacolod", "Baguio", "Zamboanga", "Vigan"],
+    "sex": ["Male", "Female"],
+    "civil_status": ["Single", "Married", "Widowed", "Separated"],
+    "religion": ["Catholic", "Protestant", "Islam", "Aglipayan", "None"],
+    "citizenship": ["Filipino", "American", "Chinese", "Spanish", "Japanese"],
+    "occupation": ["Farmer", "Fisherman", "Teacher", "Carpenter", "Seamstress", "Merchant", "Nurse", "Driver", "Clerk", "Student"],
+    "cause_of_death": ["Pneumonia", "Heart failure", "Tuberculosis", "Malaria", "Stroke", "Old age", "Accident"],
+}
 NAMES = (["Maria", "Jose", "Ana", "Juan"], ["Cruz", "Reyes", "Santos", "Ramos"])
 
 
@@ -48,6 +57,10 @@ def label(field: Column, split: Column, key: Column, lists: dict[str, list[str]]
         out = F.when(field == name, entry(name, key, values)).otherwise(out)
     out = F.when(field == "age", pick("age", key, 111).cast("string")).otherwise(out)
     digits = F.array_join(F.transform(F.sequence(F.lit(1), 1 + pick("size", key, 6)), lambda i: pick("digit", F.concat_ws(".", key, i), 10).cast("string")), "")
+    letters = F.array(*[F.lit(x) for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])
+    some = F.when(pick("few", key, 100) < 70, 1).otherwise(2 + pick("many", key, 3))
+    signs = F.array_join(F.transform(F.sequence(F.lit(1), some), lambda i: F.element_at(letters, pick("sign", F.concat_ws(".", key, i), 62) + 1)), "")
+    out = F.when(field == "character", signs).otherwise(out)
     return F.when(field == "numeric", digits).otherwise(out), ids
 
 

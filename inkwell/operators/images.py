@@ -46,6 +46,18 @@ def quality(gray: np.ndarray) -> dict[str, float]:
     return {"contrast": float(high - low), "coverage": float((g < DARK).mean()), "border_ink": border, "border_limit": max(3, int(np.ceil(max(1, 4 * (width + height)) * 0.002)))}
 
 
+def ink_box(pixels: Column, width: int, below: int = 220, pad: int = 2) -> Column:
+    """(x0, y0, x1, y1) around the ink of a gray image given as rows of ``width``, padded and clipped to
+    the image; all of it where there is no ink."""
+    places = F.filter(F.transform(pixels, lambda v, k: F.when(v < below, k)), lambda k: k.isNotNull())
+    xs, ys = F.transform(places, lambda k: k % width), F.transform(places, lambda k: F.floor(k / width).cast("int"))
+    height = F.floor(F.size(pixels) / width).cast("int")
+    none = F.size(places) == 0
+    low = lambda v: F.when(none, 0).otherwise(F.greatest(F.lit(0), F.array_min(v) - pad))
+    high = lambda v, most: F.when(none, most).otherwise(F.least(most, F.array_max(v) + pad))
+    return F.struct(low(xs).alias("x0"), low(ys).alias("y0"), high(xs, F.lit(width)).alias("x1"), high(ys, height).alias("y1"))
+
+
 def complaints(contrast: Column, coverage: Column, border: Column, limit: Column, width: Column, height: Column) -> Column:
     """The quality rules' errors and warnings as an array of strings."""
     return F.array_compact(F.array(

@@ -24,16 +24,22 @@ def checked(name: str, value: Range, low: float, high: float) -> Range:
 
 @dataclass(frozen=True)
 class WriterProfile:
-    """Ranges from which a writer's traits are drawn."""
-
-    slant: Range = (-8.0, 12.0)
-    letter_spacing: Range = (-1.0, 3.0)
-    word_spacing: Range = (0.8, 1.4)
-    baseline: Range = (0.0, 3.0)
-    pressure: Range = (0.7, 1.0)
-    stretch: Range = (0.85, 1.2)
-    ink: Range = (0.0, 80.0)
-    stroke: Range = (0.8, 1.6)
+    """Ranges from which a writer's traits are drawn: the default profile's, fixed values.  A range of two
+    whole numbers gives whole numbers."""
+
+    baseline_amplitude: Range = (0.0, 2.2)
+    baseline_period: Range = (3.5, 9.0)
+    spacing: Range = (-0.6, 1.8)
+    connection_overlap: Range = (0.0, 1.6)
+    slant: Range = (-0.12, 0.22)
+    stroke_width: Range = (0, 2)
+    pressure_bias: Range = (-14, 20)
+    pressure_variation: Range = (1, 15)
+    ink_texture_density: Range = (0.001, 0.012)
+    glyph_width_scale: Range = (0.88, 1.12)
+    font_size_scale: Range = (0.90, 1.10)
+    font_preference: Range = (0.0, 1.0)
+    baseline_phase: Range = (0.0, 2 * math.pi)
 
 
 @dataclass(frozen=True)
@@ -75,9 +81,13 @@ def scaled(base: AugmentationProfile, factor: float) -> AugmentationProfile:
 
 def writer_styles(writers: DataFrame, key: str, traits: WriterProfile | None = None) -> DataFrame:
     """(key, traits): each trait uniform in its range, by a draw of its own."""
-    ranges = asdict(traits or WriterProfile())
-    columns = [(F.lit(a) + draw(f"style.{t}", F.col(key)) / F.lit(float(SPAN)) * (b - a)).alias(t) for t, (a, b) in ranges.items()]
-    return writers.select(key, *columns)
+    out = []
+    for t, (a, b) in asdict(traits or WriterProfile()).items():
+        u = draw(f"style.{t}", F.col(key))
+        whole = isinstance(a, int) and isinstance(b, int)
+        value = F.lit(a) + F.floor(u * (b - a + 1) / F.lit(SPAN)).cast("int") if whole else F.lit(a) + u / F.lit(float(SPAN)) * (b - a)
+        out.append(value.alias(t))
+    return writers.select(key, *out)
 
 
 def field_weights(mode: str, weights: dict[str, int], custom: dict[str, int] | None = None) -> dict[str, int]:

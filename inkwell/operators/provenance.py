@@ -106,7 +106,13 @@ def matches_contract(state: dict, expected: dict) -> list[str]:
     return sorted(k for k in expected if plain(state.get(k)) != plain(expected[k]))
 
 
-def write_report(df: DataFrame, path: str | Path) -> None:
-    """A small result as sorted JSON."""
-    rows = [r.asDict(recursive=True) for r in df.collect()]
+#: Rows that a report may have.
+MOST_ROWS = 100_000
+
+
+def write_report(df: DataFrame, path: str | Path, most: int = MOST_ROWS) -> None:
+    """A small result as sorted JSON; one of more than ``most`` rows is refused before it is gathered."""
+    rows = [r.asDict(recursive=True) for r in df.limit(most + 1).collect()]
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows are no report")
     publish(path, (json.dumps(plain(rows), sort_keys=True, indent=2, ensure_ascii=False) + "\n").encode(), overwrite=True)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkwell.functions import ranges
+
 FLAT = 1e-12
 
 
@@ -21,12 +24,40 @@ def moments(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     )
 
 
-def percentiles(df: DataFrame, keys: list[str], metric: str, parts: list[float]) -> DataFrame:
-    """Exact percentiles, linear between neighbours; 0 where there are no values."""
-    return df.groupBy(*keys).agg(
-        *[F.coalesce(F.percentile(metric, F.lit(p)), F.lit(0.0)).alias(f"p{round(100 * p)}") for p in parts],
-        F.coalesce(F.min(metric), F.lit(0.0)).alias("least"), F.coalesce(F.max(metric), F.lit(0.0)).alias("most"),
+def percentiles(df: DataFrame, keys: list[str], metric: str, parts: list[float], names: list[str] | None = None) -> DataFrame:
+    """Exact percentiles, linear between neighbours; 0 where there are no values.
+
+    Values are dealt to buckets by their quantiles; counts per group and bucket tell which bucket holds a
+    percentile's two neighbours, and only those buckets are ranked.  No task holds a group.
+    """
+    names = names or [f"p{round(100 * p)}" for p in parts]
+    kind = df.schema[metric].dataType.simpleString()
+    rows = df.select(*keys, F.col(metric).alias("_v")).withColumn("_bucket", ranges.bucket(ranges.bounds(df, metric), "_v", kind))
+    rows = rows.groupBy(*keys, "_bucket", "_v").agg(F.count("_v").alias("_n"))  # equal values once
+    upto = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_m").over(upto), F.lit(0))).withColumn("_all", F.sum("_m").over(W.partitionBy(*keys)))
+    # Places of the two neighbours of each percentile, from 0.
+    places = F.array_distinct(F.flatten(F.array(*[F.array(F.floor((F.col("_all") - 1) * p), F.ceil((F.col("_all") - 1) * p)) for p in parts])))
+    inside = F.filter(places, lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_m")))
+    held = counts.where((F.col("_m") > 0) & (F.size(inside) > 0)).select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, "_bucket")], "_before")
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*keys, "_bucket")]
+    ranked = rows.where("_n > 0").join(held, same)
+    last = F.col("_before") + F.sum("_n").over(W.partitionBy(*keys, "_bucket").orderBy("_v"))
+    ranked = ranked.withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_n"))
+    whole = counts.groupBy(*keys).agg(F.max("_all").alias("_all"), F.coalesce(F.min("_lo"), F.lit(0.0)).alias("least"), F.coalesce(F.max("_hi"), F.lit(0.0)).alias("most"))
+    again = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in keys]
+    both = whole.select("_all", "least", "most", *[F.col(c).alias(f"_w_{c}") for c in keys]).join(ranked.select(*keys, "_v", "_first", "_last"), again, "left")
+
+    def at(place):
+        return F.max(F.when((F.col("_first") <= place) & (place < F.col("_last")), F.col("_v").cast("double")))
+
+    spot = {n: (F.col("_all") - 1) * p for n, p in zip(names, parts, strict=True)}
+    out = both.groupBy(*[F.col(f"_w_{c}").alias(c) for c in keys], "_all", "least", "most").agg(
+        *[at(F.floor(s)).alias(f"_a_{n}") for n, s in spot.items()], *[at(F.ceil(s)).alias(f"_b_{n}") for n, s in spot.items()]
     )
+    between = lambda n, s: F.coalesce(F.col(f"_a_{n}") + (F.col(f"_b_{n}") - F.col(f"_a_{n}")) * (s - F.floor(s)), F.lit(0.0))
+    return out.select(*keys, *[between(n, s).alias(n) for n, s in spot.items()], "least", "most")
 
 
 def pooled(a: Column, b: Column) -> Column:

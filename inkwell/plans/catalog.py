@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inkwell.plans import curation, evaluation, generation, splits, validation
+from inkwell.plans import checks, curation, evaluation, generation, splits, validation
 
-MODULES = (splits, validation, evaluation, curation, generation)
+MODULES = (splits, validation, evaluation, curation, generation, checks)
 
 
 def queries():

@@ -71,7 +71,7 @@ def manifest_order(spark, sf):
     counts = rows.groupBy("block", "bucket").agg(F.count("*").alias("n"))
     starts = counts.withColumn("start", F.coalesce(F.sum("n").over(W.orderBy("block", "bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
     inside = F.row_number().over(W.partitionBy("block", "bucket").orderBy("sample_id"))
-    return rows.withColumn("r", inside).join(F.broadcast(starts), ["block", "bucket"]).select("filename", (F.col("start") + F.col("r")).alias("place"))
+    return rows.withColumn("r", inside).join(starts, ["block", "bucket"]).select("filename", (F.col("start") + F.col("r")).alias("place"))
 
 
 @query("SELECT event_id, event_type, user_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id % 10 ORDER BY event_id) AS r FROM events) WHERE r = 1 ORDER BY event_id LIMIT 24")
@@ -139,4 +139,4 @@ def blocklist_exclusion(spark, sf):
     """Names on the list go, whatever their case; seeds stay."""
     blocked = table(spark, sf, "supplier").select(F.concat(F.lit("src"), (F.col("s_suppkey") % 5).cast("string")).alias("name")).distinct()
     d = table(spark, sf, "documents").select("doc_id", F.lower("source").alias("name"))
-    return d.where("doc_id % 100 = 0").unionByName(d.where("doc_id % 100 <> 0").join(F.broadcast(blocked), "name", "left_anti").select("doc_id", "name"))
+    return d.where("doc_id % 100 = 0").unionByName(d.where("doc_id % 100 <> 0").join(blocked, "name", "left_anti").select("doc_id", "name"))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.rand import chance, chance_sql
 from inkwell.functions.text import tokens
-from inkwell.operators import annotate, metrics
-from inkwell.operators.allocate import global_rank
+from inkwell.operators import annotate, metrics, stats
+from inkwell.operators.allocate import ordered_rank
 from inkwell.plans.splits import SAMPLES_SQL, samples
 from inkwell.registry import Registry, table
 
@@ -19,7 +19,7 @@ NOTES_SQL = f"""SELECT sample_id, split, source, field_type, label, CASE WHEN sp
  {HELD_FONT_SQL} AS font_held_out FROM ({SAMPLES_SQL})"""
 PARTS_SQL = "concat_ws('+', CASE WHEN font_held_out THEN 'unseen_font' END, 'held_out_degradation', CASE WHEN field_type IN ('date_written', 'date_numeric') THEN 'held_out_format' END)"
 CONDITION_SQL = f"CASE WHEN split = 'test' THEN 'synthetic_' || {PARTS_SQL} ELSE 'synthetic_in_domain' END"
-SEEN_SQL = f"n AS ({NOTES_SQL}), c AS (SELECT *, {CONDITION_SQL} AS evaluation_condition, month(day) || '-' || day(day) AS lab FROM n JOIN (SELECT sample_id, day FROM ({SAMPLES_SQL})) USING (sample_id)), t AS (SELECT DISTINCT lab FROM c WHERE split = 'train' AND sample_id % 200 = 0)"
+SEEN_SQL = f"n AS ({NOTES_SQL}), c AS (SELECT *, {CONDITION_SQL} AS evaluation_condition, strftime(day, '%Y-%m-%d') || ' ' || label AS lab FROM n JOIN (SELECT sample_id, day FROM ({SAMPLES_SQL})) USING (sample_id)), t AS (SELECT DISTINCT lab FROM c WHERE split = 'train')"
 
 
 def notes(spark, sf):
@@ -67,9 +67,9 @@ TAGS_SQL = f"""g AS (SELECT *, lab IN (SELECT lab FROM t) AS seen, CASE WHEN sou
 
 
 def tagged(spark, sf):
-    rows = notes(spark, sf).join(samples(spark, sf).select("sample_id", F.concat_ws("-", F.month("day"), F.dayofmonth("day")).alias("lab")), "sample_id")
-    known = rows.where("split = 'train' AND sample_id % 200 = 0").select("lab").distinct().withColumn("s", F.lit(True))
-    return annotate.tags(rows.join(F.broadcast(known), "lab", "left").withColumn("label_seen_in_train", F.coalesce("s", F.lit(False))).drop("s"))
+    rows = notes(spark, sf).join(samples(spark, sf).select("sample_id", F.concat_ws(" ", F.date_format("day", "yyyy-MM-dd"), "label").alias("lab")), "sample_id")
+    known = rows.where("split = 'train'").select("lab").distinct().withColumn("s", F.lit(True))
+    return annotate.tags(rows.join(known, "lab", "left").withColumn("label_seen_in_train", F.coalesce("s", F.lit(False))).drop("s"))
 
 
 @query(f"""WITH {SEEN_SQL}, {TAGS_SQL} SELECT sample_id, array_to_string(held, ',') AS held_out, CASE WHEN source = 'real' THEN 'real' WHEN len(held) > 0 THEN 'synthetic_held_out' ELSE 'synthetic_in_domain' END AS evaluation_domain,
@@ -85,14 +85,14 @@ def held_out_condition_explode(spark, sf):
 
 
 #: Benchmark passages against a disturbed copy, ASCII only, as the engines measure other letters differently.
-PAIRS_SQL = r"""p AS (SELECT item_id, left(regexp_replace(text, '[^\x20-\x7e]', '', 'g'), 120) AS reference, CASE item_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE '' END AS grp, item_id % 3 AS style FROM benchmark),
+PAIRS_SQL = r"""p AS (SELECT item_id, regexp_replace(text, '[^\x20-\x7e]', '', 'g') AS reference, CASE item_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE '' END AS grp, item_id % 3 AS style FROM benchmark),
 q AS (SELECT *, CASE style WHEN 0 THEN reference WHEN 1 THEN replace(reference, 'e', 'c') ELSE substr(reference, 4) || 'xy' END AS prediction FROM p),
 e AS (SELECT *, levenshtein(reference, prediction)::BIGINT AS ce, length(reference)::BIGINT AS rc, (reference = prediction)::INT::BIGINT AS ex, 's' || style AS domain FROM q)"""
 RATES_SQL = "count(*) AS total, sum(ex)::BIGINT AS exact, round(avg(ex), 9) AS accuracy, round(CASE WHEN sum(rc) > 0 THEN sum(ce) / sum(rc) ELSE 0 END, 9) AS cer"
 
 
 def pairs(spark, sf, words=False):
-    b = table(spark, sf, "benchmark").select("item_id", F.left(F.regexp_replace("text", r"[^\x20-\x7e]", ""), F.lit(120)).alias("reference"))
+    b = table(spark, sf, "benchmark").select("item_id", F.regexp_replace("text", r"[^\x20-\x7e]", "").alias("reference"))
     style = F.col("item_id") % 3
     guess = F.when(style == 0, F.col("reference")).when(style == 1, F.replace("reference", F.lit("e"), F.lit("c"))).otherwise(F.concat(F.substr("reference", F.lit(4)), F.lit("xy")))
     group = F.element_at(F.array(*[F.lit(x) for x in ("a", "b", "c", "")]), (F.col("item_id") % 4 + 1).cast("int"))
@@ -146,8 +146,11 @@ def token_length_audit(spark, sf):
     n = table(spark, sf, "documents").select("doc_id", "lang", F.size(tokens(F.col("text"))).cast("long").alias("n"))
     over = n.where("n > 512").withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("doc_id"))).where("r <= 5")
     first = over.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("first_five"))
-    sums = n.groupBy("lang").agg(F.max("n").alias("most"), *[F.round(F.percentile("n", F.lit(p)), 6).alias(k) for k, p in (("p95", 0.95), ("p99", 0.99))], F.count_if(F.col("n") > 512).alias("violations"))
-    return sums.join(first, "lang", "left")
+    sums = stats.percentiles(n, ["lang"], "n", [0.95, 0.99], ["p95", "p99"]).select("lang", F.col("most").cast("long").alias("most"), *[F.round(p, 6).alias(p) for p in ("p95", "p99")])
+    over = n.groupBy("lang").agg(F.count_if(F.col("n") > 512).alias("violations"))
+    same = F.col("lang").eqNullSafe(F.col("_lang"))
+    out = sums.join(over.withColumnRenamed("lang", "_lang"), same).drop("_lang")
+    return out.join(first.withColumnRenamed("lang", "_lang"), same, "left").drop("_lang")
 
 
 @query("""WITH d AS (SELECT ts::DATE AS day, round(avg(value), 9) AS cer FROM events GROUP BY 1), a AS (SELECT *, min(cer) OVER (ORDER BY day) AS best, min(cer) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM d),
@@ -162,6 +165,6 @@ def early_stopping_trace(spark, sf):
 def accumulation_groups(spark, sf):
     from pyspark.sql import Window as W
 
-    rows = global_rank(table(spark, sf, "orders").select("o_orderkey"), F.expr("cast(o_orderkey % 4294967296 as bigint)"), ["o_orderkey"], "step")
+    rows = ordered_rank(table(spark, sf, "orders").select("o_orderkey"), [], "o_orderkey", [], "step")
     rows = rows.withColumn("grp", F.floor((F.col("step") - 1) / 16))
     return rows.withColumn("size", F.count("*").over(W.partitionBy("grp")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import functions as F
 
 from inkwell.functions import text, words
@@ -147,8 +149,8 @@ def edge_crop_geometry(spark, sf):
 b AS (SELECT *, CASE WHEN s <= 3 THEN least(24, greatest(1, s * 3)) ELSE 24 END AS g0, CASE WHEN s <= 3 THEN 35 ELSE 50 END AS e0, greatest(1, 10 - (attempt - 8)) AS t FROM g)
 SELECT attempt, label, CASE WHEN attempt > 8 THEN greatest(1, floor(g0 * t / 10)) ELSE g0 END::INT AS gaps, CASE WHEN attempt > 8 THEN floor(e0 * t / 10) ELSE e0 END::INT AS erode, attempt > 15 AS safe FROM b""")
 def damage_backoff(spark, sf):
-    labels = spark.createDataFrame([("7",), (" ab ",), ("Maria Santos",)], "label string")
-    rows = spark.range(1, 21).select(F.col("id").cast("int").alias("attempt"), F.explode(F.array(*[F.lit(r["label"]) for r in labels.collect()])).alias("label"))
+    labels = F.array(*[F.lit(x) for x in ("7", " ab ", "Maria Santos")])
+    rows = spark.range(1, 21).select(F.col("id").cast("int").alias("attempt"), F.explode(labels).alias("label"))
     gaps, erode, safe = images.backoff(F.col("attempt"), F.col("label"), F.lit(24), F.lit(50))
     return rows.select("attempt", "label", gaps.alias("gaps"), erode.alias("erode"), safe.alias("safe"))
 
@@ -194,14 +196,21 @@ def json_gate(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count(k).alias("with_k"), F.count_if(F.col("props").startswith("{")).alias("objects"))
 
 
-TRAITS = ("slant", "pressure", "ink")
-_trait_sql = lambda t, a, b: f"round({a} + {draw_sql('style.' + t, 'c_custkey')} / {float(SPAN)}::DOUBLE * ({b} - {a}), 6) AS {t}"
+TRAITS = asdict(WriterProfile())
+
+
+def _trait_sql(name, a, b):
+    u = draw_sql("style." + name, "c_custkey")
+    if isinstance(a, int):
+        return f"({a} + floor({u} * {b - a + 1} / {SPAN}))::INT AS {name}"
+    return f"round({a!r}::DOUBLE + {u} / {float(SPAN)}::DOUBLE * {b - a!r}::DOUBLE, 6) AS {name}"
 
 
-@query(f"SELECT c_custkey, {', '.join(_trait_sql(t, *getattr(WriterProfile(), t)) for t in TRAITS)} FROM customer")
+@query(f"SELECT c_custkey, {', '.join(_trait_sql(t, *r) for t, r in TRAITS.items())} FROM customer")
 def writer_styles(spark, sf):
+    """All thirteen traits of every writer."""
     out = policy.writer_styles(table(spark, sf, "customer"), "c_custkey")
-    return out.select("c_custkey", *[F.round(t, 6).alias(t) for t in TRAITS])
+    return out.select("c_custkey", *[t if isinstance(a, int) else F.round(t, 6).alias(t) for t, (a, _) in TRAITS.items()])
 
 
 @query("SELECT o_orderkey, CASE WHEN g >= 12 THEN 16 WHEN g >= 8 THEN 8 WHEN g >= 4 THEN 4 ELSE 1 END AS batch FROM (SELECT o_orderkey, o_orderkey % 16 AS g FROM orders)")
@@ -210,14 +219,19 @@ def evaluation_batch_size(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", policy.evaluation_batch(free).alias("batch"))
 
 
-PATTERNS_SQL = ", ".join(f"('{f}', '{p}', '{i}')" for f, p, ids in (("date_written", "base", words.WRITTEN_BASE), ("date_written", "held_out_historical_date_v1", words.WRITTEN_HELD_OUT), ("date_numeric", "base", words.NUMERIC_BASE), ("date_numeric", "held_out_historical_date_v1", words.NUMERIC_HELD_OUT)) for i in ids)
+PATTERNS = [
+    (f, p, i)
+    for f, p, ids in (("date_written", "base", words.WRITTEN_BASE), ("date_written", "held_out_historical_date_v1", words.WRITTEN_HELD_OUT), ("date_numeric", "base", words.NUMERIC_BASE), ("date_numeric", "held_out_historical_date_v1", words.NUMERIC_HELD_OUT))
+    for i in ids
+]
+PATTERNS_SQL = ", ".join(f"('{f}', '{p}', '{i}')" for f, p, i in PATTERNS)
 
 
 @query(f"""WITH p AS (SELECT * FROM (VALUES {PATTERNS_SQL}) t(field_type, format_profile, format_id)), o AS (SELECT o_orderkey, ['date_written', 'date_numeric', 'place'][(o_orderkey % 3 + 1)::INT] AS f, CASE WHEN o_orderkey % 2 = 0 THEN 'base' ELSE 'held_out_historical_date_v1' END AS pr,
  ['day_month_full_year', 'full_year_month_day', 'default', '', 'padded_month_day_full_year'][(o_orderkey % 5 + 1)::INT] AS i FROM orders)
 SELECT o_orderkey, CASE WHEN f = 'place' THEN i IN ('', 'default') ELSE EXISTS (SELECT 1 FROM p WHERE p.field_type = f AND p.format_profile = pr AND p.format_id = i) END AS allowed FROM o""")
 def allowed_formats(spark, sf):
-    patterns = spark.createDataFrame([tuple(x.strip("'") for x in r.split("', '")) for r in PATTERNS_SQL.strip("()").split("), (")], "field_type string, format_profile string, format_id string")
+    patterns = spark.createDataFrame(PATTERNS, "field_type string, format_profile string, format_id string")
     k = F.col("o_orderkey")
     field = F.element_at(F.array(F.lit("date_written"), F.lit("date_numeric"), F.lit("place")), (k % 3 + 1).cast("int"))
     ids = F.element_at(F.array(*[F.lit(x) for x in ("day_month_full_year", "full_year_month_day", "default", "", "padded_month_day_full_year")]), (k % 5 + 1).cast("int"))

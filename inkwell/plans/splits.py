@@ -106,7 +106,7 @@ def per_sample_seed(spark, sf):
 
 @query(f"""WITH s AS ({SAMPLES_SQL}) SELECT row_number() OVER (ORDER BY sample_id) AS idx, field_type, split FROM s""")
 def generation_plan(spark, sf):
-    rows = allocate.global_rank(samples(spark, sf), F.expr("cast(sample_id % 4294967296 as bigint)"), ["sample_id"], "idx")
+    rows = allocate.ordered_rank(samples(spark, sf), [], "sample_id", [], "idx")
     return rows.select("idx", "field_type", "split")
 
 

@@ -27,7 +27,7 @@ def leaf_filename_rules(spark, sf):
 
 
 MANIFEST_SQL = """SELECT doc_id AS line_number, CASE WHEN doc_id % 17 = 0 THEN 'a/' || doc_id || '.png' WHEN doc_id % 19 = 0 THEN doc_id || '.jpg' ELSE doc_id || '.png' END AS filename,
- CASE WHEN doc_id % 23 = 0 THEN ' ' WHEN doc_id % 29 = 0 THEN 'Unreadable' ELSE left(text, 20) END AS label, CASE WHEN doc_id % 31 = 0 THEN 'dev' WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
+ CASE WHEN doc_id % 23 = 0 THEN ' ' WHEN doc_id % 29 = 0 THEN 'Unreadable' ELSE text END AS label, CASE WHEN doc_id % 31 = 0 THEN 'dev' WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
  CASE WHEN doc_id % 37 = 0 THEN 'scan' WHEN doc_id % 4 = 0 THEN 'real' ELSE 'synthetic' END AS source, CASE WHEN doc_id % 13 = 0 THEN '' ELSE lang END AS field_type,
  CASE WHEN doc_id % 26 = 0 THEN '' ELSE source END AS font, CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'regular' END AS sample_mode,
  CASE WHEN doc_id % 4 = 0 AND doc_id % 3 > 0 OR doc_id % 41 = 0 THEN 'W' || (doc_id % 50) ELSE '' END AS writer_id, CASE WHEN doc_id % 43 = 0 THEN '2' ELSE '1' END AS schema_version FROM documents"""

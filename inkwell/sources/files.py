@@ -113,6 +113,23 @@ def word_lists(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
+def name_versions(spark: SparkSession, root: str, required: tuple[str, ...] = ("first_names.txt", "middle_names.txt", "last_names.txt")) -> DataFrame:
+    """(version): the direct child folders that hold all required files, contents unread."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    parts = F.split(F.regexp_replace("path", "^[a-z]+:/*", "/"), "/")
+    inside = files.select(F.element_at(parts, -1).alias("name"), F.element_at(parts, -2).alias("version"), F.size(parts).alias("depth"))
+    depth = len([p for p in root.split("://")[-1].rstrip("/").split("/") if p]) + 3
+    own = inside.where((F.col("depth") == depth) & F.col("name").isin(*required))
+    return own.groupBy("version").agg(F.count_distinct("name").alias("n")).where(F.col("n") == len(required)).select("version").orderBy("version")
+
+
+def presets(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(name, fields) of every preset file at a path; the file's name without its suffix is the preset's."""
+    rows = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
+    stem = F.regexp_replace(base_name(F.col("_metadata.file_path")), r"\.json$", "")
+    return rows.select(stem.alias("name"), *rows.columns)
+
+
 def json_object(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON object as one row; anything else fails."""
     rows = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")

@@ -176,8 +176,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def search(node: np.ndarray, comp: np.ndarray, asks: np.ndarray, held: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between lines of a bucket: those that ask are searched in those held, leaving out their own component."""
+def search(node: np.ndarray, comp: np.ndarray, asks: np.ndarray, partners, sure=lambda q, w: True) -> list[tuple[int, int]]:
+    """Links between members of a bucket: of the ``partners`` of each one that asks those that are not in
+    its component and that ``sure`` confirms.  It ends when all are in one component."""
     parent = {int(c): int(c) for c in np.unique(comp)}
 
     def find(c):
@@ -186,38 +187,58 @@ def search(node: np.ndarray, comp: np.ndarray, asks: np.ndarray, held: np.ndarra
             c = parent[c]
         return c
 
-    rows, size = np.flatnonzero(held), np.array([len(s) for s in sets])
-    index = Index([sets[k] for k in rows.tolist()])
     links, left = [], len(parent)
     for q in np.flatnonzero(asks).tolist():
         if left == 1:
             break
-        hit, both = index.search(sets[q], int(needed(int(size[q]))))
-        who = rows[hit]
-        for w in who[linked(size[q], size[who], both)].tolist():
+        for w in partners(q).tolist():
             x, y = find(int(comp[q])), find(int(comp[w]))
-            if x != y:
+            if x != y and sure(q, w):
                 parent[x] = y
                 left -= 1
                 links.append((int(node[q]), int(node[w])))
     return links
 
 
+def alike(sets: list[np.ndarray], held: np.ndarray):
+    """The partners of a member: those held whose sets reach the similarity with its own, by T-occurrence search."""
+    rows, size = np.flatnonzero(held), np.array([len(s) for s in sets])
+    index = Index([sets[k] for k in rows.tolist()])
+
+    def partners(q):
+        hit, both = index.search(sets[q], int(needed(int(size[q]))))
+        who = rows[hit]
+        return who[linked(size[q], size[who], both)]
+
+    return partners
+
+
+def by_search(table: pa.Table):
+    """(table sorted, start and end of each search) of rows with band, i and j."""
+    table = table.sort_by([("band", "ascending"), ("i", "ascending"), ("j", "ascending")])
+    band, i, j = (table.column(c).to_numpy() for c in ("band", "i", "j"))
+    new = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])) if len(band) else np.zeros(0, np.int64)
+    return table, zip(new.tolist(), np.append(new, len(band))[1:].tolist(), strict=True)
+
+
+def link_table(links: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
 def searched(members: DataFrame) -> DataFrame:
     """Links (a, b) of the searches in ``members`` (bundle, band, i, j, l, c, asks, held, x); a bundle holds whole searches."""
 
     def run(table):
-        table = table.sort_by([("band", "ascending"), ("i", "ascending"), ("j", "ascending")])
-        band, i, j, node, comp = (table.column(c).to_numpy() for c in ("band", "i", "j", "l", "c"))
+        table, parts = by_search(table)
+        node, comp = (table.column(c).to_numpy() for c in ("l", "c"))
         asks, held = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "held"))
         sets = []
         for _, h, first in shingles(table.column("x")):
             sets += [np.unique(h[p:q]) for p, q in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-        new = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])) if len(band) else []
         links = []
-        for p, q in zip(new, np.append(new[1:], len(band)), strict=True):
-            links += search(node[p:q], comp[p:q], asks[p:q], held[p:q], sets[p:q])
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        for p, q in parts:
+            links += search(node[p:q], comp[p:q], asks[p:q], alike(sets[p:q], held[p:q]))
+        return link_table(links)
 
     ship(members.sparkSession)
     return members.groupBy("bundle", "i", "j").applyInArrow(run, "a long, b long")

@@ -8,10 +8,10 @@ before and after them are equal, which finds a word changed inside a passage, wh
 shingles.  Candidates are linked if the exact Jaccard similarity of their shingles, or one
 minus the exact edit distance of their words over the words of the longer, is at least PERCENT / 100.
 
-In each bucket every paragraph is compared with the least and the greatest of it.  Paragraphs of buckets that
-then hold several components still are compared by an exact prefix filter: two sets of the similarity share
+First every paragraph is compared with the least one of the buckets it shares most.  Paragraphs of buckets that
+then hold several components still are searched by an exact prefix filter: two sets of the similarity share
 one of the first shingles of either, rarest first, so that a phrase common to many unlike paragraphs makes no
-pairs.  Union-find makes components of the links.  Neighbouring paragraphs
+long list.  Union-find makes components of the links.  Neighbouring paragraphs
 of a document whose components occur in another document too make up a passage if they have at least
 MIN_WORDS words together.  The occurrence in the lowest document is kept, others are for removal.
 
@@ -38,6 +38,8 @@ from inkwell.functions.text import token_distance
 from .bpe import groups
 from .common import checked_join, cut, discard, documents, ship, stored
 from .components import components
+from .lines import alike, by_search, link_table, open_buckets, search
+from .similar import Index
 from .text_arrays import U64, _stream, mix64, shingles, words
 
 RADIUS = 5
@@ -52,9 +54,6 @@ MIN_WORDS = 20
 EDIT_WORDS = 64
 #: Candidate paragraphs whose hashes are sent to the workers; beyond it they are joined.
 FEW = 1_000_000
-#: Pivots of a shingle's list in a round, and the factor from round to round.
-PIVOTS = 8
-GROWTH = 8
 _SEED = _stream(BANDS, 41) | U64(1)
 
 
@@ -181,15 +180,6 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return both.where(by_set | by_words).select("x", "y")
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-
-
-def grouped(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """Components (node, root) of ``comp`` joined by ``links`` (x, y)."""
-    return cut(components(links.union(comp.select(F.col("node").alias("x"), F.col("root").alias("y")))))
-
-
 def rarest(postings: DataFrame, spare) -> DataFrame:
     """(ph, size, t): the first tokens of each set in ``postings`` (g, ph, size, n, t), rarest first.
 
@@ -202,16 +192,56 @@ def rarest(postings: DataFrame, spare) -> DataFrame:
     return ranked.where(take > 0).select("ph", "size", F.explode(F.slice("own", 1, F.greatest(take, F.lit(1)))).alias("o")).select("ph", "size", F.col("o.t").alias("t"))
 
 
+def edits(a: list[int], b: list[int]) -> int:
+    """The edit distance of two short sequences."""
+    above = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+        above = row
+    return above[-1]
+
+
+def searched(members: DataFrame) -> DataFrame:
+    """Links (a, b) of the searches in ``members`` (bundle, band, i, j, l, c, asks, held, s, w): by shingles, or by words where the band is odd."""
+
+    def run(table):
+        table, parts = by_search(table)
+        band, node, comp = (table.column(c).to_numpy() for c in ("band", "l", "c"))
+        asks, held = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "held"))
+        sets, words_ = ([np.array(x, np.int64).view(U64) for x in table.column(c).to_pylist()] for c in ("s", "w"))
+        links = []
+        for p, q in parts:
+            if band[p] & 1 == 0:
+                links += search(node[p:q], comp[p:q], asks[p:q], alike(sets[p:q], held[p:q]))
+                continue
+            own = words_[p:q]
+            distinct, rows = [np.unique(x) for x in own], np.flatnonzero(held[p:q])
+            index = Index([distinct[k] for k in rows.tolist()])
+
+            def partners(k, own=own, distinct=distinct, rows=rows, index=index):
+                return rows[index.search(distinct[k], max(1, len(distinct[k]) - len(own[k]) * (100 - PERCENT) // PERCENT))[0]]
+
+            def sure(k, m, own=own):
+                most = max(len(own[k]), len(own[m]))
+                return 100 * min(len(own[k]), len(own[m])) >= PERCENT * most and 100 * edits(own[k].tolist(), own[m].tolist()) <= (100 - PERCENT) * most
+
+            links += search(node[p:q], comp[p:q], asks[p:q], partners, sure)
+        return link_table(links)
+
+    ship(members.sparkSession)
+    return members.groupBy("bundle", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def settled(inside: DataFrame, known: DataFrame, comp: DataFrame) -> DataFrame:
     """``comp`` after all similar paragraphs of each band in ``inside`` (k, band, ph) are in one component.
 
     Paragraphs of bands with several components are listed by the first of their shingles, and where the
     band is that of equal neighbours by the first of their words: rarest first, any two similar
-    ones share one of them.  In each list every paragraph is compared with
-    PIVOTS others of other components, drawn by hash, which leave; each round has GROWTH times as many.
+    ones share one of them.  In each list those outside its largest component are searched in the whole list.
     """
-    root = lambda df, c: df.join(comp.select(F.col("node").alias("ph"), "root"), "ph", "left").withColumn(c, F.coalesce("root", "ph")).drop("root")
-    marked = root(inside, "c")
+    marked = inside.join(comp.select(F.col("node").alias("ph"), "root"), "ph", "left").withColumn("c", F.coalesce("root", "ph"))
     several = marked.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
     open_ = stored(checked_join(inside, cut(several), "band"), "passage-open")
     sets = known.select("ph", "s").join(open_.select("ph").distinct(), "ph")
@@ -220,26 +250,15 @@ def settled(inside: DataFrame, known: DataFrame, comp: DataFrame) -> DataFrame:
     own = own.select("g", "ph", F.size("w").alias("size"), F.array_distinct("w").alias("d"))
     own = own.select("g", "ph", "size", F.size("d").alias("n"), F.explode("d").alias("x")).withColumn("t", F.xxhash64("g", "x")).drop("x")
     # An edit distance of a fifth of the longer's words loses a quarter of the shorter's at most.
-    lists = by_set.union(rarest(own, F.floor(F.col("size") * (100 - PERCENT) / PERCENT).cast("int")))
-    rest, pivots = stored(lists, "passage-lists"), PIVOTS
-    discard(open_)
-    while True:
-        rest = root(rest, "c")
-        mixed = cut(rest.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("t", "m"))
-        most = mixed.agg(F.max("m")).first()[0]
-        if most is None:
-            return comp
-        rest = stored(checked_join(rest, mixed, "t").withColumn("pivot", F.pmod(F.xxhash64(F.lit(pivots), "ph"), "m") < pivots), "passage-rest")
-        drawn = rest.where("pivot").select("t", F.col("ph").alias("y"), F.col("c").alias("d"), F.col("size").alias("other"))
-        fits = 100 * F.least("size", "other") >= PERCENT * F.greatest("size", "other")
-        pairs = rest.withColumnRenamed("ph", "x").join(drawn, "t").where((F.col("c") != F.col("d")) & fits).select("x", "y")
-        links = cut(verified(ordered(pairs), known))
-        if links.limit(1).count():
-            comp = grouped(comp, links)
-        if most <= pivots:
-            return comp
-        rest = rest.where("NOT pivot").select("t", "ph", "size")
-        pivots *= GROWTH
+    by_word = rarest(own, F.floor(F.col("size") * (100 - PERCENT) / PERCENT).cast("int"))
+    kind = lambda df, bit: df.select(F.shiftleft("t", 1).bitwiseOR(F.lit(bit).cast("long")).alias("band"), F.col("ph").alias("l")).distinct()
+    lists = stored(kind(by_set, 0).union(kind(by_word, 1)), "passage-lists")
+    members = open_buckets(lists, comp).join(known.withColumnRenamed("ph", "l"), "l")
+    links = cut(searched(members))
+    discard(open_, lists)
+    if not links.limit(1).count():
+        return comp
+    return cut(components(links.union(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))))
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -254,13 +273,14 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     table = stored(pieces(docs), "passage-pieces")
     bands = table.select("ph", F.posexplode(F.array(*[f"b{k}" for k in range(BANDS + 1)])).alias("k", "band"))
     bucket = stored(bands.groupBy("band").agg(F.min("ph").alias("lo"), F.max("ph").alias("hi")).where("lo <> hi"), "passage-buckets")
-    inside = stored(checked_join(bands, bucket, "band").distinct(), "passage-inside")
+    inside = stored(checked_join(bands, bucket.drop("hi"), "band").distinct(), "passage-inside")
     discard(bucket)
-    pairs = stored(ordered(inside.select(F.col("ph").alias("x"), F.explode(F.array("lo", "hi")).alias("y")).where("x <> y")), "passage-pairs")
+    near = inside.where("ph <> lo").groupBy("ph", "lo").agg(F.count("*").alias("n")).groupBy("ph").agg(F.max(F.struct("n", "lo")).alias("p"))
+    pairs = near.select(F.col("ph").alias("x"), F.col("p.lo").alias("y"))
     known = stored(contents(docs, cut(inside.select("ph").distinct())), "passage-contents")
     comp = cut(components(verified(pairs, known)))
     comp = settled(inside.select("k", "band", "ph"), known, comp).select(F.col("node").alias("ph"), "root")
-    discard(inside, pairs, known)
+    discard(inside, known)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk")
     slim = table.select("doc_id", "rk", "pos", "word", "n", "a", "b", "ph")
     by_hash = slim.groupBy("ph").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))

@@ -23,9 +23,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one set here if unset in a local session."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="inkwell-shared-")
         spark.sparkContext.setCheckpointDir(where)
     elif not spark.sparkContext.getCheckpointDir():

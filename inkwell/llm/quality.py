@@ -1,13 +1,20 @@
 """Quality rules with adaptive thresholds, with DataFrame functions only.
 
-Each document gets exact counts and three ratios in whole thousandths.  Per language and
-source a mergeable quantile sketch of each ratio is kept: a histogram of the thousandths,
-clipped at ``RATIO_TOP``.  Histograms add up, in any order, to the same histogram, so partial
+Each document gets exact counts and three ratios in whole ten-thousandths: symbols and repeated lines a word,
+both with PRIOR added to either count, and punctuation a word.  The prior makes the two rare counts a
+continuous measure whose spread tells how much chance alone moves them in texts of a group's usual lengths.  Per language and
+source a mergeable quantile sketch of each ratio is kept: a histogram of the ten-thousandths, whose last
+bin, RATIO_TOP, takes all above.  Histograms add up, in any order, to the same histogram, so partial
 sums cross the shuffle, reruns agree, and the sketch of a language or of the corpus is the
-sum of those below it.  A ratio's threshold is the group's upper quartile plus
-``FENCE`` interquartile ranges, but at least ``LEAST[ratio]`` above the quartile; groups of
-fewer than ``GROUP_ROWS`` documents take the sketch of their language, and languages of
-fewer the corpus's.  The thresholds are joined back and filter the documents.
+sum of those below it.  A ratio's threshold is the group's upper quartile plus FENCE times the widest
+interquartile range of the group, its language and the corpus (many copies of one text narrow a group's
+own); no fixed cutoff takes part.  Groups of fewer than GROUP_ROWS documents take the upper quartile of their language, and
+languages of fewer the corpus's.  The thresholds are joined back and reject the documents whose ratio is above; a count of
+zero rejects none.
+
+A null or empty text has no words and fails the base.  A null lang or source is a value of its own.
+Repeated rows count as often as they occur and get equal verdicts; null and equal ids do not matter.  An empty
+table gives an empty result.  Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -18,10 +25,12 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, checked_join, cut, documents, shielded, stored, text_of, trimmed, word_array
 
-#: Ratios in thousandths, and how far above the upper quartile a threshold lies at least.
-LEAST = {"symbols": 100, "dup_lines": 300, "punctuation": 600}
-FENCE = 3
-RATIO_TOP = 4000
+#: Ratios, with the count that must not be zero for one to reject.
+RATIOS = {"symbols": "n_symbols", "dup_lines": "n_dup_lines", "punctuation": "n_punctuation"}
+#: Added to rare counts and to the words they are divided by.
+PRIOR = 3
+FENCE = 6
+RATIO_TOP = 40_000
 GROUP_ROWS = 30
 #: Fixed rules of the base: the fewest words, the largest share of repeated words in percent.
 MIN_WORDS = 10
@@ -51,7 +60,7 @@ def with_metrics(docs: DataFrame) -> DataFrame:
     one = one.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     one = one.withColumn("word_chars", _without(text, SPACES).cast("long"))
     one = one.withColumn("n_symbols", (F.length(text) - _without(text, SYMBOLS)).cast("long"))
-    one = one.withColumn("_punct", (F.length(text) - _without(text, PUNCTUATION)).cast("long"))
+    one = one.withColumn("n_punctuation", (F.length(text) - _without(text, PUNCTUATION)).cast("long"))
     runs = F.transform("_words", lambda x, i: F.xxhash64(x, *[F.get("_words", i + k) for k in range(1, WINDOW)]))
     none = F.array().cast("array<long>")
     two = one.withColumn("_runs", F.when(F.col("n_words") >= WINDOW, F.slice(runs, 1, F.greatest(F.size("_words") - (WINDOW - 1), F.lit(1)))).otherwise(none))
@@ -69,10 +78,9 @@ def with_metrics(docs: DataFrame) -> DataFrame:
     )
     out = four.withColumn("n_repeat_words", F.coalesce(F.when(F.col("_again"), covered), F.lit(0)).cast("long"))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    share = lambda a, b: F.least(F.lit(RATIO_TOP), F.expr(f"(1000 * {a}) div greatest({b}, 1)")).cast("int")
-    out = out.withColumn("r_symbols", share("n_symbols", "n_words")).withColumn("r_dup_lines", share("n_dup_lines", "n_lines"))
-    out = out.withColumn("r_punctuation", share("_punct", "n_words"))
-    return out.drop("_words", "_lines", "_runs", "_again", "_sorted", "_at", "_punct")
+    share = lambda a, prior: F.expr(f"(10000 * ({a} + {prior})) div greatest(n_words + {prior}, 1)").cast("long")
+    out = out.withColumns({"r_symbols": share("n_symbols", PRIOR), "r_dup_lines": share("n_dup_lines", PRIOR), "r_punctuation": share("n_punctuation", 0)})
+    return out.drop("_words", "_lines", "_runs", "_again", "_sorted", "_at")
 
 
 def thresholds(metrics: DataFrame) -> DataFrame:
@@ -80,7 +88,7 @@ def thresholds(metrics: DataFrame) -> DataFrame:
 
     The quantile q of n values is the smallest bin at which ceil(q * n) values are reached.
     """
-    ratios = F.array(*[F.struct(F.lit(k).alias("ratio"), F.col(f"r_{k}").alias("bin")) for k in LEAST])
+    ratios = F.array(*[F.struct(F.lit(k).alias("ratio"), F.least(F.lit(RATIO_TOP), F.col(f"r_{k}")).cast("int").alias("bin")) for k in RATIOS])
     bins = metrics.select("lang", "source", F.inline(ratios)).groupBy("lang", "source", "ratio", "bin").agg(F.count("*").alias("n"))
     bins = cut(bins)
     level = {"source": ["lang", "source"], "lang": ["lang"], "all": []}
@@ -92,16 +100,15 @@ def thresholds(metrics: DataFrame) -> DataFrame:
         merged = merged.withColumn("_upto", F.sum("n").over(upto)).withColumn("_all", F.sum("n").over(W.partitionBy(*own)))
         q = {k: F.min(F.when(4 * F.col("_upto") >= k * F.col("_all"), F.col("bin"))) for k in (1, 3)}
         quart = merged.groupBy(*own).agg(q[1].alias("q1"), q[3].alias("q3"), F.max("_all").alias("rows"))
-        least = F.create_map(*[F.lit(x) for kv in LEAST.items() for x in kv])
-        limit = F.col("q3") + F.greatest(FENCE * (F.col("q3") - F.col("q1")), least[F.col("ratio")])
-        wide = quart.groupBy(*keys).agg(
-            *[F.max(F.when(F.col("ratio") == k, limit)).alias(f"{name}_{k}") for k in LEAST], F.max("rows").alias(f"{name}_rows")
+        of = lambda k, c: F.max(F.when(F.col("ratio") == k, c))
+        found[name] = quart.groupBy(*keys).agg(
+            *[of(k, F.col("q3")).alias(f"{name}_{k}") for k in RATIOS], *[of(k, F.col("q3") - F.col("q1")).alias(f"{name}_{k}_wide") for k in RATIOS], F.max("rows").alias(f"{name}_rows")
         )
-        found[name] = wide
     langs = found["lang"].withColumnRenamed("lang", "_l")
     out = found["source"].join(langs, F.col("lang").eqNullSafe(F.col("_l"))).join(F.broadcast(found["all"]), F.lit(True))
     pick = lambda k: F.when(F.col("source_rows") >= GROUP_ROWS, F.col(f"source_{k}")).when(F.col("lang_rows") >= GROUP_ROWS, F.col(f"lang_{k}")).otherwise(F.col(f"all_{k}"))
-    return out.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[pick(k).alias(f"t_{k}") for k in LEAST])
+    wide = lambda k: F.greatest(*[F.col(f"{n}_{k}_wide") for n in level])
+    return out.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[(pick(k) + FENCE * wide(k)).alias(f"t_{k}") for k in RATIOS])
 
 
 def judged(metrics: DataFrame) -> DataFrame:
@@ -109,8 +116,8 @@ def judged(metrics: DataFrame) -> DataFrame:
     limits = cut(thresholds(metrics))
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     above = F.lit(False)
-    for k in LEAST:
-        above = above | (F.col(f"r_{k}") > F.col(f"t_{k}"))
+    for k, count in RATIOS.items():
+        above = above | ((F.col(count) > 0) & (F.col(f"r_{k}") > F.col(f"t_{k}")))
     out = checked_join(metrics, limits, same, "left")
     return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(above, F.lit(False))).drop("_lang", "_source")
 
@@ -126,26 +133,27 @@ def op9_quality_rules(spark, sf_dir) -> DataFrame:
     metrics = cut(with_metrics(documents(spark, sf_dir)).drop("text", "n_chars"))
     return judged(metrics).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        *[f"r_{k}" for k in LEAST], *[f"t_{k}" for k in LEAST],
+        *[f"r_{k}" for k in RATIOS], *[f"t_{k}" for k in RATIOS],
     )
 
 
 def op9_sql() -> str:
-    ratio = lambda a, b: f"least({RATIO_TOP}, (1000 * {a}) // greatest({b}, 1))::INT"
+    ratio = lambda a, prior: f"((10000 * ({a} + {prior})) // greatest(n_words + {prior}, 1))::BIGINT"
     quote = lambda s: s.replace("'", "''")
     ws = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-    least = " ".join(f"WHEN '{k}' THEN {v}" for k, v in LEAST.items())
     levels = []
     for name, keys in (("source", "lang, source"), ("lang", "lang"), ("all", "")):
         comma = f"{keys}, " if keys else ""
-        wide = ", ".join(f"max(CASE ratio WHEN '{k}' THEN lim END) AS {name}_{k}" for k in LEAST)
+        wide = ", ".join(f"max(CASE ratio WHEN '{k}' THEN q3 END) AS {name}_{k}, max(CASE ratio WHEN '{k}' THEN q3 - q1 END) AS {name}_{k}_wide" for k in RATIOS)
         levels.append(f"""
         {name}_m AS (SELECT {comma}ratio, bin, sum(n) AS n FROM bins GROUP BY ALL),
         {name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {comma}ratio ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {comma}ratio) AS tot FROM {name}_m),
         {name}_q AS (SELECT {comma}ratio, min(CASE WHEN 4 * upto >= tot THEN bin END) AS q1, min(CASE WHEN 4 * upto >= 3 * tot THEN bin END) AS q3, max(tot) AS rows_ FROM {name}_c GROUP BY ALL),
-        {name}_w AS (SELECT {comma}{wide}, max(rows_) AS {name}_rows FROM (SELECT *, q3 + greatest({FENCE} * (q3 - q1), CASE ratio {least} END) AS lim FROM {name}_q) GROUP BY ALL)""")
-    pick = ", ".join(f"CASE WHEN source_rows >= {GROUP_ROWS} THEN source_{k} WHEN lang_rows >= {GROUP_ROWS} THEN lang_{k} ELSE all_{k} END AS t_{k}" for k in LEAST)
-    above = " OR ".join(f"r_{k} > t_{k}" for k in LEAST)
+        {name}_w AS (SELECT {comma}{wide}, max(rows_) AS {name}_rows FROM {name}_q GROUP BY ALL)""")
+    pick = ", ".join(
+        f"CASE WHEN source_rows >= {GROUP_ROWS} THEN source_{k} WHEN lang_rows >= {GROUP_ROWS} THEN lang_{k} ELSE all_{k} END + {FENCE} * greatest(source_{k}_wide, lang_{k}_wide, all_{k}_wide) AS t_{k}" for k in RATIOS
+    )
+    above = " OR ".join(f"({count} > 0 AND r_{k} > t_{k})" for k, count in RATIOS.items())
     return f"""
     WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
     w AS (SELECT *, regexp_extract_all(t, '[^ \\x09-\\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: trim(x, {ws}) <> '') AS ls FROM d),
@@ -155,14 +163,14 @@ def op9_sql() -> str:
     cover AS (SELECT rid, sum(least(5, i - coalesce(p, i - 5))) AS n FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p FROM twice) GROUP BY rid),
     m AS (SELECT doc_id, lang, source, len(ws)::BIGINT AS n_words, len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
             length(translate(t, {ws}, ''))::BIGINT AS word_chars, (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
-            (length(t) - length(translate(t, '{quote(PUNCTUATION)}', '')))::BIGINT AS punct, coalesce(n, 0)::BIGINT AS n_repeat_words
+            (length(t) - length(translate(t, '{quote(PUNCTUATION)}', '')))::BIGINT AS n_punctuation, coalesce(n, 0)::BIGINT AS n_repeat_words
           FROM w LEFT JOIN cover USING (rid)),
     f AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed,
-            {ratio('n_symbols', 'n_words')} AS r_symbols, {ratio('n_dup_lines', 'n_lines')} AS r_dup_lines, {ratio('punct', 'n_words')} AS r_punctuation FROM m),
+            {ratio('n_symbols', PRIOR)} AS r_symbols, {ratio('n_dup_lines', PRIOR)} AS r_dup_lines, {ratio('n_punctuation', 0)} AS r_punctuation FROM m),
     bins AS (SELECT lang, source, ratio, bin, count(*) AS n FROM (
-        {' UNION ALL '.join(f"SELECT lang, source, '{k}' AS ratio, r_{k} AS bin FROM f" for k in LEAST)}) GROUP BY ALL),
+        {' UNION ALL '.join(f"SELECT lang, source, '{k}' AS ratio, least({RATIO_TOP}, r_{k})::INT AS bin FROM f" for k in RATIOS)}) GROUP BY ALL),
     {', '.join(levels)},
     lim AS (SELECT s.lang, s.source, {pick} FROM source_w s JOIN lang_w l ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN all_w)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND NOT coalesce({above}, false)) AS kept,
-      {', '.join(f'r_{k}' for k in LEAST)}, {', '.join(f't_{k}::INT AS t_{k}' for k in LEAST)}
+      {', '.join(f'r_{k}' for k in RATIOS)}, {', '.join(f't_{k}::INT AS t_{k}' for k in RATIOS)}
     FROM f JOIN lim ON f.lang IS NOT DISTINCT FROM lim.lang AND f.source IS NOT DISTINCT FROM lim.source"""

@@ -11,7 +11,8 @@ through steps that each leave out only what cannot link:
 3. Of those, nodes keep on that share at least T(A) of all their shingles with any others.
 4. With the rarest first (shingles of COMMON nodes and more count as one), links share one of the first |A| - T(A) + 1 shingles.  Nodes
    that do are searched against each other by DivideSkip (``search``): short inverted
-   lists are merged, long ones probed by binary search.  First every node goes with the
+   lists are merged, long ones probed by binary search (the merge counts members in an array, not
+   with a heap: same counts, and the README has what a heap costs).  First every node goes with the
    least node of the lists it shares most, in chunks; then nodes in lists that still hold
    different components go chunk against chunk.
 
@@ -19,6 +20,11 @@ Shingle counts travel as sorted arrays, pre-aggregated by batch: a shingle that
 several times is counted there and sent once, so a shingle of all documents makes one
 entry a batch.  No step gathers a group, and links between documents already in one component,
 which change nothing, are not looked for.
+
+A null or empty text, or one without words, has an empty set and links with nothing.  Rows equal in id and
+text, equal ids and null ids are rows of their own; a component's id is its least non-null one.  Words of any
+length count whole.  An empty table gives an empty result; other columns stay as they are.  Shingles are
+known by 64-bit hashes, sets by 128-bit digests.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import groups
-from .common import checked_join, cut, documents, shielded, ship, stored
+from .common import checked_join, cut, discard, documents, shielded, ship, stored
 from .components import components
 from .text_arrays import U64, shingles, words
 
@@ -373,8 +379,9 @@ def join_similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     comp = components(links)
     low = comp.join(cls.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component_id"))
     together = comp.join(low, "root").select("node", "component_id")
-    groups_ = cls.join(together, "node", "left").where("copies > 1 OR component_id IS NOT NULL").select("sig", F.coalesce("component_id", "low").alias("component_id"))
-    return rows, cut(groups_)
+    groups_ = cut(cls.join(together, "node", "left").where("copies > 1 OR component_id IS NOT NULL").select("sig", F.coalesce("component_id", "low").alias("component_id")))
+    discard(cls, sets)
+    return rows, groups_
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

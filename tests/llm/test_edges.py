@@ -57,3 +57,104 @@ def test_null_texts(spark, field):
     assert mixing.mixed_documents(docs).count() == 0 and quality.quality_filter(docs).count() == 0
     assert [r["n_tokens"] for r in ngrams.score(docs, ngrams.train(docs.where("doc_id = 0"))).collect()] == [1, 1]
     assert fingerprints.with_sketch(docs, "text", "s").select(F.size("s").alias("n")).distinct().collect()[0]["n"] == 0
+
+
+def result(spark, field, name, rows=None):
+    docs = spark.createDataFrame(awkward() if rows is None else rows, SCHEMA).repartition(3)
+    return docs, operators(field)[name](docs).collect()
+
+
+def test_awkward_lines(spark, field):
+    docs, got = result(spark, field, "lines")
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], []).append(r["text"])
+    # Equal and nearly equal lines stay in the lowest id; texts without a word stay as they are.
+    assert 1 in by_id and 2 not in by_id and 3 not in by_id and by_id[4] == [None] and by_id[5] == [""] and by_id[6] == [" \t\n"]
+    assert by_id[12] == ["same\nother line"] and by_id[None] == ["text without an id here"]
+    assert len(by_id[8][0]) > 90_000 and by_id[9] == ["x" * 20_000]
+    repeated = [(1, "one line of some words\nand another of them", "en", "a", 1)] * 3
+    _, got = result(spark, field, "lines", repeated)
+    assert [r["text"] for r in got] == [repeated[0][1]] * 3  # one document, three times
+
+
+def test_awkward_joins(spark, field):
+    _, got = result(spark, field, "similar")
+    ids = [r["doc_id"] for r in got]
+    # One of the equal and nearly equal texts stays, and all without a shingle in common.
+    assert sorted(i for i in ids if i is not None) == sorted({r[0] for r in awkward() if r[0] is not None} - {2, 3, 12} | ({12} & set(ids)))
+    assert ids.count(1) == 1 and None in ids and ids.count(8) == 1
+
+
+def test_awkward_passages(spark, field):
+    _, got = result(spark, field, "passages")
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], []).append(r)
+    assert {2, 11} <= set(found) and not {4, 5, 6, 7, 8, 9, 13, 14, 15} & set(found)
+    assert all(not r["kept"] for r in found[2]) and any(r["kept"] for r in found[1]) and any(r["kept"] for r in found[10])
+
+
+def test_awkward_quality(spark, field):
+    docs = spark.createDataFrame(awkward(), SCHEMA)
+    got = quality.judged(quality.with_metrics(docs)).collect()
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], []).append(r)
+    assert all(not r["kept"] and r["base_failed"] and r["n_words"] == 0 for i in (4, 5, 6) for r in by_id[i])
+    assert by_id[13][0]["n_repeat_words"] == 300 and not by_id[13][0]["kept"] and by_id[8][0]["n_words"] == 30_000
+    assert by_id[12][0]["n_dup_lines"] == 1 and len({(r["n_words"], r["kept"]) for r in by_id[3]}) == 1
+    assert all(r["t_symbols"] is not None for r in got)
+
+
+def test_many_copies_do_not_narrow_the_thresholds(spark):
+    from tests.llm.frames import prose
+
+    clean = [(k, prose(700 + k, 60) + " a, b. c; d! e? (f)"[: 3 * (k % 7)], "en", "hot", 1) for k in range(60)]
+    copies = [(100 + k, prose(1, 60), "en", "hot", 1) for k in range(140)]
+    others = [(500 + k, prose(900 + k, 60) + " a, b. c; d! e? (f)"[: 3 * (k % 7)], "en", "b", 1) for k in range(140)]
+    kept = {r["doc_id"] for r in quality.quality_filter(spark.createDataFrame(clean + copies + others, SCHEMA)).collect()}
+    assert {k for k, *_ in clean + copies + others} == kept
+
+
+def test_awkward_mix(spark, field):
+    docs = spark.createDataFrame(awkward(), SCHEMA)
+    got = mixing.mix(docs, mixing.word_count(F.col("text")), mixing.row_key()).collect()
+    assert len(got) == len(awkward()) and all(r["taken"] <= 3 * r["size"] for r in got)
+    assert all(r["size"] == 0 and r["taken"] == 0 for r in got if r["doc_id"] in (4, 5, 6))
+    sums = {}
+    for r in got:
+        t = sums.setdefault(r["source"], [0, 0, r["target"]])
+        t[0] += r["taken"]
+        t[1] += r["size"]
+    # Whole words up to the target; of repeated rows at the cut each takes the same, so a few words may be left.
+    assert all(t[2] - 3 <= t[0] <= t[2] + 1e-6 for t in sums.values()) and None in sums
+
+
+def test_awkward_scores_and_languages(spark, field):
+    docs, got = result(spark, field, "score")
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], []).append(r)
+    assert by_id[4][0]["n_tokens"] == by_id[5][0]["n_tokens"] == by_id[6][0]["n_tokens"] == 1 and by_id[8][0]["n_tokens"] == 30_001
+    assert by_id[3][0]["score"] == by_id[3][1]["score"] and by_id[1][0]["score"] == by_id[2][0]["score"]
+    _, got = result(spark, field, "language")
+    langs = {r["doc_id"]: r["lang_pred"] for r in got}
+    assert langs[4] == langs[5] == langs[6] == "und" and langs[8] != "und" and set(langs.values()) <= {"en", "fr", "de", "und"}
+    _, got = result(spark, field, "secrets")
+    base = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["base"]] for r in got}
+    assert base[14] == [("assign", 0, 41), ("hex", 9, 41)] and base[4] == base[5] == base[8] == []
+
+
+def test_awkward_encoding_and_fingerprints(spark, field):
+    import hashlib
+
+    _, got = result(spark, field, "encode")
+    want = sorted(((r[0] is None, r[0] or 0), hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in awkward())
+    assert sorted(((r["doc_id"] is None, r["doc_id"] or 0), r["decoded_sha256"]) for r in got) == want
+    _, got = result(spark, field, "fingerprints")
+    sketch = {}
+    for r in got:
+        sketch.setdefault(r["text"] or "", set()).add(tuple(r["s_"]))
+    assert all(len(v) == 1 for v in sketch.values()) and sketch[""] == {()} and len(got) == len(awkward())
+    assert len(next(iter(sketch["x" * 20_000]))) == 1

@@ -1,6 +1,11 @@
 """The corpus pipeline: five operators in a row over the documents table.
 
 Each stage reads what its predecessor wrote.  All but the last return the columns of documents.
+
+A null or empty text fails the quality rules and is gone after them, as is every text of fewer than ten words; a null
+lang or source is a value of its own.  Repeated rows and null ids go through all stages: rows equal in id and text lose the
+same lines, and one of them stays after the n-gram join.  Very long texts are worked on whole.  An empty table stays
+empty.  Further columns stay as they are up to the mix; the last stage returns the token columns alone.
 """
 
 from __future__ import annotations
@@ -8,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm import bpe, lines, mixing, quality, similar
-from inkwell.llm.common import documents, stored
+from inkwell.llm.common import discard, documents, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +56,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents; each is written as Parquet and read again by the next."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if k:
+            discard(before)
     return docs

@@ -14,6 +14,7 @@ _shipped: set[str] = set()
 def build(app: str = "inkwell", master: str | None = None, partitions: int | None = None) -> SparkSession:
     """A session in UTC with adaptive execution; master and partitions only where a caller sets them."""
     b = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     b = b.config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.sql.execution.arrow.pyspark.enabled", "true")
     if master:
         b = b.master(master)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import documents, ship
-from .text_arrays import U64, _stream, buffers, mix64, place_key
+from .text_arrays import U64, _stream, buffers, lean, mix64, place_key
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: White space by the Unicode property, fixed values.
@@ -38,7 +38,7 @@ LONG_PIECE = 48
 CACHE_PIECES = 300_000
 CACHE_BYTES = 32 << 20
 #: Bytes of text worked on at once (a single longer text is worked on alone).
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 
 @lru_cache(1)
@@ -410,7 +410,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             )
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>, pieces array<int>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, ids array<int>, offsets array<long>, pieces array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -423,7 +423,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "content"])
 
     ship(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, content binary")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(run), "doc_id long, content binary")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -450,7 +450,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             )
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def vocabulary() -> str:

@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, ship
+from .text_arrays import lean
 
-#: Bytes of text in a dictionary, rows sampled per language for it (on average), and the
-#: longest text that a sample takes.  These bound what the driver gathers and sends out.
+#: Bytes of text in a dictionary, rows sampled per language for it (on average), rows sampled of all
+#: languages together, and the longest text that a sample takes.  These bound what the driver gathers and sends out.
 DICTIONARY_BYTES = 192 << 10
 SAMPLE_ROWS = 160
+MOST_ROWS = 64_000
 SAMPLE_TEXT = 16 << 10
 LEVEL = 5
 RUN = 6
@@ -47,16 +49,17 @@ def train(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """(language, dictionary) of each language in ``labelled`` (doc_id, text, lang), commonest first.
 
     A first pass counts the usable rows of each language, a second takes those whose hash is
-    below a fraction that gives SAMPLE_ROWS of them on average.
+    below a fraction that gives SAMPLE_ROWS of them on average (fewer where there are more than
+    MOST_ROWS / SAMPLE_ROWS languages).
     """
     size = F.octet_length("text")
     usable = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (size > 0) & (size <= SAMPLE_TEXT))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
-    part = F.lit(0.0)
-    for lang, n in counts.items():
-        part = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_ROWS / n))).otherwise(part)
+    each = min(SAMPLE_ROWS, MOST_ROWS // len(counts))
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
+    part = F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(0.0))
     draw = F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
     rows = usable.withColumn("_draw", draw).where(F.col("_draw") < part).select("lang", "_draw", "text").collect()
     order = sorted(counts, key=lambda x: (-counts[x], x))
@@ -126,8 +129,6 @@ class Classifier:
         return self.langs[best], score, self.langs[best] if sure else UNKNOWN
 
 
-
-
 def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFrame:
     """(doc_id, lang_pred, score, lang_sure) of every whole text; reads only ``text``.
 
@@ -146,7 +147,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
             )
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, lang_sure string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, lang_pred string, score double, lang_sure string")
 
 
 def op5_language_id(spark, sf_dir) -> DataFrame:

@@ -35,7 +35,7 @@ from .bpe import code_points
 from .common import SPACES, checked_join, cut, discard, documents, shielded, ship, stored, text_of
 from .components import components
 from .similar import Index, linked, needed
-from .text_arrays import U64, _stream, buffers, mix64
+from .text_arrays import U64, _stream, buffers, lean, lean_group, mix64
 
 SHINGLE = 12
 PERCENT = 80
@@ -120,7 +120,7 @@ def signed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), batch.column("pos"), batch.column("l"), lists], ["doc_id", "rk", "pos", "l", "bands"])
 
     ship(docs.sparkSession)
-    return occurrences(docs).mapInArrow(run, "doc_id long, rk long, pos int, l long, bands array<long>")
+    return occurrences(docs).mapInArrow(lean(run), "doc_id long, rk long, pos int, l long, bands array<long>")
 
 
 def line_texts(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     side = lambda k: texts.select(F.col("l").alias(k), F.col("x").alias(f"x{k}"))
     ship(pairs.sparkSession)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "xb").mapInArrow(lean(run), "a long, b long")
 
 
 def search(node: np.ndarray, comp: np.ndarray, asks: np.ndarray, partners, sure=lambda q, w: True) -> list[tuple[int, int]]:
@@ -241,7 +241,7 @@ def searched(members: DataFrame) -> DataFrame:
         return link_table(links)
 
     ship(members.sparkSession)
-    return members.groupBy("bundle", "i", "j").applyInArrow(run, "a long, b long")
+    return members.groupBy("bundle", "i", "j").applyInArrow(lean_group(run), "a long, b long")
 
 
 def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:

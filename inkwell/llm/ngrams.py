@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .bpe import groups
 from .common import documents, new_path, ship
-from .text_arrays import U64, mix64, words
+from .text_arrays import U64, lean, lean_key_group, mix64, words
 
 #: Tokens that a batch counts before it sends its pairs, tokens of a pair shard and of a word shard.
 BATCH_TOKENS = 3_000_000
@@ -149,7 +149,7 @@ def common_words(docs: DataFrame, shards: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], ["w", "n"])
 
     sample = docs.where(F.pmod(F.xxhash64(F.lit(13), "doc_id", "text"), F.lit(64)) == 0).select("text")
-    seen = sample.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    seen = sample.mapInArrow(lean(run), "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     total = seen.agg(F.sum("n")).first()[0] or 0
     rows = seen.where(F.col("n") > max(50, total // (4 * shards))).collect()
     return np.sort(np.array([r["w"] for r in rows] + [int(BEGIN.view(np.int64))], np.int64).view(U64))
@@ -240,9 +240,9 @@ def train(docs: DataFrame) -> dict:
         stats = [int(after[:, 0].sum()), len(after), int(c.sum()), *[int((c == j).sum()) for j in (1, 2, 3, 4)]]
         return pa.table({"shard": pa.array([k], pa.int64()), "stats": pa.array([stats], pa.list_(pa.int64()))})
 
-    counted = docs.select("text").mapInArrow(count, "shard long, first binary, run binary, second binary, number binary")
-    known = counted.groupBy("shard").applyInArrow(pairs, "shard long, own binary, after binary")
-    rows = known.groupBy("shard").applyInArrow(by_word, "shard long, stats array<long>").collect()
+    counted = docs.select("text").mapInArrow(lean(count), "shard long, first binary, run binary, second binary, number binary")
+    known = counted.groupBy("shard").applyInArrow(lean_key_group(pairs), "shard long, own binary, after binary")
+    rows = known.groupBy("shard").applyInArrow(lean_key_group(by_word), "shard long, stats array<long>").collect()
     of_pairs = sum((np.array(r["stats"]) for r in rows if r["shard"] < 0), np.zeros(4, np.int64))
     of_words = sum((np.array(r["stats"]) for r in rows if r["shard"] >= 0), np.zeros(7, np.int64))
     below, (n1, n2) = discounts(of_words[3:]), of_words[3:5]
@@ -361,7 +361,7 @@ def score(docs: DataFrame, info: dict) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def op6_lm_scoring(spark, sf_dir) -> DataFrame:

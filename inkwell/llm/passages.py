@@ -40,7 +40,7 @@ from .common import checked_join, cut, discard, documents, ship, stored
 from .components import components
 from .lines import alike, by_search, link_table, open_buckets, search
 from .similar import Index
-from .text_arrays import U64, _stream, mix64, shingles, words
+from .text_arrays import U64, _stream, lean, lean_group, mix64, shingles, words
 
 RADIUS = 5
 WIDTH = 5
@@ -134,7 +134,7 @@ def pieces(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), *[pa.array(x.astype(np.int64)) for x in numbers]], names)
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", row_key().alias("rk"), "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return docs.select("doc_id", row_key().alias("rk"), "text").mapInArrow(lean(run), ", ".join(f"{n} long" for n in names))
 
 
 def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         hashes = np.sort(wanted.toArrow().column("ph").to_numpy())
         known = ship(docs.sparkSession).sparkContext.broadcast(hashes)
     ship(docs.sparkSession)
-    rows = docs.select("text").mapInArrow(run, "ph long, s array<long>, w array<long>")
+    rows = docs.select("text").mapInArrow(lean(run), "ph long, s array<long>, w array<long>")
     if known is None:
         rows = rows.join(wanted.hint("merge"), "ph", "left_semi")
     return rows.groupBy("ph").agg(F.first("s").alias("s"), F.first("w").alias("w"))
@@ -231,7 +231,7 @@ def searched(members: DataFrame) -> DataFrame:
         return link_table(links)
 
     ship(members.sparkSession)
-    return members.groupBy("bundle", "i", "j").applyInArrow(run, "a long, b long")
+    return members.groupBy("bundle", "i", "j").applyInArrow(lean_group(run), "a long, b long")
 
 
 def settled(inside: DataFrame, known: DataFrame, comp: DataFrame) -> DataFrame:

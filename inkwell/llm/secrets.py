@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .bpe import groups
 from .common import documents, ship
+from .text_arrays import lean
 
 #: The base patterns, fixed values: kind, pattern, group whose length counts, least length.
 BASE = (
@@ -441,7 +442,7 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
 
     kind = "array<struct<kind:string,start:long,end:long>>"
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, base {kind}, added {kind}")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id long, base {kind}, added {kind}")
 
 
 def sample(docs: DataFrame) -> list[str]:

@@ -8,6 +8,9 @@ memory in proportion to its words, not to 8 bytes times every temporary array.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -15,6 +18,54 @@ PIECE = 4 << 20
 U64 = np.uint64
 
 
+def give_back() -> None:
+    """Returns freed memory of this process to the system: a worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that gives memory back when its task ends."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+#: Bytes of a group's table from which its worker gives memory back after it.
+GIVE_BACK = 1 << 20
+
+
+def lean_group(run: Callable) -> Callable:
+    """The same for a function of a group's table."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        out = run(table)
+        if table.nbytes >= GIVE_BACK:
+            give_back()
+        return out
+
+    return wrapped
+
+
+def lean_key_group(run: Callable) -> Callable:
+    """The same for a function of a group's key and table."""
+
+    def wrapped(key: tuple, table: pa.Table) -> pa.Table:
+        out = run(key, table)
+        if table.nbytes >= GIVE_BACK:
+            give_back()
+        return out
+
+    return wrapped
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply), elementwise."""
     x = x.astype(U64, copy=True)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .bpe import groups
 from .common import checked_join, cut, discard, documents, shielded, ship, stored
 from .components import components
-from .text_arrays import U64, shingles, words
+from .text_arrays import U64, lean, lean_group, lean_key_group, shingles, words
 
 WIDTH = 5
 PERCENT = 80
@@ -53,6 +53,8 @@ BLOCK = 8192
 LONG_LIST = 1024
 #: Shingles of so many nodes or more count as equally common.
 COMMON = 64
+#: Entries of a long list that cost as much to merge as one of its members costs to look up.
+PROBE = 16
 #: Balance of DivideSkip between merging and probing, a fixed value of the published method.
 MU = 0.0085
 
@@ -95,7 +97,7 @@ def classes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(n, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "rk", "n", "sig"])
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", row_key().alias("rk"), "text").mapInArrow(run, "doc_id long, rk long, n long, sig binary")
+    return docs.select("doc_id", row_key().alias("rk"), "text").mapInArrow(lean(run), "doc_id long, rk long, n long, sig binary")
 
 
 _BLOCK = "bucket long, toks binary, nodes binary"
@@ -151,7 +153,7 @@ def _postings(docs: DataFrame, nodes: DataFrame, bucket_count: int, prefix: bool
 
     ship(docs.sparkSession)
     rows = checked_join(docs.select(row_key().alias("rk"), "text"), nodes.select("rk", "node"), "rk")
-    return rows.select("node", "text").mapInArrow(run, _BLOCK)
+    return rows.select("node", "text").mapInArrow(lean(run), _BLOCK)
 
 
 def _read(table: pa.Table):
@@ -175,7 +177,7 @@ def _shared_counts(blocks: DataFrame) -> DataFrame:
         node, count = np.unique(nodes, return_counts=True)
         return pa.table({"node": pa.array(node, pa.int64()), "part": pa.array(count, pa.int64())})
 
-    parts = blocks.groupBy("bucket").applyInArrow(run, "node long, part long")
+    parts = blocks.groupBy("bucket").applyInArrow(lean_key_group(run), "node long, part long")
     return parts.groupBy("node").agg(F.sum("part").alias("shared"))
 
 
@@ -203,7 +205,7 @@ def _shared_sets(blocks: DataFrame) -> DataFrame:
         parts = [both[a:b].tobytes() for a, b in zip(at.tolist(), np.append(at, len(nodes))[1:].tolist(), strict=True)]
         return pa.table({"node": pa.array(nodes[at], pa.int64()), "part": pa.array(parts, pa.binary())})
 
-    return blocks.groupBy("bucket").applyInArrow(run, "node long, part binary")
+    return blocks.groupBy("bucket").applyInArrow(lean_key_group(run), "node long, part binary")
 
 
 class Index:
@@ -244,7 +246,13 @@ class Index:
         found = np.bincount(self.members[np.repeat(self.start[short], size) + place], minlength=self.count)
         out = np.flatnonzero(found >= least - aside)
         found = found[out]
-        if aside and len(out):
+        if aside and len(out) * PROBE > int(self.length[long].mean()):
+            # So many members are still in question that merging the long lists as well is the cheaper way.
+            size = self.length[long]
+            place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            found = found + np.bincount(self.members[np.repeat(self.start[long], size) + place], minlength=self.count)[out]
+            out, found = out[found >= least], found[found >= least]
+        elif aside and len(out):
             # One binary search for each member still in question and each long list, all at once.
             wanted = (long[None, :] * self.count + out[:, None]).ravel()
             p = np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)
@@ -293,7 +301,7 @@ def _search_groups(members: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     ship(members.sparkSession)
-    return members.groupBy("g", "i", "j").applyInArrow(run, "a long, b long")
+    return members.groupBy("g", "i", "j").applyInArrow(lean_group(run), "a long, b long")
 
 
 def links_of(postings: DataFrame, sets: DataFrame) -> DataFrame:
@@ -374,7 +382,7 @@ def join_similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 first.append(tok[np.lexsort((tok, df))[: max(0, len(tok) - int(needed(n)) + 1)]].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(toks, pa.binary()), pa.array(first, pa.list_(pa.int64()))], ["node", "n", "toks", "first"])
 
-    sets = stored(kept.mapInArrow(order, "node long, n long, toks binary, first array<long>"), "similar-sets")
+    sets = stored(kept.mapInArrow(lean(order), "node long, n long, toks binary, first array<long>"), "similar-sets")
     links = links_of(sets.select(F.explode("first").alias("tok"), "node", "n"), sets.select("node", "n", "toks"))
     comp = components(links)
     low = comp.join(cls.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component_id"))

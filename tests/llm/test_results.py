@@ -605,8 +605,10 @@ def test_one_of_each_keeps_one_of_repeated_rows(spark):
     assert got.count(1) == 1 and 2 not in got and 3 not in got
 
 
-def test_search_probes_long_lists(monkeypatch):
+@pytest.mark.parametrize("probe", [0, 16])
+def test_search_probes_long_lists(monkeypatch, probe):
     monkeypatch.setattr(similar, "LONG_LIST", 4)
+    monkeypatch.setattr(similar, "PROBE", probe)
     r = random.Random(4)
     sets = [np.unique(np.array([r.randrange(60) for _ in range(40)], np.uint64)) for _ in range(30)]
     index = similar.Index(sets)
@@ -617,10 +619,11 @@ def test_search_probes_long_lists(monkeypatch):
             assert dict(zip(hit.tolist(), both.tolist(), strict=True)) == {k: n for k, n in want.items() if n >= least}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [components.SMALL, 10])
+def test_components(spark, small):
     r = random.Random(6)
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 160)] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(60)] + [(5, 5), (None, 3)]
-    got = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(edges, "a long, b long"), small).collect()}
     near = defaultdict(set)
     for a, b in edges:
         if a is not None and a != b:

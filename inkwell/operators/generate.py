@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import words
 from inkwell.functions.rand import chance, draw, pick, weighted
-from inkwell.operators import allocate, annotate, validate
+from inkwell.operators import allocate, annotate, policy, validate
 from inkwell.sources import manifest
 
 #: Weights of a regular plan, fixed values; ``character`` and ``numeric`` take part in snippets only.
@@ -86,9 +86,12 @@ def annotated(rows: DataFrame, held_fonts: list[str]) -> DataFrame:
     return out.select("filename", "split", "format_profile", "format_id", "evaluation_condition", "label_seen_in_train", "font_seen_in_train", "format_seen_in_train")
 
 
-def generate(spark: SparkSession, folder: str | Path, count: int) -> dict[str, int]:
-    """Writes manifest, labels and annotations of a plan below a new folder after they passed the rules."""
-    rows = plan(spark, count).cache()
+def generate(spark: SparkSession, folder: str | Path, count: int, fractions=FRACTIONS, weights: dict[str, int] | None = None, per_writer: int = 5, mode: str = "regular") -> dict[str, int]:
+    """Writes manifest, labels and annotations of a plan below a new folder after they passed the rules.
+
+    In mode ``snippet`` the fields are characters and numbers, otherwise all others; ``weights`` decides over it."""
+    chosen = policy.field_weights(mode, WEIGHTS | {"character": 50, "numeric": 50}, weights)
+    rows = plan(spark, count, fractions, chosen, per_writer).withColumn("sample_mode", F.lit(mode)).cache()
     lined = rows.withColumn("line_number", F.col("idx") + 1)
     if found := validate.row_rules(lined).limit(5).collect():
         raise ValueError("; ".join(f"line {r['line_number']}: {r['message']}" for r in found))

@@ -58,6 +58,24 @@ def ink_box(pixels: Column, width: int, below: int = 220, pad: int = 2) -> Colum
     return F.struct(low(xs).alias("x0"), low(ys).alias("y0"), high(xs, F.lit(width)).alias("x1"), high(ys, height).alias("y1"))
 
 
+#: Bounds of a writer's ink and of a line's horizontal scale, fixed values.
+INK_RANGE, SCALE_RANGE = (0, 180), (0.70, 1.30)
+
+
+def baseline(place: Column, amplitude: Column, period: Column, phase: Column) -> Column:
+    """How far the character at a place (from 0) lies below the line."""
+    return F.sin(phase + F.lit(2 * np.pi) * place / period) * amplitude
+
+
+def clamped_ink(ink: Column) -> Column:
+    return F.greatest(F.lit(INK_RANGE[0]), F.least(F.lit(INK_RANGE[1]), F.bround(ink).cast("int")))
+
+
+def horizontal_scale(width: Column, spacing: Column, size: Column) -> Column:
+    scale = width + spacing / F.greatest(size, F.lit(1))
+    return F.greatest(F.lit(SCALE_RANGE[0]), F.least(F.lit(SCALE_RANGE[1]), scale))
+
+
 def complaints(contrast: Column, coverage: Column, border: Column, limit: Column, width: Column, height: Column) -> Column:
     """The quality rules' errors and warnings as an array of strings."""
     return F.array_compact(F.array(

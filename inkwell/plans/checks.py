@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from inkwell.functions import text, words
 from inkwell.functions.rand import pick, pick_sql
-from inkwell.operators import annotate, digest, handoff, images, metrics, reconcile
+from inkwell.operators import annotate, digest, handoff, images, metrics, policy, reconcile
 from inkwell.plans.evaluation import PAIRS_SQL, RATES_SQL, SEEN_SQL, TAGS_SQL, pairs, rounded, tagged
-from inkwell.plans.generation import gray
+from inkwell.plans.generation import TRAITS, _trait_sql, gray
 from inkwell.plans.splits import SAMPLES_SQL, samples
 from inkwell.registry import Registry, table
 
@@ -103,6 +105,21 @@ def montage_captions(spark, sf):
     return samples(spark, sf).select("sample_id", F.left(F.concat("split", F.lit("/"), "source", F.lit("/"), "field_type", F.lit(": "), "label"), F.lit(76)).alias("caption"))
 
 
+BASE_SQL = ", ".join(f"{_trait_sql(t, *TRAITS[t])}" for t in ("baseline_amplitude", "baseline_period", "baseline_phase", "glyph_width_scale", "spacing", "pressure_bias"))
+
+
+@query(f"""WITH s AS (SELECT c_custkey, c_acctbal, {BASE_SQL} FROM customer) SELECT c_custkey, round(sin(baseline_phase + {2 * math.pi!r}::DOUBLE * (c_custkey % 20) / baseline_period) * baseline_amplitude, 6) AS below,
+ greatest(0, least(180, round_even(c_acctbal / 50 + pressure_bias, 0)::INT)) AS ink, round(greatest(0.70::DOUBLE, least(1.30::DOUBLE, glyph_width_scale + spacing / greatest(c_custkey % 9, 1))), 6) AS scale FROM s""")
+def baseline_physics(spark, sf):
+    """Baseline, ink and horizontal scale of a character of every writer."""
+    rows = policy.writer_styles(table(spark, sf, "customer"), "c_custkey").join(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_custkey")
+    rows = rows.withColumns({t: F.round(t, 6) for t in ("baseline_amplitude", "baseline_period", "baseline_phase", "glyph_width_scale", "spacing")})
+    below = images.baseline(F.col("c_custkey") % 20, F.col("baseline_amplitude"), F.col("baseline_period"), F.col("baseline_phase"))
+    ink = images.clamped_ink(F.col("c_acctbal") / 50 + F.col("pressure_bias"))
+    scale = images.horizontal_scale(F.col("glyph_width_scale"), F.col("spacing"), F.col("c_custkey") % 9)
+    return rows.select("c_custkey", F.round(below, 6).alias("below"), ink.alias("ink"), F.round(scale, 6).alias("scale"))
+
+
 BREAKDOWNS = ("evaluation_domain", "evaluation_condition", "source", "field_type", "format_profile", "format_id", "seen_unseen")
 ID_SQL = "CASE WHEN field_type = 'date_written' THEN 'written_' || format_profile WHEN field_type = 'date_numeric' THEN 'numeric_' || format_profile ELSE 'default' END"
 

@@ -104,6 +104,13 @@ def word_list(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def write_word_list(path: str, words: list[str]) -> None:
+    """A word list as a file of one word a line; an existing one stays."""
+    from inkwell.sources.manifest import publish
+
+    publish(path, ("\n".join(words) + "\n").encode())
+
+
 def word_lists(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(src_order, idx, value) of several lists, repeats kept."""
     out = None

@@ -13,10 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import base_name, fold
-from inkwell.operators.images import quality
+from inkwell.operators.images import measure, quality
+from inkwell.operators.stats import moments
 from inkwell.session import ship
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -151,6 +153,57 @@ def pictures(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][nN][gG]").load(root).select("path", "content")
 
 
+def measured(files: DataFrame) -> DataFrame:
+    """(path, descriptive metrics) of the readable PNG files in (path, content)."""
+    names = ["width", "height", "aspect_ratio", "mean_luminance", "luminance_std", "robust_contrast", "ink_coverage", "edge_density"]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for path, content in zip(part["path"], part["content"], strict=True):
+                try:
+                    m = measure(gray(*decode(bytes(content))))
+                except (ValueError, zlib.error, struct.error):
+                    continue
+                rows.append((path, *[m[n] for n in names]))
+            yield pd.DataFrame(rows, columns=["path", *names])
+
+    ship(files.sparkSession)
+    return files.select("path", "content").mapInPandas(run, "path string, " + ", ".join(f"{n} double" for n in names))
+
+
+#: Files that the statistics read of each split, and of each group in all, fixed values.
+OF_SPLIT, OF_GROUP = 170, 512
+
+
+def first_files(files: DataFrame, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """The first files of each split folder by name, and of those the first ones in all."""
+    rows = files.withColumn("_name", base_name(F.col("path"))).withColumn("_split", F.element_at(F.split("path", "/"), -2))
+    place = F.row_number().over(W.partitionBy("_split").orderBy("_name"))
+    order = F.array_position(F.array(*[F.lit(s) for s in splits]), F.col("_split"))
+    rows = rows.where(F.col("_split").isin(*splits)).withColumn("_r", place).where(F.col("_r") <= OF_SPLIT)
+    return rows.orderBy(order, "_name").limit(OF_GROUP).drop("_name", "_split", "_r")
+
+
+def statistics(made: DataFrame, real: DataFrame | None = None) -> dict:
+    """Moments of every metric of made pictures (path, content), and of real ones if there are any: what the
+    statistics artefact holds.  A description of a bounded sample, no evidence of realism."""
+    names = ["width", "height", "aspect_ratio", "mean_luminance", "luminance_std", "robust_contrast", "ink_coverage", "edge_density"]
+
+    def summary(files: DataFrame) -> dict:
+        rows = moments(measured(files), [], names).collect()
+        return {r["metric"]: {k: r[k] for k in ("n", "mean", "sd", "least", "most")} for r in rows}
+
+    found = summary(real.orderBy("path").limit(OF_GROUP)) if real is not None else None
+    return {"statistics_schema_version": 1, "comparison_available": bool(found), "generated": summary(first_files(made)), "real": found or None, "sample_limit_per_group": OF_GROUP}
+
+
+def review_sheet(files: DataFrame, kinds: list[str], most: int = 24) -> bytes:
+    """A PNG of the first picture of each kind in the order of ``path``, at most ``most``: (path, content, kinds)."""
+    rows = files.groupBy(*kinds).agg(F.min(F.struct("path", "content")).alias("f")).select("f.*").orderBy("path").limit(most).collect()
+    return encode(sheet([gray(*decode(bytes(r["content"]))) for r in rows]))
+
+
 def split_entries(spark: SparkSession, root: str, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
     """(split, name, problem) of every file one level below the split folders, contents unread: those that
     are no .png file are unexpected, a split without a folder is missing."""

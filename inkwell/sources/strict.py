@@ -18,27 +18,48 @@ from inkwell.session import ship
 from inkwell.sources.manifest import MANIFEST
 
 
+def parsed(content: bytes) -> Iterator[tuple[int, list[str] | None, str | None]]:
+    """(line where it starts, cells, problem) of every record; unreadable quoting ends the file."""
+    try:
+        text = bytes(content).decode("utf-8")
+    except UnicodeDecodeError:
+        yield 1, None, "not UTF-8"
+        return
+    reader = csv.reader(io.StringIO(text, newline=""), strict=True)
+    while True:
+        line = reader.line_num + 1
+        try:
+            cells = next(reader)
+        except StopIteration:
+            return
+        except csv.Error as e:
+            yield line, None, f"unreadable quoting: {e}"
+            return
+        yield line, cells, None
+
+
+def rows_of(content: bytes, columns: Iterable[str]) -> list[dict[str, str]]:
+    """The rows of a CSV file given as bytes, whose header and widths must be exact."""
+    columns, out = list(columns), []
+    for k, (line, cells, problem) in enumerate(parsed(content)):
+        if problem:
+            raise ValueError(f"line {line}: {problem}")
+        if k == 0:
+            if cells != columns:
+                raise ValueError(f"expected the columns {columns}, found {cells}")
+        elif len(cells) != len(columns):
+            raise ValueError(f"line {line}: {len(cells)} cells in place of {len(columns)}")
+        else:
+            out.append(dict(zip(columns, cells, strict=True)))
+    return out
+
+
 @udtf(returnType="line_number: bigint, cells: array<string>, problem: string")
 class Records:
-    """One row per record: the line where it starts and its cells; unreadable quoting ends the file."""
+    """One row per record of a CSV file."""
 
     def eval(self, content: bytes) -> Iterator[tuple]:
-        try:
-            text = bytes(content).decode("utf-8")
-        except UnicodeDecodeError:
-            yield 1, None, "not UTF-8"
-            return
-        reader = csv.reader(io.StringIO(text, newline=""), strict=True)
-        while True:
-            line = reader.line_num + 1
-            try:
-                cells = next(reader)
-            except StopIteration:
-                return
-            except csv.Error as e:
-                yield line, None, f"unreadable quoting: {e}"
-                return
-            yield line, cells, None
+        yield from parsed(content)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:

@@ -173,3 +173,49 @@ def test_percentiles_and_ranks_in_many_buckets(spark, monkeypatch):
     ranked = allocate.ordered_rank(df, ["g"], "k", [], "n").toPandas()
     ranked["want"] = ranked.groupby("g", dropna=False)["k"].rank().astype(int)
     assert (ranked["n"] == ranked["want"]).all()
+
+
+def test_rows_of_bytes():
+    assert strict.rows_of(b'a,b\n1,"x\ny"\n', ["a", "b"]) == [{"a": "1", "b": "x\ny"}]
+    for bad in (b"a\n1\n", b"a,b\n1\n", b'a,b\n"1"x,2\n', b"\xff"):
+        with pytest.raises(ValueError):
+            strict.rows_of(bad, ["a", "b"])
+
+
+def test_statistics_and_review_sheet(spark, tmp_path):
+    r = np.random.default_rng(0)
+    for s in ("train", "val", "test"):
+        (tmp_path / s).mkdir()
+        for k in range(3):
+            (tmp_path / s / f"{k}.png").write_bytes(pictures.encode(r.integers(0, 256, (20, 40)).astype(np.uint8)))
+    found = pictures.pictures(spark, str(tmp_path))
+    out = pictures.statistics(found)
+    assert out["generated"]["width"] == {"n": 9, "mean": 40.0, "sd": 0.0, "least": 40.0, "most": 40.0} and out["real"] is None
+    assert pictures.statistics(found, found)["comparison_available"]
+    sheet = pictures.review_sheet(found.withColumn("kind", F.element_at(F.split("path", "/"), -2)), ["kind"])
+    assert pictures.decode(sheet)[0].shape == (300, 960, 1)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from inkwell import __main__ as cli
+
+    assert cli.main(["generate", "--count", "40", "--out", str(tmp_path / "plan"), "--mode", "snippet", "--fractions", "0.5", "0.25", "0.25"]) == 0
+    assert json.loads(capsys.readouterr().out) == {"train": 20, "val": 10, "test": 10}
+    made = spark.read.csv(str(tmp_path / "plan" / "manifest"), header=True)
+    assert {r["field_type"] for r in made.select("field_type").distinct().collect()} <= {"character", "numeric"}
+    p = tmp_path / "m.csv"
+    p.write_text(f"{HEAD}\n{ROW.format('fine')}\nb.jpg,x,dev,synthetic,place,f.ttf,regular,,1\nshort\n")
+    assert cli.main(["validate", str(p)]) == 1
+    assert [x.split("\t")[:2] for x in capsys.readouterr().out.splitlines()] == [["3", "filename"], ["3", "split"], ["4", "manifest"]]
+    q = tmp_path / "p.csv"
+    q.write_text("reference,prediction,kind\nabcd,abcx,a\nef,ef,b\n")
+    assert cli.main(["evaluate", str(q), "--by", "kind"]) == 0
+    rows = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert {r["group"]: r["cer"] for r in rows} == {"a": 0.25, "b": 0.0, "all": 1 / 6}
+    files.write_word_list(str(tmp_path / "words.txt"), ["one", "two"])
+    assert [r["value"] for r in files.word_list(spark, str(tmp_path / "words.txt")).collect()] == ["one", "two"]
+    (tmp_path / "set").mkdir()
+    (tmp_path / "set" / "f").write_text("1")
+    assert cli.main(["package", str(tmp_path / "set")]) == 0 and (tmp_path / "set.zip.sha256").exists()
+    with pytest.raises(FileExistsError):
+        cli.main(["package", str(tmp_path / "set")])

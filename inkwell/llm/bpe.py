@@ -461,5 +461,7 @@ def vocabulary() -> str:
 
 
 def op3_byte_bpe(spark, sf_dir) -> DataFrame:
-    """Contract query: token counts and digests of every whole text, encoded and decoded."""
+    """Contract query: token counts and digests of every whole text, encoded and decoded.
+
+    One row for each row of the table, repeated rows included; a null text is an empty one, an empty table gives no rows."""
     return round_trip(documents(spark, sf_dir), vocabulary())

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkwell.session import ship
 
@@ -16,8 +17,9 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[ \x09-\x0D]+"
 WORD = r"[^ \x09-\x0D]+"
 
-#: A table is broadcast only if it has at most so many rows (each of a few dozen bytes).
+#: A table is broadcast only if it has at most so many rows and bytes.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -77,11 +79,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _row_bytes(kind: T.DataType, value: Column) -> Column:
+    """About how many bytes a value takes in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        inside = F.lit(8) * F.size(value) if not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)) else F.octet_length(F.to_json(value))
+        return F.coalesce(inside, F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return sum((_row_bytes(f.dataType, value[f.name]) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def few_enough(small: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table may be broadcast, by its counted rows and, for those, the bytes they take."""
+    n = small.limit(rows + 1).count()
+    if n > rows:
+        return False
+    if not any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)) for f in small.schema.fields):
+        return n * (8 + 8 * len(small.columns)) <= size
+    each = sum((_row_bytes(f.dataType, F.col(f"`{f.name}`")) for f in small.schema.fields), F.lit(8))
+    return (small.agg(F.sum(each.cast("long"))).first()[0] or 0) <= size
+
+
 def checked_join(big: DataFrame, small: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
     """Joins with a table that has already been stored or cut: by broadcast only if its
-    counted rows are few enough, else by a shuffled join whose skewed sides AQE splits."""
-    few = small.limit(most + 1).count() <= most
-    return big.join(F.broadcast(small) if few else small.hint("merge"), on, how)
+    counted rows and bytes are few enough, else by a shuffled join whose skewed sides AQE splits."""
+    return big.join(F.broadcast(small) if few_enough(small, most) else small.hint("merge"), on, how)
 
 
 def text_of(text: Column) -> Column:

@@ -139,7 +139,10 @@ def with_next(docs: DataFrame, columns: list[str], derive=lambda df: df) -> Data
 
 
 def op7_fingerprints(spark, sf_dir) -> DataFrame:
-    """Contract query: fingerprints of every text and of its edited text, and their likeness."""
+    """Contract query: fingerprints of every text and of its edited text, and their likeness.
+
+    One row for each row of the table; a null text is an empty one, rows of equal ids follow each other by a hash of
+    their texts, null ids come last, a single row is its own next one, an empty table gives no rows."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     docs = docs.withColumn("text", text_of(F.col("text")))
     rows = with_next(docs, ["text", "_sketch"], lambda df: with_sketch(df, "text", "_sketch"))

@@ -151,7 +151,10 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
 
 
 def op5_language_id(spark, sf_dir) -> DataFrame:
-    """Contract query: predicted language of every whole text, learned from the training rows."""
+    """Contract query: predicted language of every whole text, learned from the training rows.
+
+    One row for each row of the table, repeated rows included; a null id is no held-out one, a null text or one
+    without a letter is ``und`` with score 0, an empty table gives no rows."""
     docs = documents(spark, sf_dir)
     model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_sure")

@@ -41,6 +41,8 @@ SHINGLE = 12
 PERCENT = 80
 #: Bands of three of the sixteen values (least 0-7, greatest 8-15), ten of them, evenly dealt.
 BANDS = ((0, 9, 6), (1, 10, 7), (2, 11, 8), (3, 12, 5), (4, 13, 15), (5, 14, 0), (6, 15, 1), (7, 8, 2), (9, 3, 14), (10, 4, 13))
+#: Lines that a task remembers to have signed.
+MET_LINES = 200_000
 #: Bytes of lines worked on at once, and pairs compared at once.
 SLICE_BYTES = 256 << 10
 PAIRS = 512
@@ -102,17 +104,19 @@ def bands(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, rk, pos, l, bands) of every line with a word; ``bands`` is null but once a line and batch."""
+    """(doc_id, rk, pos, l, bands) of every line with a word; ``bands`` is null for lines that the task met before."""
 
     def run(batches):
+        met: set[int] = set()
         for batch in batches:
             l = batch.column("l").to_numpy()
-            new = np.unique(l, return_index=True)[1]
-            lines = batch.column("x").take(pa.array(new))
-            parts = [bands(h, first) for _, h, first in shingles(lines)]
-            if not parts:
-                continue
-            own = np.stack([np.concatenate([p[k] for p in parts]) for k in range(len(BANDS))], axis=1).view(np.int64)
+            if len(met) > MET_LINES:
+                met.clear()
+            distinct, new = np.unique(l, return_index=True)
+            new = new[[x not in met for x in distinct.tolist()]]
+            met.update(distinct.tolist())
+            parts = [bands(h, first) for _, h, first in shingles(batch.column("x").take(pa.array(new)))]
+            own = np.stack([np.concatenate([p[k] for p in parts]) for k in range(len(BANDS))], axis=1).view(np.int64) if parts else np.zeros((0, len(BANDS)), np.int64)
             row = np.full(len(l), -1)
             row[new] = np.arange(len(new))
             lists = pa.ListArray.from_arrays(np.arange(0, own.size + 1, len(BANDS), dtype=np.int32), pa.array(own.ravel()))
@@ -323,7 +327,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def op8_line_dedup(spark, sf_dir) -> DataFrame:
-    """Query: of every document, how many lines it has and which of them go."""
+    """Query: of every document, how many lines it has and which of them go.
+
+    One row for each row of the table; repeated rows are one document and lose the same lines, a null or empty text
+    has one line, without a word, which stays; an empty table gives no rows."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     rows = with_removed(docs)
     return rows.select(

@@ -124,7 +124,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op1_mix_sources(spark, sf_dir) -> DataFrame:
-    """Contract query: what the production mix takes of every document."""
+    """Contract query: what the production mix takes of every document.
+
+    One row for each row of the table, repeated rows included; a null or empty text has size 0 and takes nothing, a
+    null source is the last source, an empty table gives no rows."""
     from .common import documents
 
     docs = documents(spark, sf_dir)

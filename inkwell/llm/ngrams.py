@@ -365,7 +365,10 @@ def score(docs: DataFrame, info: dict) -> DataFrame:
 
 
 def op6_lm_scoring(spark, sf_dir) -> DataFrame:
-    """Contract query: base and model scores of every whole text, learned from the training rows."""
+    """Contract query: base and model scores of every whole text, learned from the training rows.
+
+    One row for each row of the table, repeated rows included; a null id is no held-out one, a null or empty text is
+    one token, its end; an empty table gives no rows."""
     docs = documents(spark, sf_dir)
     info = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text"))
     rows = score(docs, info)

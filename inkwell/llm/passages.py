@@ -305,6 +305,8 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:
-    """Query: every passage that other documents have too, and whether it is the one to keep."""
+    """Query: every passage that other documents have too, and whether it is the one to keep.
+
+    A null or empty text, and an empty table, have no passages; repeated rows are one document, null ids are the highest."""
     found = passages(documents(spark, sf_dir))
     return found.select("doc_id", "word", "n_words", "start", "end", "cluster", "kept")

@@ -129,7 +129,10 @@ def quality_filter(docs: DataFrame) -> DataFrame:
 
 
 def op9_quality_rules(spark, sf_dir) -> DataFrame:
-    """Contract query: counts, base verdict and adaptive verdict of every document."""
+    """Contract query: counts, base verdict and adaptive verdict of every document.
+
+    One row for each row of the table, repeated rows included; a null text has no words and fails the base, null languages
+    and sources are groups of their own, an empty table gives no rows."""
     metrics = cut(with_metrics(documents(spark, sf_dir)).drop("text", "n_chars"))
     return judged(metrics).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",

@@ -461,7 +461,9 @@ def _joined(spans: Column) -> Column:
 
 
 def op4_secret_scan(spark, sf_dir) -> DataFrame:
-    """Contract query: base counts and digest, and all spans, of every whole text."""
+    """Contract query: base counts and digest, and all spans, of every whole text.
+
+    One row for each row of the table, repeated rows included; a null text has no span, an empty table gives no rows."""
     docs = documents(spark, sf_dir)
     found = scan(docs, train(sample(docs)))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")

@@ -44,6 +44,8 @@ WIDTH = 5
 PERCENT = 80
 #: Postings in a bucket, about, and members of a chunk that is searched at once.
 BUCKET_POSTINGS = 400_000
+#: Shingles that a task gathers before it sends them.
+HELD_SHINGLES = 1_500_000
 CHUNK = 2048
 #: Followers of a list's least node that are searched at once with it.
 FAN = 256
@@ -138,18 +140,21 @@ def _blocks(pairs, bucket_count: int, prefix: bool):
 def _postings(docs: DataFrame, nodes: DataFrame, bucket_count: int, prefix: bool) -> DataFrame:
     """Blocks of the sets of the rows of ``docs`` whose key is in ``nodes`` (rk, node)."""
 
+    def flushed(pairs):
+        rows = list(_blocks(pairs, bucket_count, prefix))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["bucket", "toks", "nodes"])
+
     def run(batches):
+        pairs, held = [], 0
         for batch in batches:
-            ids = batch.column("node").to_pylist()
-            rows, pairs, held = [], [], 0
-            for k, s in zip(ids, sets_of(batch.column("text")), strict=True):
+            for k, s in zip(batch.column("node").to_pylist(), sets_of(batch.column("text")), strict=True):
                 pairs.append((k, s))
                 held += len(s)
-                if held > 4_000_000:
-                    rows += _blocks(pairs, bucket_count, prefix)
+                if held > HELD_SHINGLES:
+                    yield flushed(pairs)
                     pairs, held = [], 0
-            rows += _blocks(pairs, bucket_count, prefix)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["bucket", "toks", "nodes"])
+        if pairs:
+            yield flushed(pairs)
 
     ship(docs.sparkSession)
     rows = checked_join(docs.select(row_key().alias("rk"), "text"), nodes.select("rk", "node"), "rk")
@@ -411,7 +416,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark, sf_dir) -> DataFrame:
-    """Contract query: set size and component of every document."""
+    """Contract query: set size and component of every document.
+
+    One row for each row of the table, repeated rows included; a null or empty text has no set and is its own
+    component, a null id takes part but is no component's id, an empty table gives no rows."""
     rows, found = join_similar(documents(spark, sf_dir))
     out = checked_join(rows, found, "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -39,6 +39,15 @@ def test_query_equals_its_oracle(spark, name):
     assert rows(queries.queries()[name](spark, str(SMALL))) == oracle(queries.oracle_sql()[name])
 
 
+def test_broadcast_needs_few_rows_and_bytes(spark):
+    from inkwell.llm.common import few_enough
+
+    slim = spark.range(1000)
+    assert few_enough(slim) and not few_enough(slim, rows=999) and not few_enough(slim, size=10_000)
+    wide = slim.select("id", F.array_repeat(F.col("id"), 1000).alias("a"), F.struct(F.repeat(F.lit("x"), 100).alias("s")).alias("t"), F.array(F.lit("y" * 50)).alias("ss"))
+    assert few_enough(wide, size=8_400_000) and not few_enough(wide, size=8_000_000)
+
+
 def filled(sizes, weights, most):
     """Targets by repeated sharing of the excess."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

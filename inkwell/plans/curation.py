@@ -13,14 +13,14 @@ from inkwell.registry import Registry, table
 registry = Registry()
 query = registry.query
 
-CURRENT_SQL = f"SELECT upper(filename) AS filename, label, writer FROM ({SAMPLES_SQL}) WHERE sample_id % 7 <> 0"
-INCOMING_SQL = f"SELECT filename, CASE WHEN sample_id % 11 = 0 THEN 'changed' ELSE label END AS label, writer FROM ({SAMPLES_SQL}) WHERE sample_id % 5 <> 0"
+CURRENT_SQL = f"SELECT upper(filename) AS filename, label, writer FROM ({SAMPLES_SQL}) WHERE day < DATE '2000-07-01'"
+INCOMING_SQL = f"SELECT filename, CASE WHEN price > 450000 THEN 'changed' ELSE label END AS label, writer FROM ({SAMPLES_SQL}) WHERE day >= DATE '1996-01-01'"
 
 
 def snapshots(spark, sf):
     rows = samples(spark, sf)
-    current = rows.where("sample_id % 7 <> 0").select(F.upper("filename").alias("filename"), "label", "writer")
-    incoming = rows.where("sample_id % 5 <> 0").select("filename", F.when(F.col("sample_id") % 11 == 0, "changed").otherwise(F.col("label")).alias("label"), "writer")
+    current = rows.where("day < DATE '2000-07-01'").select(F.upper("filename").alias("filename"), "label", "writer")
+    incoming = rows.where("day >= DATE '1996-01-01'").select("filename", F.when(F.col("price") > 450000, "changed").otherwise(F.col("label")).alias("label"), "writer")
     return incoming, current
 
 
@@ -38,7 +38,7 @@ def destination_collisions(spark, sf):
     return reconcile.collisions(planned, current.select("filename", F.col("filename").alias("path")), "filename", "own", "path").select("filename", "taken_by")
 
 
-@query(f"""WITH u AS ({CURRENT_SQL}), l AS (SELECT upper(filename) AS filename, CASE WHEN sample_id % 11 = 0 THEN 'changed' ELSE label END AS label, writer FROM ({SAMPLES_SQL}) WHERE sample_id % 5 <> 0)
+@query(f"""WITH u AS ({CURRENT_SQL}), l AS (SELECT upper(filename) AS filename, CASE WHEN price > 450000 THEN 'changed' ELSE label END AS label, writer FROM ({SAMPLES_SQL}) WHERE day >= DATE '1996-01-01')
 SELECT filename, label, writer, 'unified' AS state FROM u UNION ALL SELECT filename, label, writer, 'legacy' FROM l WHERE filename NOT IN (SELECT filename FROM u)
 UNION ALL SELECT l.filename, l.label, l.writer, 'conflict' FROM l JOIN u USING (filename) WHERE l.label <> u.label OR l.writer <> u.writer""")
 def legacy_combine(spark, sf):
@@ -46,11 +46,11 @@ def legacy_combine(spark, sf):
     return reconcile.combine(current, incoming.withColumn("filename", F.upper("filename")), "filename", ["label", "writer"])
 
 
-@query(f"""WITH e AS (SELECT filename, label, split FROM ({SAMPLES_SQL})), v AS (SELECT filename, CASE WHEN sample_id % 501 = 0 THEN 'x' ELSE label END AS label, split FROM ({SAMPLES_SQL}) WHERE sample_id % 307 <> 0)
+@query(f"""WITH e AS (SELECT filename, label, split FROM ({SAMPLES_SQL})), v AS (SELECT filename, CASE WHEN price > 499000 THEN 'x' ELSE label END AS label, split FROM ({SAMPLES_SQL}) WHERE price > 3000)
 (SELECT *, 'missing' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM v)) UNION ALL (SELECT *, 'extra' FROM (SELECT * FROM v EXCEPT ALL SELECT * FROM e))""")
 def labels_view_diff(spark, sf):
     rows = samples(spark, sf)
-    view = rows.where("sample_id % 307 <> 0").select("filename", F.when(F.col("sample_id") % 501 == 0, "x").otherwise(F.col("label")).alias("label"), "split")
+    view = rows.where("price > 3000").select("filename", F.when(F.col("price") > 499000, "x").otherwise(F.col("label")).alias("label"), "split")
     return reconcile.view_difference(view, rows.select("filename", "label", "split"))
 
 
@@ -134,9 +134,9 @@ def character_vocabulary(spark, sf):
     return chars.where("character <> ''").union(fixed).distinct()
 
 
-@query("SELECT doc_id, lower(source) AS name FROM documents WHERE doc_id % 100 = 0 OR lower(source) NOT IN (SELECT DISTINCT 'src' || (s_suppkey % 5) FROM supplier)")
+@query("SELECT doc_id, lower(source) AS name FROM documents WHERE n_chars < 300 OR lower(source) NOT IN (SELECT DISTINCT 'src' || (s_suppkey % 5) FROM supplier)")
 def blocklist_exclusion(spark, sf):
     """Names on the list go, whatever their case; seeds stay."""
     blocked = table(spark, sf, "supplier").select(F.concat(F.lit("src"), (F.col("s_suppkey") % 5).cast("string")).alias("name")).distinct()
-    d = table(spark, sf, "documents").select("doc_id", F.lower("source").alias("name"))
-    return d.where("doc_id % 100 = 0").unionByName(d.where("doc_id % 100 <> 0").join(blocked, "name", "left_anti").select("doc_id", "name"))
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", F.lower("source").alias("name"))
+    return d.where("n_chars < 300").select("doc_id", "name").unionByName(d.where("n_chars >= 300").join(blocked, "name", "left_anti").select("doc_id", "name"))

@@ -25,7 +25,7 @@ SEEN_SQL = f"n AS ({NOTES_SQL}), c AS (SELECT *, {CONDITION_SQL} AS evaluation_c
 def notes(spark, sf):
     rows = samples(spark, sf)
     held = chance("unseen", F.concat("sample_mode", "split", "label"), 30)
-    rows = rows.select("sample_id", "split", "source", "field_type", "label", annotate.format_profile(F.col("split"), F.col("field_type")).alias("format_profile"), held.alias("font_held_out"))
+    rows = rows.select("sample_id", "split", "source", "field_type", "label", "day", annotate.format_profile(F.col("split"), F.col("field_type")).alias("format_profile"), held.alias("font_held_out"))
     return rows.withColumn("evaluation_condition", annotate.condition(F.col("split"), F.col("font_held_out"), F.col("field_type")))
 
 
@@ -51,15 +51,15 @@ def seen_in_train_flags(spark, sf):
     return annotate.seen_in_train(d, "source", "font_seen_in_train").select("doc_id", "split", "label_seen_in_train", "font_seen_in_train")
 
 
-@query(f"""WITH m AS (SELECT sample_id, split, field_type FROM ({SAMPLES_SQL}) WHERE sample_id % 50 <> 0),
-a AS (SELECT sample_id, CASE WHEN sample_id % 77 = 0 THEN 'base_v0' WHEN split = 'test' AND field_type IN ('date_written', 'date_numeric') THEN 'held_out_historical_date_v1' ELSE 'base' END AS format_profile FROM ({SAMPLES_SQL}) WHERE sample_id % 61 <> 0)
+@query(f"""WITH m AS (SELECT sample_id, split, field_type FROM ({SAMPLES_SQL}) WHERE price > 10000),
+a AS (SELECT sample_id, CASE WHEN price > 480000 THEN 'base_v0' WHEN split = 'test' AND field_type IN ('date_written', 'date_numeric') THEN 'held_out_historical_date_v1' ELSE 'base' END AS format_profile FROM ({SAMPLES_SQL}) WHERE price < 490000)
 SELECT sample_id, problem FROM (SELECT coalesce(m.sample_id, a.sample_id) AS sample_id, CASE WHEN a.sample_id IS NULL THEN 'missing annotation' WHEN m.sample_id IS NULL THEN 'orphan annotation'
  WHEN format_profile <> CASE WHEN split = 'test' AND field_type IN ('date_written', 'date_numeric') THEN 'held_out_historical_date_v1' ELSE 'base' END THEN 'unexpected format_profile' END AS problem FROM m FULL JOIN a ON m.sample_id = a.sample_id) WHERE problem IS NOT NULL""")
 def annotation_gate(spark, sf):
     rows = samples(spark, sf)
-    manifest = rows.where("sample_id % 50 <> 0").select("sample_id", "split", "field_type")
+    manifest = rows.where("price > 10000").select("sample_id", "split", "field_type")
     profile = annotate.format_profile(F.col("split"), F.col("field_type"))
-    notes_ = rows.where("sample_id % 61 <> 0").select("sample_id", F.when(F.col("sample_id") % 77 == 0, "base_v0").otherwise(profile).alias("format_profile"))
+    notes_ = rows.where("price < 490000").select("sample_id", F.when(F.col("price") > 480000, "base_v0").otherwise(profile).alias("format_profile"))
     return annotate.gate(manifest, notes_, ["sample_id"], {"format_profile": profile})
 
 
@@ -67,7 +67,7 @@ TAGS_SQL = f"""g AS (SELECT *, lab IN (SELECT lab FROM t) AS seen, CASE WHEN sou
 
 
 def tagged(spark, sf):
-    rows = notes(spark, sf).join(samples(spark, sf).select("sample_id", F.concat_ws(" ", F.date_format("day", "yyyy-MM-dd"), "label").alias("lab")), "sample_id")
+    rows = notes(spark, sf).withColumn("lab", F.concat_ws(" ", F.date_format("day", "yyyy-MM-dd"), "label"))
     known = rows.where("split = 'train'").select("lab").distinct().withColumn("s", F.lit(True))
     return annotate.tags(rows.join(known, "lab", "left").withColumn("label_seen_in_train", F.coalesce("s", F.lit(False))).drop("s"))
 

@@ -23,8 +23,15 @@ def build(app: str = "inkwell", master: str | None = None, partitions: int | Non
     return b.getOrCreate()
 
 
+#: Rows and bytes of a batch that the JVM hands to a Python worker; a session's own settings decide over them.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2500", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package's modules to the Python workers, once per application."""
+    """Sends this package's modules to the Python workers, once per application, and bounds the batches they get."""
+    for key, value in BATCH.items():
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parent

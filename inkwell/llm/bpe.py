@@ -20,7 +20,7 @@ import base64
 import hashlib
 import heapq
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028
 #: Slices longer than this are merged one by one with a heap instead of in step with others.
 LONG_PIECE = 48
 #: Distinct slices a worker keeps, and bytes of them; beyond either the cache starts anew.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 CACHE_BYTES = 32 << 20
 #: Bytes of text worked on at once (a single longer text is worked on alone).
 GROUP_BYTES = 1 << 20
@@ -179,16 +179,16 @@ class Merges:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             pairs = [line.split() for line in f.read().splitlines() if line]
-        self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
-        self.bytes = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
+        ranks = {base64.b64decode(a): int(b) for a, b in pairs}
+        self.bytes = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
             self.bytes[rank] = token
         self.decimal = [b"%d" % k for k in range(len(self.bytes))]
-        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         keys, made = [], []
-        for token, rank in self.ranks.items():
+        for token, rank in ranks.items():
             for k in range(1, len(token)):
-                a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     keys.append(a << 32 | b)
                     made.append(rank)
@@ -196,9 +196,13 @@ class Merges:
         order = np.argsort(keys)
         self.keys, self.made = keys[order], made[order]
         self.size = 1 << 21
-        self.slots = np.full(self.size, -1, np.int64)
+        self.slots = np.full(self.size, -1, np.int32)
         self._fill()
-        self.pair = dict(zip(self.keys.tolist(), self.made.tolist(), strict=True))
+
+    @cached_property
+    def pair(self) -> dict[int, int]:
+        """The pairs as a dictionary, made when the first long piece is met."""
+        return dict(zip(self.keys.tolist(), self.made.tolist(), strict=True))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix64(keys.view(U64)) >> U64(43)).astype(np.int64)
@@ -288,7 +292,7 @@ class Encoder:
     def _reset(self) -> None:
         self.known = np.zeros(0, U64)  # hashes of pieces, sorted
         self.index = np.zeros(0, np.int64)  # where in the lists each is
-        self.ids: list[tuple[int, ...]] = []
+        self.ids: list[bytes] = []  # ids of four bytes each
         self.text: list[bytes] = []  # decimal ids joined by a space
         self.back: list[bytes] = []  # bytes that the ids decode to
         self.count = np.zeros(0, np.int64)
@@ -306,7 +310,7 @@ class Encoder:
             made[i] = self.merges.merge_one(raw[start[i] : start[i] + size[i]].tobytes())
         decimal, token = self.merges.decimal, self.merges.bytes
         base = len(self.ids)
-        self.ids += made
+        self.ids += [np.array(ids, np.int32).tobytes() for ids in made]
         self.text += [b" ".join([decimal[x] for x in ids]) for ids in made]
         self.back += [b"".join([token[x] for x in ids]) for ids in made]
         self.count = np.concatenate([self.count, np.array([len(x) for x in made], np.int64)])
@@ -321,7 +325,7 @@ class Encoder:
         if piece not in self.odd:
             ids = self.merges.merge_one(piece)
             self.odd[piece] = len(self.ids)
-            self.ids.append(ids)
+            self.ids.append(np.array(ids, np.int32).tobytes())
             self.text.append(b" ".join([self.merges.decimal[x] for x in ids]))
             self.back.append(piece)
             self.count = np.append(self.count, len(ids))
@@ -400,10 +404,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             for _, raw, offsets in groups(batch.column("text")):
                 piece, start, first = enc.pieces(raw, offsets)
                 for d in range(len(offsets) - 1):
-                    own = piece[first[d] : first[d + 1]].tolist()
-                    ids.append([x for p in own for x in enc.ids[p]])
+                    own = piece[first[d] : first[d + 1]]
+                    ids.append(np.frombuffer(b"".join([enc.ids[p] for p in own.tolist()]), np.int32))
                     offs.append(start[first[d] : first[d + 1]] - offsets[d])
-                    counts.append([len(enc.ids[p]) for p in own])
+                    counts.append(enc.count[own])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(offs, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
                 ["doc_id", "ids", "offsets", "pieces"],

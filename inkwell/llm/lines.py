@@ -131,9 +131,10 @@ def line_texts(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame
     """(l, x): the plain line of every hash in ``wanted`` (a stored table), read from one of its places."""
     place = checked_join(seen.select("l", "rk", "pos"), wanted, "l").groupBy("l").agg(F.min(F.struct("rk", "pos")).alias("p"))
     of_doc = stored(place.groupBy("p.rk").agg(F.collect_list(F.struct("p.pos", "l")).alias("own")), "line-wanted")
-    rows = checked_join(docs.select(row_key().alias("rk"), "text").dropDuplicates(["rk"]) if _repeats(docs) else docs.select(row_key().alias("rk"), "text"), of_doc, "rk")
+    rows = checked_join(docs.select(row_key().alias("rk"), "text"), of_doc, "rk")
     rows = rows.select("own", F.split("text", "\n").alias("lines")).select("lines", F.explode("own").alias("o"))
-    return rows.select(F.col("o.l").alias("l"), plain(F.get("lines", F.col("o.pos"))).alias("x"))
+    rows = rows.select(F.col("o.l").alias("l"), plain(F.get("lines", F.col("o.pos"))).alias("x"))
+    return rows.dropDuplicates(["l"]) if _repeats(docs) else rows
 
 
 def _repeats(docs: DataFrame) -> bool:

@@ -167,7 +167,7 @@ def encoded_by(enc, cases):
     got = []
     for _, raw, offsets in bpe.groups(pa.array(cases, pa.string())):
         piece, _, first = enc.pieces(raw, offsets)
-        got += [[x for p in piece[first[d] : first[d + 1]].tolist() for x in enc.ids[p]] for d in range(len(offsets) - 1)]
+        got += [np.frombuffer(b"".join([enc.ids[p] for p in piece[first[d] : first[d + 1]].tolist()]), np.int32).tolist() for d in range(len(offsets) - 1)]
     return got
 
 

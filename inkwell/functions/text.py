@@ -98,11 +98,15 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda x: x != "")
 
 
-def human_bytes(c: Column) -> Column:
-    """Bytes in steps of 1024 with one decimal, halves to even."""
-    out = F.concat(F.format_string("%.1f", F.bround(c / float(1024**4), 1)), F.lit(" TB"))
-    for k, unit in ((3, "GB"), (2, "MB"), (1, "KB")):
-        out = F.when(c < 1024 ** (k + 1), F.concat(F.format_string("%.1f", F.bround(c / float(1024**k), 1)), F.lit(f" {unit}"))).otherwise(out)
+def human_bytes(c: Column, units: tuple[str, ...] = ("KB", "MB", "GB", "TB")) -> Column:
+    """Bytes in steps of 1024 with one decimal, halves to even; the last unit takes all that is larger."""
+
+    def shown(k):
+        return F.concat(F.format_string("%.1f", F.bround(c / float(1024**k), 1)), F.lit(f" {units[k - 1]}"))
+
+    out = shown(len(units))
+    for k in range(len(units) - 1, 0, -1):
+        out = F.when(c < 1024 ** (k + 1), shown(k)).otherwise(out)
     return F.when(c < 1024, F.concat(c.cast("long").cast("string"), F.lit(" B"))).otherwise(out)
 
 

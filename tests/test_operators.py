@@ -272,3 +272,14 @@ def test_word_error_rate_of_whole_texts(spark, tmp_path):
         assert got[role]["wer"] == round(sum(distance(a, b) for a, b in words) / sum(len(a) for a, _ in words), 9)
         full = [(a, b) for a, b in pairs if a is not None and b is not None]
         assert got[role]["cer"] == round(sum(distance(a, b) for a, b in full) / sum(len(a) for a, _ in full), 9)
+
+
+def test_sizes_beyond_a_terabyte_equal_their_sql(spark, tmp_path):
+    from inkwell.plans import generation
+    from tests.compare import oracle, rows
+
+    keys = [*range(40), 262143, 262144, 262145, 900_001, 8_999_999, 30_000_000, 123_456_789]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").toPandas().to_parquet(tmp_path / "orders.parquet")
+    assert rows(generation.human_sizes(spark, str(tmp_path))) == oracle(generation.registry.sql["human_sizes"], tmp_path)
+    shown = spark.range(1).select(text.human_bytes(F.lit(3 * 1024**4)).alias("tb"), text.human_bytes(F.lit(3 * 1024**4), ("KB", "MB")).alias("mb")).first()
+    assert (shown["tb"], shown["mb"]) == ("3.0 TB", "3145728.0 MB")

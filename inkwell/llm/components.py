@@ -14,13 +14,13 @@ from .text_arrays import lean
 SMALL = 1 << 19
 
 
-def components(edges: DataFrame, small: int = SMALL) -> DataFrame:
+def components(edges: DataFrame, small: int = SMALL, native: bool = False) -> DataFrame:
     """(node, root) of every node that has an edge; root is the least node of its component.
 
     ``edges`` has two columns of 64-bit numbers; loops, repeats and either direction are allowed, rows
     with a null are left out, and an empty table gives an empty result.  A graph of at most ``small``
     different edges, counted first, is labelled by one task, which saves the rounds' many short stages; its
-    result is the same.  In a larger one large-star and
+    result is the same.  With ``native`` it goes through the rounds as well, and no Python runs on the executors.  In a larger one large-star and
     small-star steps alternate: each hangs nodes on the least node known near them.  A step
     is an aggregation by node (a minimum, so a hot node costs one row per task) and a join whose
     skewed side AQE splits; no neighbourhood is ever gathered.  Every round ends in a
@@ -29,7 +29,7 @@ def components(edges: DataFrame, small: int = SMALL) -> DataFrame:
     a, b = edges.columns
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where((F.col(a) != F.col(b)) & F.col(a).isNotNull() & F.col(b).isNotNull())
     e = cut(e.distinct())
-    if e.limit(small + 1).count() <= small:
+    if not native and e.limit(small + 1).count() <= small:
         ship(e.sparkSession)
         return e.coalesce(1).mapInArrow(lean(_labelled), "node long, root long")
     while not _stars(e):

@@ -10,11 +10,12 @@ are in several components still, those outside its largest one are searched in t
 two lines of a bucket have been compared or are in one component.  Of every component
 the occurrence in the lowest document stays, there the first; all others go.
 
-Splitting, banding, joins and components are DataFrame functions.  Signatures and set comparisons are array
-kernels: a shingle at every character is several times over the budget as a DataFrame function (figures in the README).
+All of it is DataFrame functions: no Python runs on the executors.  The signature takes SHINGLE bytes in place of
+characters, which is the same for ASCII and finer elsewhere; candidates are compared by characters.  Before that a pair's
+bitmaps of shingles are compared, which rules out only what cannot link.  ``shingles`` and ``overlaps`` are the array form of the comparison.
 
-A bucket is never gathered: its pivot is an aggregate, and a search takes at most CHUNK lines that ask and CHUNK
-that are asked, so a bucket of a third of all lines costs one comparison a line if its lines are alike.  A
+A bucket is never gathered: its pivot is an aggregate, and a search is a join of at most about JOINED lines that ask with JOINED
+that are asked, so a bucket of a third of all lines costs a few comparisons a line if its lines are alike.  A
 bucket of many lines that are not alike costs a search for each of them.  The bands find a pair of similarity 0.8 with a
 probability of about 0.994, one of 0.9 with 0.9998.  Lines and shingles are known by 64-bit hashes.
 
@@ -32,26 +33,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import code_points
-from .common import SPACES, checked_join, cut, discard, documents, shielded, ship, stored, text_of
+from .common import SPACES, checked_join, cut, discard, documents, shielded, stored, text_of
 from .components import components
 from .similar import Index, linked, needed
-from .text_arrays import U64, _stream, buffers, lean, lean_group, mix64
+from .text_arrays import U64, _stream, buffers, mix64
 
 SHINGLE = 12
 PERCENT = 80
 #: Bands of three of the sixteen values (least 0-7, greatest 8-15), ten of them, evenly dealt.
 BANDS = ((0, 9, 6), (1, 10, 7), (2, 11, 8), (3, 12, 5), (4, 13, 15), (5, 14, 0), (6, 15, 1), (7, 8, 2), (9, 3, 14), (10, 4, 13))
-#: Lines that a task remembers to have signed.
-MET_LINES = 200_000
-#: Bytes of lines worked on at once, and pairs compared at once.
+#: Bytes of lines worked on at once by the array form of the shingles.
 SLICE_BYTES = 256 << 10
-PAIRS = 512
+#: Places of a line that one row of the signatures covers.
+STRIDE = 8
+#: Odd numbers below 2^30 that the low 32 bits of a shingle's hash are multiplied with, and those bits.
+FACTORS = (625340561, 505166265, 904645227, 204155619, 668265263, 374761393, 1013904243, 305419897)
+LOW = (1 << 32) - 1
+#: Words of 64 bits in a line's bitmap of shingles.
+WORDS = 32
+#: Lines of a bucket that the others are compared with in the first round of a search, and the factor from round to round.
+PIVOTS = 8
+GROWTH = 8
+#: Comparisons for each line of the open buckets up to which the first round, or a later one, compares all at once.
+FEW_AT_FIRST = 4
+FEW = 64
 #: Lines that ask, and lines asked, in one search; lines of small buckets that are searched by one call.
 CHUNK = 1024
 BUNDLE = 4096
-_FACTOR = _stream(8, 53) | U64(1)
+#: The same for a search that is a join: its rows carry bitmaps, so that fewer copies of them are worth larger searches.
+JOINED = 8192
 _STEP = _stream(4, 59) | U64(1)
-_MIX = _stream(4, 61) | U64(1)
 
 
 def row_key() -> Column:
@@ -93,53 +104,85 @@ def shingles(column: pa.Array):
         row = stop
 
 
-def bands(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """One hash for each band of each line."""
-    values, product = [], np.empty_like(h)
-    for factor in _FACTOR:
-        np.multiply(h, factor, out=product)
-        values.append((np.minimum.reduceat(product, first[:-1]), np.maximum.reduceat(product, first[:-1])))
-    values = [v[0] for v in values] + [v[1] for v in values]
-    return [mix64(values[a] * _MIX[0] + values[b] * _MIX[1] + values[c] * _MIX[2] + U64(k)) for k, (a, b, c) in enumerate(BANDS)]
+def signatures(lines: DataFrame) -> DataFrame:
+    """(l, bands) of the distinct lines of ``lines`` (l, x): one hash for each band.
 
+    The signature's shingles are runs of SHINGLE bytes.  Each row takes STRIDE of them, and the rows are folded into a
+    task's least and greatest values of a line as they are made, so a line of any length costs one row in the shuffle.
+    """
+    many = F.greatest(F.octet_length("b") - (SHINGLE - 1), F.lit(1))
+    rows = lines.select("l", F.col("x").cast("binary").alias("b"))
+    rows = rows.select("l", "b", many.alias("n"), F.explode(F.sequence(F.lit(1), many, F.lit(STRIDE))).alias("k"))
+    # Places beyond the last one repeat it.
+    own = [F.xxhash64(F.substring("b", F.least(F.col("k") + j, F.col("n")), F.lit(SHINGLE))).bitwiseAND(F.lit(LOW)) for j in range(STRIDE)]
+    rows = rows.select("l", *[h.alias(f"h{j}") for j, h in enumerate(own)])
+    values = [[(F.col(f"h{j}") * F.lit(f)).bitwiseAND(F.lit(LOW)) for j in range(STRIDE)] for f in FACTORS]
+    least = [F.min(F.least(*v)).alias(f"v{k}") for k, v in enumerate(values)]
+    greatest = [F.max(F.greatest(*v)).alias(f"v{k + len(FACTORS)}") for k, v in enumerate(values)]
+    out = rows.groupBy("l").agg(*least, *greatest)
+    return out.select("l", F.array(*[F.xxhash64(F.lit(k), *[f"v{v}" for v in band]) for k, band in enumerate(BANDS)]).alias("bands"))
+
+
+def points_of(x: Column) -> Column:
+    """A line as four bytes a code point, so that a shingle is cut out without a walk from the line's start."""
+    return F.encode(x, "UTF-32")
+
+
+def _shingle(points: Column, place: Column) -> Column:
+    """The hash of the shingle at a place, from 0."""
+    return F.xxhash64(F.substring(points, place * 4 + 1, F.lit(4 * SHINGLE)))
+
+
+def _places(points: Column) -> Column:
+    """The numbers of all shingles, from 0."""
+    return F.sequence(F.lit(0), F.greatest((F.octet_length(points) / 4).cast("int") - SHINGLE, F.lit(0)))
 
-def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, rk, pos, l, bands) of every line with a word; ``bands`` is null for lines that the task met before."""
 
-    def run(batches):
-        met: set[int] = set()
-        for batch in batches:
-            l = batch.column("l").to_numpy()
-            if len(met) > MET_LINES:
-                met.clear()
-            distinct, new = np.unique(l, return_index=True)
-            new = new[[x not in met for x in distinct.tolist()]]
-            met.update(distinct.tolist())
-            parts = [bands(h, first) for _, h, first in shingles(batch.column("x").take(pa.array(new)))]
-            own = np.stack([np.concatenate([p[k] for p in parts]) for k in range(len(BANDS))], axis=1).view(np.int64) if parts else np.zeros((0, len(BANDS)), np.int64)
-            row = np.full(len(l), -1)
-            row[new] = np.arange(len(new))
-            lists = pa.ListArray.from_arrays(np.arange(0, own.size + 1, len(BANDS), dtype=np.int32), pa.array(own.ravel()))
-            lists = lists.take(pa.array(row, mask=row < 0))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), batch.column("pos"), batch.column("l"), lists], ["doc_id", "rk", "pos", "l", "bands"])
+def shingle_set(x: Column) -> Column:
+    """Distinct hashes of a line's shingles of SHINGLE characters."""
+    return F.get(F.transform(F.array(points_of(x)), lambda p: F.array_distinct(F.transform(_places(p), lambda k: _shingle(p, k)))), F.lit(0))
+
+
+def same_enough(x: Column, y: Column) -> Column:
+    """Whether the exact Jaccard similarity of two lines' shingle sets is at least PERCENT / 100."""
+    sets = F.array(F.struct(shingle_set(x).alias("s"), shingle_set(y).alias("t")))
+    shared = lambda p: F.size(F.array_intersect(p.s, p.t))
+    # A lambda's variable is worked out once, however often it is read.
+    return F.get(F.transform(sets, lambda p: (100 + PERCENT) * shared(p) >= PERCENT * (F.size(p.s) + F.size(p.t))), F.lit(0))
+
+
+def bitmaps(texts: DataFrame) -> DataFrame:
+    """(l, n, w0..): for each line of ``texts`` (l, x) a bitmap in which every shingle sets a bit, and at least the size of its set.
+
+    That is the number of its places, which is little more, unless fewer bits than so many shingles would set show repeats; those sets are counted.
+    """
+    rows = texts.select("l", points_of(F.col("x")).alias("p"))
+    rows = rows.select("l", "p", F.explode(_places(F.col("p"))).alias("k")).select("l", _shingle(F.col("p"), F.col("k")).alias("h"))
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(WORDS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    rows = rows.select("l", word.alias("word"), bit.alias("bit"))
+    words = [f"w{k}" for k in range(WORDS)]
+    maps = rows.groupBy("l").agg(F.count("*").alias("n"), *[F.bit_or(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(w) for k, w in enumerate(words)])
+    bits = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
+    expected = 64 * WORDS * (1 - F.exp(-F.col("n") / (64 * WORDS)))
+    size = F.when(bits < 0.9 * expected, F.size(shingle_set(F.col("x"))).cast("long")).otherwise(F.col("n"))
+    return maps.join(texts, "l").select("l", size.alias("n"), *words)
+
 
-    ship(docs.sparkSession)
-    return occurrences(docs).mapInArrow(lean(run), "doc_id long, rk long, pos int, l long, bands array<long>")
+def _apart(a: str, b: str) -> Column:
+    """In how many bits two bitmaps differ: at most the number of shingles that one line has and the other has not."""
+    return sum((F.bit_count(F.col(f"{a}.w{k}").bitwiseXOR(F.col(f"{b}.w{k}"))) for k in range(1, WORDS)), F.bit_count(F.col(f"{a}.w0").bitwiseXOR(F.col(f"{b}.w0"))))
 
 
-def line_texts(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(l, x): the plain line of every hash in ``wanted`` (a stored table), read from one of its places."""
-    place = checked_join(seen.select("l", "rk", "pos"), wanted, "l").groupBy("l").agg(F.min(F.struct("rk", "pos")).alias("p"))
-    of_doc = stored(place.groupBy("p.rk").agg(F.collect_list(F.struct("p.pos", "l")).alias("own")), "line-wanted")
-    rows = checked_join(docs.select(row_key().alias("rk"), "text"), of_doc, "rk")
-    rows = rows.select("own", F.split("text", "\n").alias("lines")).select("lines", F.explode("own").alias("o"))
-    rows = rows.select(F.col("o.l").alias("l"), plain(F.get("lines", F.col("o.pos"))).alias("x"))
-    return rows.dropDuplicates(["l"]) if _repeats(docs) else rows
+def _may_link(a: str, b: str) -> Column:
+    """False only where the similarity is below PERCENT / 100: sets that reach it differ in at most
+    (100 - PERCENT) / (100 + PERCENT) of the sum of their sizes."""
+    return (100 + PERCENT) * _apart(a, b) <= (100 - PERCENT) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether rows equal in id and text occur."""
-    return bool(docs.groupBy(row_key()).count().where("count > 1").limit(1).count())
+def line_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(l, x): the plain line of every hash in ``wanted`` (a stored table)."""
+    return checked_join(seen.select("l", "x"), wanted, "l").dropDuplicates(["l"])
 
 
 def overlaps(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,19 +209,8 @@ def _distinct(sorted_keys: np.ndarray) -> np.ndarray:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose exact Jaccard similarity is at least PERCENT / 100."""
-
-    def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, PAIRS):
-                part = batch.slice(k, PAIRS)
-                # The lines' lengths alone rule out many pairs only if sets were as long, so all are compared.
-                n, m, both = overlaps(part.column("xa"), part.column("xb"))
-                keep = pa.array(linked(n, m, both))
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], ["a", "b"])
-
     side = lambda k: texts.select(F.col("l").alias(k), F.col("x").alias(f"x{k}"))
-    ship(pairs.sparkSession)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "xb").mapInArrow(lean(run), "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(same_enough(F.col("xa"), F.col("xb"))).select("a", "b")
 
 
 def search(node: np.ndarray, comp: np.ndarray, asks: np.ndarray, partners, sure=lambda q, w: True) -> list[tuple[int, int]]:
@@ -230,27 +262,8 @@ def link_table(links: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def searched(members: DataFrame) -> DataFrame:
-    """Links (a, b) of the searches in ``members`` (bundle, band, i, j, l, c, asks, held, x); a bundle holds whole searches."""
-
-    def run(table):
-        table, parts = by_search(table)
-        node, comp = (table.column(c).to_numpy() for c in ("l", "c"))
-        asks, held = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "held"))
-        sets = []
-        for _, h, first in shingles(table.column("x")):
-            sets += [np.unique(h[p:q]) for p, q in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-        links = []
-        for p, q in parts:
-            links += search(node[p:q], comp[p:q], asks[p:q], alike(sets[p:q], held[p:q]))
-        return link_table(links)
-
-    ship(members.sparkSession)
-    return members.groupBy("bundle", "i", "j").applyInArrow(lean_group(run), "a long, b long")
-
-
-def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:
-    """(bundle, band, i, j, l, c, asks, held): the searches that are still needed in ``inside`` (band, l).
+def open_lines(inside: DataFrame, comp: DataFrame) -> DataFrame:
+    """(band, l, c, m, outside, asks): the lines of those buckets in ``inside`` (band, l) that hold several components.
 
     Lines of a bucket's largest component ask nothing.  Of buckets with the same lines one is searched.
     """
@@ -259,43 +272,88 @@ def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:
     parts = marked.groupBy("band", "c").agg(F.count("*").alias("n"), F.sum(F.pmod("l", F.lit(1 << 31))).alias("s"), F.bit_xor("l").alias("x"))
     whole = parts.groupBy("band").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("m"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     once = cut(whole.groupBy("m", "s", "x").agg(F.min(F.struct("band", "main")).alias("b")).select("b.band", F.col("b.main.c").alias("main"), "m", (F.col("m") - F.col("b.main.n")).alias("outside")))
-    rows = checked_join(marked, once, "band").withColumn("asks", F.col("c") != F.col("main"))
-    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
+    return checked_join(marked, once, "band").withColumn("asks", F.col("c") != F.col("main"))
+
+
+def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:
+    """(bundle, band, i, j, l, c, asks, held): the searches that are still needed in ``inside`` (band, l)."""
+    rows = open_lines(inside, comp)
+    total = rows.where(F.col("m") <= CHUNK).count()
+    bundle = F.when(F.col("m") <= CHUNK, F.pmod(F.xxhash64("band"), F.lit(1 + total // BUNDLE))).otherwise(F.col("band"))
+    return chunked(rows).select(bundle.alias("bundle"), "band", "i", "j", "l", "c", "asks", "held")
+
+
+def chunked(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``rows`` as from ``open_lines`` dealt to searches (band, i, j) of at most about ``chunk`` lines that ask and as many that are asked."""
+    chunks = lambda n: F.ceil(F.col(n) / chunk).cast("int")
     draw = F.pmod(F.xxhash64("l"), F.lit(1 << 30))
-    small = F.col("m") <= CHUNK
+    small = F.col("m") <= chunk
     zero = F.array(F.lit(0))
     others = lambda n: F.when(small, zero).otherwise(F.sequence(F.lit(0), chunks(n) - 1))
     held = rows.withColumn("j", F.when(small, 0).otherwise(F.pmod(draw, chunks("m"))).cast("int")).withColumn("i", F.explode(others("outside"))).withColumn("held", F.lit(True))
     held = held.withColumn("asks", small & F.col("asks"))
     ask = rows.where("asks").where(~small).withColumn("i", F.pmod(draw, chunks("outside")).cast("int")).withColumn("j", F.explode(others("m"))).withColumn("held", F.lit(False))
-    total = once.agg(F.sum(F.when(small, F.col("m")))).first()[0] or 0
-    bundle = F.when(small, F.pmod(F.xxhash64("band"), F.lit(1 + total // BUNDLE))).otherwise(F.col("band"))
-    return held.unionByName(ask).select(bundle.alias("bundle"), "band", "i", "j", "l", "c", "asks", "held")
+    return held.unionByName(ask)
+
 
+def settled(inside: DataFrame, texts: DataFrame, maps: DataFrame, comp: DataFrame) -> DataFrame:
+    """``comp`` after every two lines of a bucket in ``inside`` (band, l) were compared or found in one component.
 
-def line_components(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(node, root) of the hashes of lines that are linked to a different line; ``seen`` as from ``signed``."""
-    banded = seen.where("bands IS NOT NULL").select("l", F.explode("bands").alias("band"))
-    bucket = stored(banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi"), "line-buckets")
-    inside = stored(checked_join(banded, bucket.select("band", "lo"), "band").distinct(), "line-inside")
+    In a bucket with several components the lines outside the largest one ask.  While that makes many comparisons for each
+    line, they are first compared with about PIVOTS lines of the bucket, drawn by hash, then with GROWTH times as many: near
+    copies come into one component by that.  The last round compares those that still ask with all lines of
+    other components.  Bitmaps rule out most pairs as they are formed, the rest are compared exactly.
+    """
+    pivots, few = PIVOTS, FEW_AT_FIRST
+    while True:
+        rows = stored(open_lines(inside, comp), "line-open")
+        total = rows.agg(F.count("*").alias("n"), F.sum(F.when(F.col("asks"), F.col("m"))).alias("pairs"), F.max("m").alias("most")).first()
+        if not total["pairs"]:
+            return comp
+        last = total["pairs"] <= few * total["n"] or total["most"] <= pivots
+        if last:
+            members = chunked(rows, JOINED)
+        else:
+            drawn = F.pmod(F.xxhash64(F.lit(pivots), "l"), "m") < pivots
+            members = rows.withColumn("held", drawn).where("asks OR held").withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+        members = stored(members.select("band", "i", "j", "l", "c", "asks", "held").join(maps, "l"), "line-members")
+        a, b = members.where("asks").alias("a"), members.where("held").alias("b")
+        on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("band", "i", "j")]
+        pairs = a.join(b, [*on, F.col("a.c") != F.col("b.c"), _may_link("a", "b")]).select(F.least("a.l", "b.l").alias("a"), F.greatest("a.l", "b.l").alias("b"))
+        links = cut(verified(cut(pairs.distinct()), texts))
+        discard(rows, members)
+        if links.limit(1).count():
+            comp = cut(components(links.union(comp.select(F.col("node").alias("a"), F.col("root").alias("b"))), native=True))
+        if last:
+            return comp
+        pivots, few = pivots * GROWTH, FEW
+
+
+def line_components(seen: DataFrame) -> DataFrame:
+    """(node, root) of the hashes of lines that are linked to a different line; ``seen`` (l, x) holds all lines."""
+    signed = stored(signatures(seen.select("l", "x")), "line-bands")
+    banded = signed.select("l", F.explode("bands").alias("band"))
+    # Hardly two rows of a task have a band in common, so they are dealt before they are counted.
+    bucket = stored(banded.repartition("band").groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi"), "line-buckets")
+    inside = stored(checked_join(banded, bucket.select("band", "lo"), "band"), "line-inside")
+    discard(signed, bucket)
     near = inside.where("l <> lo").groupBy("l", "lo").agg(F.count("*").alias("n"))
-    best = near.groupBy("l").agg(F.max(F.struct("n", "lo")).alias("p"))
-    texts = stored(line_texts(docs, seen, cut(inside.select("l").distinct())), "line-texts")
-    comp = cut(components(verified(best.select(F.col("l").alias("a"), F.col("p.lo").alias("b")), texts)))
-    members = open_buckets(inside.select("band", "l"), comp).join(texts, "l")
-    links = cut(searched(members))
-    if links.limit(1).count():
-        comp = cut(components(links.union(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))))
-    discard(bucket, inside, texts)
+    best = near.groupBy("l").agg(F.max(F.struct("n", "lo")).alias("p")).select(F.col("l").alias("a"), F.col("p.lo").alias("b"))
+    texts = stored(line_texts(seen, cut(inside.select("l").distinct())), "line-texts")
+    maps = stored(bitmaps(texts), "line-maps")
+    pairs = best.join(maps.alias("p"), F.col("a") == F.col("p.l")).join(maps.alias("q"), F.col("b") == F.col("q.l")).where(_may_link("p", "q")).select("a", "b")
+    comp = cut(components(verified(cut(pairs), texts), native=True))
+    comp = settled(inside.select("band", "l"), texts, maps, comp)
+    discard(inside, texts, maps)
     return comp
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(rk, removed): of each document that loses lines, their numbers in order, from 0."""
-    seen = stored(signed(docs), "line-places")
-    comp = line_components(docs, seen)
+    seen = stored(occurrences(docs), "line-places")
+    comp = line_components(seen)
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk", "pos")
-    known = checked_join(seen.drop("bands"), comp.select(F.col("node").alias("l"), "root"), "l", "left").withColumn("c", F.coalesce("root", "l"))
+    known = checked_join(seen.drop("x"), comp.select(F.col("node").alias("l"), "root"), "l", "left").withColumn("c", F.coalesce("root", "l"))
     first = known.groupBy("c").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("c", "first")
     first = stored(first, "line-firsts")
     gone = checked_join(known, first, "c").where(place != F.col("first"))

@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,9 +66,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Works a table out and keeps it on the executors' own disks; what is lost is worked out again.
+
+    Of a file in the shared folder a local file system without Hadoop's native library has the executor start
+    up to three commands (chmod).  The literal is the table's name: an equal plan over changed input must not find it.
+    """
+    out = df.where(F.lit(uuid.uuid4().hex) != F.lit("")).persist(StorageLevel.DISK_ONLY)
+    out.count()
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables whose readers have all been cut or stored themselves."""
+    """Deletes stored or kept tables whose readers have all been cut, stored or kept themselves."""
     for t in tables:
+        if t.is_cached:
+            t.unpersist()
+            continue
         for path in {p.rsplit("/", 1)[0] for p in t.inputFiles()}:
             if any(path.endswith(made.rsplit("/", 1)[1]) for _, made in _made):
                 delete(t.sparkSession, path)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import code_points
-from .common import SPACES, checked_join, cut, discard, documents, shielded, ship, stored, text_of
+from .common import SPACES, checked_join, discard, documents, kept, shielded, ship, text_of
 from .components import components
 from .similar import Index, linked, needed
 from .text_arrays import U64, _stream, buffers, lean, lean_group, mix64
@@ -128,9 +128,9 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def line_texts(docs: DataFrame, seen: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(l, x): the plain line of every hash in ``wanted`` (a stored table), read from one of its places."""
+    """(l, x): the plain line of every hash in ``wanted`` (a kept table), read from one of its places."""
     place = checked_join(seen.select("l", "rk", "pos"), wanted, "l").groupBy("l").agg(F.min(F.struct("rk", "pos")).alias("p"))
-    of_doc = stored(place.groupBy("p.rk").agg(F.collect_list(F.struct("p.pos", "l")).alias("own")), "line-wanted")
+    of_doc = kept(place.groupBy("p.rk").agg(F.collect_list(F.struct("p.pos", "l")).alias("own")))
     rows = checked_join(docs.select(row_key().alias("rk"), "text"), of_doc, "rk")
     rows = rows.select("own", F.split("text", "\n").alias("lines")).select("lines", F.explode("own").alias("o"))
     rows = rows.select(F.col("o.l").alias("l"), plain(F.get("lines", F.col("o.pos"))).alias("x"))
@@ -255,10 +255,10 @@ def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:
     Lines of a bucket's largest component ask nothing.  Of buckets with the same lines one is searched.
     """
     marked = inside.join(comp.select(F.col("node").alias("l"), "root"), "l", "left").select("band", "l", F.coalesce("root", "l").alias("c"))
-    marked = stored(marked, "line-marked")
+    marked = kept(marked)
     parts = marked.groupBy("band", "c").agg(F.count("*").alias("n"), F.sum(F.pmod("l", F.lit(1 << 31))).alias("s"), F.bit_xor("l").alias("x"))
     whole = parts.groupBy("band").agg(F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("m"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    once = cut(whole.groupBy("m", "s", "x").agg(F.min(F.struct("band", "main")).alias("b")).select("b.band", F.col("b.main.c").alias("main"), "m", (F.col("m") - F.col("b.main.n")).alias("outside")))
+    once = kept(whole.groupBy("m", "s", "x").agg(F.min(F.struct("band", "main")).alias("b")).select("b.band", F.col("b.main.c").alias("main"), "m", (F.col("m") - F.col("b.main.n")).alias("outside")))
     rows = checked_join(marked, once, "band").withColumn("asks", F.col("c") != F.col("main"))
     chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
     draw = F.pmod(F.xxhash64("l"), F.lit(1 << 30))
@@ -276,35 +276,35 @@ def open_buckets(inside: DataFrame, comp: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, seen: DataFrame) -> DataFrame:
     """(node, root) of the hashes of lines that are linked to a different line; ``seen`` as from ``signed``."""
     banded = seen.where("bands IS NOT NULL").select("l", F.explode("bands").alias("band"))
-    bucket = stored(banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi"), "line-buckets")
-    inside = stored(checked_join(banded, bucket.select("band", "lo"), "band").distinct(), "line-inside")
+    bucket = kept(banded.groupBy("band").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi"))
+    inside = kept(checked_join(banded, bucket.select("band", "lo"), "band").distinct())
     near = inside.where("l <> lo").groupBy("l", "lo").agg(F.count("*").alias("n"))
     best = near.groupBy("l").agg(F.max(F.struct("n", "lo")).alias("p"))
-    texts = stored(line_texts(docs, seen, cut(inside.select("l").distinct())), "line-texts")
-    comp = cut(components(verified(best.select(F.col("l").alias("a"), F.col("p.lo").alias("b")), texts)))
+    texts = kept(line_texts(docs, seen, kept(inside.select("l").distinct())))
+    comp = kept(components(verified(best.select(F.col("l").alias("a"), F.col("p.lo").alias("b")), texts)))
     members = open_buckets(inside.select("band", "l"), comp).join(texts, "l")
-    links = cut(searched(members))
+    links = kept(searched(members))
     if links.limit(1).count():
-        comp = cut(components(links.union(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+        comp = kept(components(links.union(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))))
     discard(bucket, inside, texts)
     return comp
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(rk, removed): of each document that loses lines, their numbers in order, from 0."""
-    seen = stored(signed(docs), "line-places")
+    seen = kept(signed(docs))
     comp = line_components(docs, seen)
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rk", "pos")
     known = checked_join(seen.drop("bands"), comp.select(F.col("node").alias("l"), "root"), "l", "left").withColumn("c", F.coalesce("root", "l"))
     first = known.groupBy("c").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("c", "first")
-    first = stored(first, "line-firsts")
+    first = kept(first)
     gone = checked_join(known, first, "c").where(place != F.col("first"))
     return gone.groupBy("rk").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 
 def with_removed(docs: DataFrame) -> DataFrame:
     """Adds ``removed``, the numbers of the lines that go (empty where none do)."""
-    found = stored(removals(docs), "line-removed").select(F.col("rk").alias("_rk"), F.col("removed"))
+    found = kept(removals(docs)).select(F.col("rk").alias("_rk"), F.col("removed"))
     out = checked_join(docs.drop("removed").withColumn("_rk", row_key()), found, "_rk", "left").drop("_rk")
     return out.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 

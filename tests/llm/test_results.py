@@ -4,15 +4,17 @@ import hashlib
 import math
 import random
 import re
+import shutil
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.llm import bpe, components, fingerprints, language, lines, mixing, ngrams, passages, quality, queries, secrets, similar
+from inkwell.llm import bpe, common, components, fingerprints, language, lines, mixing, ngrams, passages, quality, queries, secrets, similar
 from tests.compare import SMALL, oracle, rows
 from tests.llm.frames import SCHEMA, awkward, prose
 
@@ -545,6 +547,21 @@ def test_lines_of_full_buckets_equal_brute_force(spark):
     assert gone <= want and len(gone) >= 0.98 * len(want)
 
 
+def test_lines_leave_no_file_in_the_shared_folder(spark, tmp_path):
+    """A file there costs an executor up to three commands; its own storage costs none, and serves no table of an earlier input."""
+    line, near, other = prose(1, 40), prose(1, 40) + " x", prose(2, 40)
+
+    def run(texts):
+        shutil.rmtree(tmp_path / "t", ignore_errors=True)
+        pq.write_table(pa.table({"doc_id": pa.array(range(len(texts))), "text": texts}), (tmp_path / "t").mkdir() or tmp_path / "t" / "documents.parquet")
+        return {r["doc_id"]: r["removed"] for r in lines.op8_line_dedup(spark, str(tmp_path / "t")).collect()}
+
+    made = len(common._made)
+    assert run([line, near, other]) == {0: [], 1: [0], 2: []}
+    assert run([line, other, other]) == {0: [], 1: [], 2: [0]}
+    assert len(common._made) == made
+
+
 def test_lines_differ_after_a_long_prefix(spark):
     key = "0123456789abcdef" * 4
     different = [
